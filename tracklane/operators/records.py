@@ -15,87 +15,75 @@ MAX_RECORD_CHARS = 512 * 1024 * 1024
 def assemble_records(
     lines: DataFrame, skip_header: bool = True, max_record_chars: int = MAX_RECORD_CHARS
 ) -> DataFrame:
-    """Rebuild records from ``lines(source_file, block, pos, line)``.
+    """Rebuild records from ``lines(source_file, block, pos, line)`` of any origin.
 
-    ``block`` orders the parts of a file (0 is the first) and ``pos`` the lines inside a part. All the
-    text moves once, spread by (file, part), so one huge file is as parallel as many small ones. A
-    record that runs over the end of its part gets the leading lines of the next parts in a second,
-    small step that handles one row per part. The text of a record longer than ``max_record_chars``
-    is null.
+    ``block`` orders the parts of a file (0 is the first) and ``pos`` the lines inside a part. Leading
+    lines of a part belong to the last earlier part in which a record starts. A light pass finds that
+    owner for every part, one row each; then the text is spread once by (file, owner) and each owner
+    numbers and joins its records on its own, so one huge file is as parallel as many small ones. The
+    text of a record longer than ``max_record_chars`` is null.
     """
-    part = Window.partitionBy("source_file", "block").orderBy("pos")
-    place = F.row_number().over(part)
+    bare = F.ltrim("line", F.lit("\ufeff"))
     first_part = F.col("block") == 0
-    header = first_part & (F.col("place") == 1) if skip_header else F.lit(False)
-    marked = first_part & (F.col("place") == (2 if skip_header else 1))
-    numbered = (
-        lines.select("source_file", "block", "pos", "line")
-        .withColumn("place", place)
-        .withColumn("line", F.when(marked, F.ltrim("line", F.lit("\ufeff"))).otherwise(F.col("line")))
-        .withColumn("start", F.when(~header & is_record_start(F.col("line")), 1).otherwise(0))
-        .withColumn("seq", F.sum("start").over(part))
-        .filter(~header & (F.col("line") != ""))
-    )
-    # Grouping by (file, part, seq) keeps the distribution of the window: no second shuffle.
-    pieces = numbered.groupBy("source_file", "block", "seq").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("rows")
-    ).withColumn("text", F.array_join("rows.line", "\n")).drop("rows")
+    kept = lines.select("source_file", "block", "pos", "line").filter(first_part | (F.col("line") != ""))
 
-    # One row per part: how many records start in it, how long its leading lines are, and which
-    # earlier part owns them.
-    by_part = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per part: where its first record starts and which earlier part owns the lines before.
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        numbered.groupBy("source_file", "block")
+        kept.groupBy("source_file", "block")
         .agg(
-            F.max("seq").alias("last_seq"),
-            F.sum(F.when(F.col("seq") == 0, F.length("line") + 1).otherwise(0)).alias("leading_chars"),
+            F.min("pos").alias("first_pos"),
+            F.min(F.when(is_record_start(bare), F.col("pos"))).alias("first_start"),
+            F.sum(F.length("line").cast("bigint") + 1).alias("chars"),
+        )
+        .withColumn(
+            "owner", F.last(F.when(F.col("first_start").isNotNull(), F.col("block")), ignorenulls=True).over(earlier)
+        )
+        # Only parts in which nothing starts can make a record longer than two parts.
+        .withColumn(
+            "tail_chars",
+            F.sum(F.when(F.col("first_start").isNull(), F.col("chars"))).over(Window.partitionBy("source_file", "owner")),
         )
-        .withColumn("owner", F.last(F.when(F.col("last_seq") > 0, F.col("block")), ignorenulls=True).over(by_part))
     )
+    leading = F.col("first_start").isNull() | (F.col("pos") < F.col("first_start"))
+    # Lines before the first start of a file form one record that is always rejected, and a record that
+    # is too long has no text: of both, one line per part is enough to know they exist.
+    no_text = leading & ~first_part & (F.col("owner").isNull() | (F.col("tail_chars") > max_record_chars))
     owned = (
-        parts.filter(F.col("owner").isNotNull() & (F.col("leading_chars") > 0))
-        .groupBy("source_file", F.col("owner").alias("block"))
-        .agg(F.sum("leading_chars").alias("tail_chars"))
-    )
-    last_records = (
-        parts.filter(F.col("last_seq") > 0)
-        .join(owned, ["source_file", "block"])
-        .select("source_file", "block", "last_seq", (F.col("tail_chars") > max_record_chars).alias("too_long"))
-    )
-    leading = pieces.filter(F.col("seq") == 0).join(
-        parts.select("source_file", F.col("block"), "owner"), ["source_file", "block"]
-    )
-    tails = (
-        leading.filter(F.col("owner").isNotNull())
-        .select("source_file", F.col("owner").alias("block"), F.col("block").alias("part"), "text")
-        .join(last_records.filter(~F.col("too_long")).select("source_file", "block"), ["source_file", "block"])
-        .groupBy("source_file", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("rows"))
-        .select("source_file", "block", F.array_join("rows.text", "\n").alias("tail"))
-    )
-    open_ends = last_records.join(tails, ["source_file", "block"], "left")
-    runs_over = F.col("seq") == F.col("last_seq")
-    records = (
-        pieces.filter(F.col("seq") > 0)
-        .join(open_ends, ["source_file", "block"], "left")
+        kept.join(parts, ["source_file", "block"])
+        .withColumn("no_text", F.coalesce(no_text, F.lit(False)))
+        .filter(~F.col("no_text") | (F.col("pos") == F.col("first_pos")))
         .select(
             "source_file",
+            F.when(leading, F.coalesce("owner", F.lit(0))).otherwise(F.col("block")).alias("owner"),
             "block",
-            "seq",
-            F.when(runs_over & F.col("too_long"), F.lit(None))
-            .when(runs_over, F.concat_ws("\n", "text", "tail"))
-            .otherwise(F.col("text"))
-            .alias("text"),
+            "pos",
+            F.when(F.col("no_text"), F.lit(" ")).otherwise(F.col("line")).alias("line"),
+            "no_text",
         )
     )
-    # Lines before the first start of a file form one record that is always rejected: no text needed.
-    preamble = (
-        leading.filter(F.col("owner").isNull())
-        .groupBy("source_file")
-        .agg(F.min("block").alias("block"))
-        .select("source_file", "block", F.lit(0).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("text"))
+
+    in_order = Window.partitionBy("source_file", "owner").orderBy("block", "pos")
+    header = first_part & (F.col("place") == 1) if skip_header else F.lit(False)
+    marked = first_part & (F.col("place") == (2 if skip_header else 1))
+    numbered = (
+        owned.withColumn("place", F.row_number().over(in_order))
+        .withColumn("line", F.when(marked, bare).otherwise(F.col("line")))
+        .withColumn("start", F.when(~header & is_record_start(F.col("line")), 1).otherwise(0))
+        .withColumn("seq", F.sum("start").over(in_order))
+        .filter(~header & (F.col("line") != ""))
+    )
+    # The grouping refines the window's distribution, so the text is not moved again.
+    records = numbered.groupBy("source_file", "owner", "seq").agg(
+        F.max("no_text").alias("no_text"),
+        F.sort_array(F.collect_list(F.struct("block", "pos", "line"))).alias("rows"),
+    )
+    return records.select(
+        "source_file",
+        F.col("owner").alias("block"),
+        F.col("seq").cast("bigint").alias("seq"),
+        F.when((F.col("seq") > 0) & ~F.col("no_text"), F.array_join("rows.line", "\n")).alias("text"),
     )
-    return records.unionByName(preamble)
 
 
 def number_records(records: DataFrame) -> DataFrame:
