@@ -17,8 +17,8 @@ from tracklane import schemas as S
 
 
 def _round(expr: str, places: int) -> str:
-    """Half away from zero on the decimal digits of a double."""
-    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,15)), {places}) as double)"
+    """Half away from zero on a double cut to eight decimals."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,8)), {places}) as double)"
 
 
 def _mean(expr: str, places: int = 6) -> str:
@@ -128,8 +128,8 @@ union all select source_file, track_id, 'mismatch', 'max_speed_ms' from pairs wh
 union all select source_file, track_id, 'missing_in_right', null from l anti join r using (source_file, track_id)
 union all select source_file, track_id, 'missing_in_left', null from r anti join l using (source_file, track_id))"""
 
-_REPLACED = f"""select * replace (_mean_a as avg_lon_acc_ms2, _mean_b as avg_lat_acc_ms2) exclude (_mean_a, _mean_b) from (
-  select *, {_mean('avg_lon_acc_ms2')} as _mean_a, {_mean('avg_lat_acc_ms2')} as _mean_b from ({{0}}))"""
+_REPLACED = f"""select * replace ({_mean('avg_lon_acc_ms2')} as avg_lon_acc_ms2, {_mean('avg_lat_acc_ms2')} as avg_lat_acc_ms2)
+from ({{0}})"""
 
 
 def _published(snapshot: bool) -> str:
@@ -296,7 +296,8 @@ def oracle_sql() -> dict[str, str]:
         "limited_records": f"""select source_file, track, record_no from (select source_file, track,
   row_number() over (partition by source_file order by track) as record_no
   from (select distinct source_file, track from ({RECORDING_SQL}))) where record_no <= 10""",
-        "repair_tokens": f"""select event_id, lat, lon, round(speed_ms, 2) as speed_ms, timestamp_s from ({RECORDING_SQL})""",
+        "repair_tokens": f"""select event_id, lat, lon,
+  case when speed_ms <= 200 then speed_ms end as speed_ms, timestamp_s from ({RECORDING_SQL})""",
         "boundary_candidates": f"""select event_id, cast(lat as varchar) as plain_token,
   replace(cast(lat as varchar), '.', '') as joined, cast(lat as varchar) as dotted from ({RECORDING_SQL})""",
         "parity_differences": f"{_PARITY} select * from diffs",

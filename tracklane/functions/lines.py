@@ -30,10 +30,11 @@ def join_physical_lines(text: Column) -> Column:
     line starting with one space and a value lost its ";"; any other break fell inside a field and
     leaves a mark there.
     """
-    text = F.regexp_replace(text, ";\n", ";")
-    text = F.regexp_replace(text, "\n;", ";")
-    text = F.regexp_replace(text, "\n (?=[^ \n])", "; ")
-    return F.replace(text, F.lit("\n"), F.lit(CUT))
+    joined = F.replace(text, F.lit(";\n"), F.lit(";"))
+    joined = F.replace(joined, F.lit("\n;"), F.lit(";"))
+    joined = F.regexp_replace(joined, "\n (?=[^ \n])", "; ")
+    joined = F.replace(joined, F.lit("\n"), F.lit(CUT))
+    return F.when(text.contains("\n"), joined).otherwise(text)
 
 
 def without_cuts(text: Column) -> Column:

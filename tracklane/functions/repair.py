@@ -1,164 +1,199 @@
 """Rebuild numbers that were cut at the end of a physical line.
 
-A cut number may have lost its decimal point or one digit. Each function works on one record whose
-frame values sit in one array (six per frame, null where the token is damaged), so a repair needs
-neither a window nor a shuffle: neighbours are other elements of the same array.
+A cut number may have lost its decimal point or one digit. The right reading depends on values of
+nearby frames, earlier repairs included, so a record is repaired as a whole, in order. That is the one
+Python step of the parse, and only records with a cut field enter it: as nested array expressions the
+same rules cost over a millisecond per field in the JVM and make the plan too slow to analyse.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklane import schemas as S
-from tracklane.functions.lines import CUT, without_cuts
-from tracklane.functions.numbers import to_number
+from tracklane.functions.lines import CUT
 
-# How many frames away a neighbour may be.
+# How many frames away a neighbour, or a time to count steps from, may be.
 NEIGHBOUR_REACH = 19
 TIME_REACH = 49
 WIDTH = S.FRAME_FIELDS
-_DIGITS = [str(d) for d in range(10)]
+_BOUNDS = {0: (S.LAT_MIN, S.LAT_MAX), 1: (S.LON_MIN, S.LON_MAX)}
+_LIMITS = {
+    2: (0.0, S.REPAIRED_SPEED_MAX),
+    3: (-S.REPAIRED_ACCELERATION_MAX, S.REPAIRED_ACCELERATION_MAX),
+    4: (-S.REPAIRED_ACCELERATION_MAX, S.REPAIRED_ACCELERATION_MAX),
+}
+_TIME = 5
+
+
+def candidates(token: str) -> list[str]:
+    """Distinct texts a cut token may stand for, in order of preference: joined as it is, with a point
+    at the cut, with a digit at the cut, with a digit in front."""
+    left, _, right = token.partition(CUT)
+    right = right.replace(CUT, "")
+    sign = "-" if left.startswith("-") else ""
+    point = [] if "." in left + right else [f"{left}.{right}"]
+    inside = [f"{left}{digit}{right}" for digit in range(10)]
+    in_front = [f"{sign}{digit}{left.removeprefix(sign)}{right}" for digit in range(10)]
+    return list(dict.fromkeys([left + right, *point, *inside, *in_front]))
+
+
+def readings(token: str, low: float, high: float) -> list[float]:
+    """The candidates that are numbers between the bounds."""
+    found = []
+    for text in candidates(token):
+        try:
+            value = float(text)
+        except ValueError:
+            continue
+        if low <= value <= high:
+            found.append(value)
+    return found
+
+
+def closest(values: list[float], target: float) -> float | None:
+    reachable = [v for v in values if abs(v - target) < math.inf]
+    return min(reachable, key=lambda v: abs(v - target), default=None)
+
+
+def rebuild(token: str, field: int, context: float | None) -> float | None:
+    """The value of a cut token of a frame field, or None.
+
+    ``context`` is a neighbouring value for a coordinate and the expected value for a time.
+    """
+    if field in _LIMITS:
+        return next(iter(readings(token, *_LIMITS[field])), None)
+    if context is None:
+        low, high = _BOUNDS.get(field, (0.0, S.REPAIRED_TIME_MAX))
+        return next(iter(readings(token, low, high)), None)
+    low, high = _BOUNDS.get(field, (0.0, math.inf))
+    best = closest(readings(token, low, high), context)
+    if field == _TIME and best is not None and abs(best - context) > abs(context) * 0.001 + 1.0:
+        return None
+    return best
+
+
+def repair_record(text: str) -> str:
+    """Record text with its cut frame fields rebuilt; a field that cannot be rebuilt keeps its mark."""
+    fields = _split(text)
+    body = [f.strip() for f in fields[S.HEADER_FIELDS :]]
+    if body and not body[-1]:
+        body.pop()
+    if not body or len(body) % WIDTH:
+        return text
+    try:
+        known = np.array([math.nan if CUT in t else float(t) for t in body]).reshape(-1, WIDTH)
+    except ValueError:
+        return text
+    cut = np.array([CUT in t for t in body]).reshape(-1, WIDTH)
+    step = _typical_step(known[:, _TIME], ~cut[:, _TIME])
+    for frame, field in np.argwhere(cut).tolist():
+        at = frame * WIDTH + field
+        value = rebuild(body[at], field, _context(known[:, field], ~cut[:, field], frame, field, step))
+        if value is None:
+            return text
+        known[frame, field], cut[frame, field] = value, False
+        fields[S.HEADER_FIELDS + at] = repr(float(value))
+    return _join(fields, quoted='"' in text)
+
+
+def _context(values: np.ndarray, usable: np.ndarray, frame: int, field: int, step: float | None) -> float | None:
+    if field in _LIMITS or (field == _TIME and step is None):
+        return None
+    near = _nearest_usable(usable, frame, TIME_REACH if field == _TIME else NEIGHBOUR_REACH)
+    if near is None:
+        return None
+    away = (frame - near) * step if field == _TIME else 0.0
+    return float(values[near] + away)
+
+
+def _nearest_usable(usable: np.ndarray, frame: int, reach: int) -> int | None:
+    """The closest usable frame before this one, else the closest after it."""
+    first = max(0, frame - reach)
+    before = np.flatnonzero(usable[first:frame])
+    if before.size:
+        return first + int(before[-1])
+    after = np.flatnonzero(usable[frame + 1 : frame + 1 + reach])
+    return frame + 1 + int(after[0]) if after.size else None
+
+
+def _typical_step(times: np.ndarray, usable: np.ndarray) -> float | None:
+    """Upper median of the positive time steps between usable frames, per frame of distance."""
+    at = np.flatnonzero(usable)
+    steps = np.diff(times[at]) / np.diff(at)
+    steps = np.sort(steps[steps > 0])
+    return float(steps[len(steps) // 2]) if len(steps) else None
+
+
+def _split(text: str) -> list[str]:
+    if '"' not in text:
+        return text.split(";")
+    csv.field_size_limit(2**31 - 1)
+    return next(csv.reader([text], delimiter=";"))
+
+
+def _join(fields: list[str], quoted: bool) -> str:
+    if not quoted:
+        return ";".join(fields)
+    out = io.StringIO()
+    csv.writer(out, delimiter=";", lineterminator="").writerow(fields)
+    return out.getvalue()
+
+
+# --- column functions --------------------------------------------------------------------------------
+
+
+@F.pandas_udf(T.StringType())
+def _repair_records(texts: pd.Series) -> pd.Series:
+    return texts.map(repair_record, na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _candidates(tokens: pd.Series) -> pd.Series:
+    return tokens.map(candidates, na_action="ignore")
+
+
+def repair_cut_fields(text: Column) -> Column:
+    """Rebuild the cut fields of record texts; other texts pass by without a copy to Python."""
+    return F.coalesce(_repair_records(F.when(text.contains(CUT), text)), text)
 
 
 def boundary_candidates(token: Column) -> Column:
-    """Ordered, distinct texts a cut token may stand for; the first mark is where something is lost."""
-    left = F.substring_index(token, CUT, 1)
-    right = without_cuts(F.substring(token, F.length(left) + 2, F.length(token)))
-    digits = F.array(*[F.lit(d) for d in _DIGITS])
-    sign = F.when(left.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    unsigned = F.substring(left, F.length(sign) + 1, F.length(left))
-    pointless = ~left.contains(".") & ~right.contains(".")
-    return F.array_distinct(
-        F.concat(
-            F.array(F.concat(left, right)),
-            F.when(pointless, F.array(F.concat(left, F.lit("."), right))).otherwise(F.array().cast("array<string>")),
-            F.transform(digits, lambda d: F.concat(left, d, right)),
-            F.transform(digits, lambda d: F.concat(sign, d, unsigned, right)),
-        )
-    )
-
-
-def candidate_numbers(token: Column) -> Column:
-    numbers = F.transform(boundary_candidates(token), to_number)
-    return F.filter(numbers, lambda v: v.isNotNull())
-
+    return _candidates(token)
 
-def _nearest(values: Column, target: Column) -> Column:
-    """First of the values closest to the target, as struct(value, distance); null value if none."""
-    start = F.struct(F.lit(None).cast("double").alias("value"), F.lit(float("inf")).alias("distance"))
 
-    def step(best: Column, value: Column) -> Column:
-        distance = F.abs(value - target)
-        closer = F.struct(value.alias("value"), distance.alias("distance"))
-        return F.when(distance < best["distance"], closer).otherwise(best)
+def _rebuilt(token: Column, context: Column, field: int) -> Column:
+    @F.pandas_udf(T.DoubleType())
+    def rebuilt(tokens: pd.Series, contexts: pd.Series) -> pd.Series:
+        pairs = zip(tokens, contexts.astype(object).where(contexts.notna(), None))
+        return pd.Series([rebuild(t, field, c) for t, c in pairs], dtype="float64")
 
-    return F.aggregate(values, start, step)
-
-
-def _first_between(token: Column, low: float, high: float) -> Column:
-    return F.get(F.filter(candidate_numbers(token), lambda v: v.between(low, high)), 0)
-
-
-def repair_coordinate(token: Column, neighbour: Column, low: float, high: float) -> Column:
-    """The candidate inside the bounds that lies nearest to the neighbour, else the first inside."""
-    inside = F.filter(candidate_numbers(token), lambda v: v.between(low, high))
-    return F.when(neighbour.isNull(), F.get(inside, 0)).otherwise(_nearest(inside, neighbour)["value"])
+    return rebuilt(token, context)
 
 
 def repair_latitude(token: Column, neighbour: Column) -> Column:
-    return repair_coordinate(token, neighbour, S.LAT_MIN, S.LAT_MAX)
+    return _rebuilt(token, neighbour, 0)
 
 
 def repair_longitude(token: Column, neighbour: Column) -> Column:
-    return repair_coordinate(token, neighbour, S.LON_MIN, S.LON_MAX)
+    return _rebuilt(token, neighbour, 1)
 
 
 def repair_speed(token: Column) -> Column:
-    return _first_between(token, 0.0, S.REPAIRED_SPEED_MAX)
+    return _rebuilt(token, F.lit(None).cast("double"), 2)
 
 
 def repair_acceleration(token: Column) -> Column:
-    return _first_between(token, -S.REPAIRED_ACCELERATION_MAX, S.REPAIRED_ACCELERATION_MAX)
+    return _rebuilt(token, F.lit(None).cast("double"), 3)
 
 
 def repair_time(token: Column, expected: Column) -> Column:
-    """Nearest to the expected time and close to it; without one, the first plausible time."""
-    possible = F.filter(candidate_numbers(token), lambda v: v >= 0.0)
-    best = _nearest(possible, expected)
-    allowed = F.greatest(F.abs(expected) * 0.001 + 1.0, F.lit(1.0))
-    return F.when(expected.isNull(), _first_between(token, 0.0, S.REPAIRED_TIME_MAX)).when(
-        best["distance"] <= allowed, best["value"]
-    )
-
-
-def _offsets(limit: Column, reach: int) -> Column:
-    last = F.least(limit, F.lit(reach))
-    return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-
-
-def _known(values: Column, at: Column, offsets: Column, direction: int) -> Column:
-    """Known values of the same field going away from ``at``, as struct(value, offset), nearest first."""
-    found = F.transform(
-        offsets,
-        lambda o: F.struct(F.get(values, at + o * (direction * WIDTH)).alias("value"), o.alias("offset")),
-    )
-    return F.filter(found, lambda f: f["value"].isNotNull())
-
-
-def neighbour_value(values: Column, at: Column, frames: Column) -> Column:
-    """Nearest known value of the field at array position ``at``: earlier frames first, then later."""
-    frame = F.floor(at / WIDTH).cast("int")
-    before = _known(values, at, _offsets(frame, NEIGHBOUR_REACH), -1)
-    after = _known(values, at, _offsets(frames - frame - 1, NEIGHBOUR_REACH), 1)
-    return F.coalesce(F.get(before, 0)["value"], F.get(after, 0)["value"])
-
-
-def expected_time(values: Column, at: Column, frames: Column, step: Column) -> Column:
-    """Time at array position ``at``, counted in steps from the nearest known time."""
-    frame = F.floor(at / WIDTH).cast("int")
-    before = F.get(_known(values, at, _offsets(frame, TIME_REACH), -1), 0)
-    after = F.get(_known(values, at, _offsets(frames - frame - 1, TIME_REACH), 1), 0)
-    return F.coalesce(before["value"] + step * before["offset"], after["value"] - step * after["offset"])
-
-
-def typical_step(values: Column, frames: Column) -> Column:
-    """Upper median of the positive time steps between known times, per frame of distance."""
-    indexes = F.sequence(F.lit(0), frames - 1)
-    clean = F.filter(
-        F.transform(
-            indexes, lambda i: F.struct(i.alias("i"), F.get(values, i * WIDTH + (WIDTH - 1)).alias("t"))
-        ),
-        lambda c: c["t"].isNotNull(),
-    )
-    steps = F.zip_with(
-        clean, F.slice(clean, F.lit(2), F.size(clean)), lambda a, b: (b["t"] - a["t"]) / (b["i"] - a["i"])
-    )
-    steps = F.sort_array(F.filter(steps, lambda s: s.isNotNull() & (s > 0) & ~F.isnan(s)))
-    return F.get(steps, F.floor(F.size(steps) / 2).cast("int"))
-
-
-def repair_frames(tokens: Column, values: Column, frames: Column, step: Column) -> Column:
-    """Fill the damaged values in order, each repair seeing the ones before it.
-
-    A token that cannot be repaired stays null, which rejects its record.
-    """
-    positions = F.sequence(F.lit(0), F.size(tokens) - 1)
-    damaged = F.filter(positions, lambda k: F.get(tokens, k).contains(CUT))
-
-    def fill(known: Column, k: Column) -> Column:
-        token = F.get(tokens, k)
-        field = k % WIDTH
-        neighbour = neighbour_value(known, k, frames)
-        repaired = (
-            F.when(field == 0, repair_latitude(token, neighbour))
-            .when(field == 1, repair_longitude(token, neighbour))
-            .when(field == 2, repair_speed(token))
-            .when(field == 5, repair_time(token, expected_time(known, k, frames, step)))
-            .otherwise(repair_acceleration(token))
-        )
-        return F.concat(
-            F.slice(known, F.lit(1), k), F.array(repaired), F.slice(known, k + 2, F.size(known))
-        )
-
-    return F.aggregate(damaged, values, fill)
+    return _rebuilt(token, expected, _TIME)

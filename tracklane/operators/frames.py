@@ -14,47 +14,53 @@ from pyspark.sql import functions as F
 from tracklane import schemas as S
 from tracklane.functions.lines import CUT, join_physical_lines, strip, unquoted_fields, without_cuts
 from tracklane.functions.numbers import normalise_speed, to_number
-from tracklane.functions.repair import repair_frames, typical_step
+from tracklane.functions.repair import repair_cut_fields
 
 WIDTH = S.FRAME_FIELDS
 HEADER = S.HEADER_FIELDS
-# Only digits, signs, points and blanks after the vehicle type: any number in it reads the same in a
-# plain cast, so the record needs no look at single tokens.
+# Only digits, signs, points and blanks after the vehicle type. Such a record needs no look at single
+# fields: its numbers are read in one go, as a JSON array.
 _PLAIN = r'^[0-9 \t]*;[^;"\x00]*;[0-9+\-.eE; \t]*\z'
+_JSON = {"allowNumericLeadingZeros": "true"}
 
 
 def parse_records(records: DataFrame, speed_unit: str = "ms") -> DataFrame:
     """One row per record: its header, its frames as an array, and why it was rejected (null if not)."""
     kept = [c for c in records.columns if c != "text"]
-    text = records.select(*kept, join_physical_lines(F.col("text")).alias("text"))
-    flagged = text.withColumn("plain", F.col("text").rlike(_PLAIN))
-    split = flagged.select(*kept, "plain", _fields(F.col("text"), F.col("plain")).alias("fields"))
-    last_blank = strip(F.get("fields", F.size("fields") - 1)) == ""
-    sized = split.withColumn("width", F.size("fields") - F.when(last_blank, 1).otherwise(0))
-    header = {
-        "track_token": strip(F.get("fields", F.lit(0))),
-        "vehicle_type": strip(without_cuts(F.get("fields", F.lit(1)))),
-        "traveled_d_m": to_number(without_cuts(F.get("fields", F.lit(2)))),
-        "avg_speed_ms": to_number(without_cuts(F.get("fields", F.lit(3)))),
-        "tokens": F.slice("fields", F.lit(HEADER + 1), F.greatest(F.col("width") - HEADER, F.lit(0))),
-    }
-    cut = sized.select(*kept, "plain", "width", *[c.alias(n) for n, c in header.items()])
-    typed = cut.withColumn("track_id", F.col("track_token").try_cast("int")).withColumn(
-        "frame_count", F.floor(F.size("tokens") / WIDTH).cast("int")
+    joined = records.select(*kept, join_physical_lines(F.col("text")).alias("text"))
+    text = joined.select(*kept, repair_cut_fields(F.col("text")).alias("text"))
+    read = text.withColumn("at_once", F.when(F.col("text").rlike(_PLAIN), _numbers_at_once(F.col("text"))))
+    clean = F.col("at_once").isNotNull()
+    fields = F.when(clean, F.split(F.substring_index("text", ";", HEADER), ";")).otherwise(_fields(F.col("text")))
+    split = read.select(*kept, "at_once", clean.alias("clean"), fields.alias("fields"))
+    last_blank = F.get("fields", F.size("fields") - 1) == ""
+    sized = split.withColumn(
+        "width",
+        F.when(F.col("clean"), F.size("at_once") + HEADER).otherwise(
+            F.size("fields") - F.when(last_blank, 1).otherwise(0)
+        ),
+    ).withColumn(
+        "tokens",
+        F.when(~F.col("clean"), F.slice("fields", F.lit(HEADER + 1), F.greatest(F.col("width") - HEADER, F.lit(0)))),
     )
-    read = typed.withColumn("known", _read_tokens(F.col("tokens"), F.col("plain")))
-    whole = _well_formed()
-    damaged = whole & ~F.col("plain") & F.exists("tokens", lambda t: t.contains(CUT))
-    repaired = read.withColumn(
-        "values",
-        F.when(
-            damaged,
-            repair_frames(
-                F.col("tokens"), F.col("known"), F.col("frame_count"), typical_step(F.col("known"), F.col("frame_count"))
-            ),
-        ).otherwise(F.col("known")),
+    track_token = strip(F.get("fields", F.lit(0)))
+    values = F.when(F.col("clean"), F.col("at_once")).otherwise(_numbers_one_by_one(F.col("tokens")))
+    typed = sized.select(
+        *kept,
+        "clean",
+        "width",
+        "tokens",
+        track_token.alias("track_token"),
+        track_token.try_cast("int").alias("track_id"),
+        strip(without_cuts(F.get("fields", F.lit(1)))).alias("vehicle_type"),
+        to_number(without_cuts(F.get("fields", F.lit(2)))).alias("traveled_d_m"),
+        to_number(without_cuts(F.get("fields", F.lit(3)))).alias("avg_speed_ms"),
+        values.alias("values"),
+    ).withColumn("frame_count", F.floor((F.col("width") - HEADER) / WIDTH).cast("int"))
+    step = F.get("values", F.lit(2 * WIDTH - 1)) - F.get("values", F.lit(WIDTH - 1))
+    framed = typed.withColumn("step", step).withColumn(
+        "frames", F.when(_well_formed(), _frames(F.col("values"), F.col("frame_count"), speed_unit))
     )
-    framed = repaired.withColumn("frames", F.when(whole, _frames(F.col("values"), F.col("frame_count"), speed_unit)))
     judged = framed.withColumn("verdict", _verdict())
     # Filters on a column are pushed below the projection that computes it, and would then repeat the
     # whole parse once per mention. They cannot pass a generator, so the result goes through one.
@@ -110,29 +116,38 @@ def parse_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _fields(text: Column, plain: Column) -> Column:
-    careful = F.when(text.contains('"'), unquoted_fields(text)).otherwise(F.split(text, ";"))
-    return F.when(plain, F.split(text, ";")).otherwise(F.transform(careful, strip))
+def _numbers_at_once(text: Column) -> Column:
+    """All numbers after the header; null if a single one is missing or wrong."""
+    header = F.length(F.substring_index(text, ";", HEADER)) + 1
+    trimmed = F.rtrim(text)
+    ending = F.when(trimmed.endswith(";"), 1).otherwise(0)
+    body = F.substring(trimmed, header + 1, F.length(trimmed) - header - ending)
+    listed = F.concat(F.lit("["), F.replace(body, F.lit(";"), F.lit(",")), F.lit("]"))
+    return F.from_json(listed, "array<double>", _JSON)
+
 
+def _fields(text: Column) -> Column:
+    fields = F.when(text.contains('"'), unquoted_fields(text)).otherwise(F.split(text, ";"))
+    return F.transform(fields, strip)
 
-def _read_tokens(tokens: Column, plain: Column) -> Column:
+
+def _numbers_one_by_one(tokens: Column) -> Column:
     """Doubles for the frame tokens; null where a token is empty, damaged or no number."""
-    careful = F.transform(tokens, lambda t: F.when(~t.contains(CUT), to_number(t)))
-    return F.when(plain, tokens.try_cast("array<double>")).otherwise(careful)
+    return F.transform(tokens, lambda t: F.when(~t.contains(CUT), to_number(t)))
 
 
 def _bad_token() -> Column:
     """Array position of the first token that is neither a number nor damaged, null if none."""
     positions = F.sequence(F.lit(0), F.size("tokens") - 1)
-    bad = F.filter(positions, lambda k: F.get("known", k).isNull() & ~F.get("tokens", k).contains(CUT))
-    return F.when(F.exists("known", lambda v: v.isNull()), F.get(bad, 0))
+    bad = F.filter(positions, lambda k: F.get("values", k).isNull() & ~F.get("tokens", k).contains(CUT))
+    return F.when(~F.col("clean") & (F.size("tokens") > 0), F.get(bad, 0))
 
 
 def _well_formed() -> Column:
     """Wide enough, a whole number of frames, and a track number: the frames can be built."""
     return (
         (F.col("width") >= HEADER + WIDTH)
-        & (F.size("tokens") % WIDTH == 0)
+        & ((F.col("width") - HEADER) % WIDTH == 0)
         & F.col("track_id").isNotNull()
     )
 
@@ -158,33 +173,25 @@ def _verdict() -> Column:
     The reasons are tried in a fixed order, so a record always reports the first that applies.
     """
     frames, count = F.col("frames"), F.col("frame_count")
-    outside = F.array_position(
-        F.transform(frames, lambda f: f["lat"].between(S.LAT_MIN, S.LAT_MAX) & f["lon"].between(S.LON_MIN, S.LON_MAX)),
-        F.lit(False),
-    )
+    inside = lambda f: f["lat"].between(S.LAT_MIN, S.LAT_MAX) & f["lon"].between(S.LON_MIN, S.LON_MAX)
     speed_ok = lambda f: (f["speed_ms"] >= 0) & (f["speed_ms"] < F.lit(float("inf")))
-    bad_frame = F.exists(
-        frames,
-        lambda f: ~(
-            f["lat"].between(S.LAT_MIN, S.LAT_MAX) & f["lon"].between(S.LON_MIN, S.LON_MAX) & speed_ok(f)
-        ),
-    )
+    bad_frame = F.exists(frames, lambda f: ~(inside(f) & speed_ok(f)))
+    outside = F.array_position(F.transform(frames, inside), F.lit(False))
     bad_speed = F.array_position(F.transform(frames, speed_ok), F.lit(False))
 
-    def time(i: Column) -> Column:
-        return F.get(frames, i)["timestamp_s"]
-
-    step = time(F.lit(1)) - time(F.lit(0))
+    step = F.col("step")
     tolerance = F.greatest(F.abs(step) * 0.01, F.lit(1e-6))
 
-    def uneven(i: Column) -> Column:
-        drift = F.abs((time(i) - time(i - 1)) - step)
-        return (drift > tolerance) & ~F.isnan(drift)
+    def drift(i: Column) -> Column:
+        at = i * WIDTH
+        return F.abs((F.get("values", at + (WIDTH - 1)) - F.get("values", at - 1)) - step)
 
+    # NaN is above every bound, infinity included, and counts as even.
+    uneven = lambda i: (drift(i) > tolerance) & (drift(i) <= F.lit(float("inf")))
     steps = F.when(count >= 2, F.sequence(F.lit(1), count - 1))
     bad_token = _bad_token()
     empty_in_frame = F.exists(
-        F.slice("tokens", F.floor(bad_token / WIDTH).cast("int") * WIDTH + 1, F.lit(WIDTH)), lambda t: strip(t) == ""
+        F.slice("tokens", F.floor(bad_token / WIDTH).cast("int") * WIDTH + 1, F.lit(WIDTH)), lambda t: t == ""
     )
 
     def reject(code: str, detail: Column) -> Column:
@@ -198,7 +205,7 @@ def _verdict() -> Column:
         .when((F.col("track_token") == "") | F.col("track_token").contains(CUT), reject("damaged_track_id", nothing))
         .when(F.col("track_id").isNull(), reject("bad_track_id", F.col("track_token")))
         .when(F.col("traveled_d_m").isNull() | F.col("avg_speed_ms").isNull(), reject("bad_header_number", nothing))
-        .when(F.size("tokens") % WIDTH != 0, reject("bad_frame_width", F.size("tokens")))
+        .when((F.col("width") - HEADER) % WIDTH != 0, reject("bad_frame_width", F.col("width") - HEADER))
         .when(
             bad_token.isNotNull(),
             F.when(empty_in_frame, reject("empty_field", F.floor(bad_token / WIDTH))).otherwise(
@@ -206,7 +213,7 @@ def _verdict() -> Column:
             ),
         )
         .when(
-            F.exists("values", lambda v: v.isNull()),
+            ~F.col("clean") & F.exists("values", lambda v: v.isNull()),
             reject("unrepairable_field", F.array_position(F.transform("values", lambda v: v.isNull()), F.lit(True)) - 1),
         )
         .when((count >= 2) & (step <= 0), reject("non_positive_step", step))
