@@ -288,6 +288,8 @@ def oracle_sql() -> dict[str, str]:
         "read_recordings": f"select {FRAME_COLUMNS} from ({RECORDING_SQL})".replace("source_file, ", "", 1),
         "read_recording_lines": f"select {FRAME_COLUMNS} from ({RECORDING_SQL})".replace("source_file, ", "", 1),
         "read_archive": f"select track_id, count(*) as frame_count, max(timestamp_s) as end_time_s from ({RECORDING_SQL}) group by track_id",
+        "archive_lines": f"""select cast(sum(1 + cast(event_id % 7 <> 0 as integer) + cast(event_id % 11 = 5 as integer)) as bigint)
+  as line_count from ({RECORDING_SQL})""",
         "parse_rejects": f"""select distinct source_file, cast(track as varchar) as track_id, {FAULT_SQL} as reason_code
   from ({RECORDING_SQL}) where ({FAULT_SQL}) is not null""",
         "parse_totals": f"""with t as (select track, count(*) n, any_value({FAULT_SQL}) as reason from ({RECORDING_SQL}) group by track)

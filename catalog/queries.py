@@ -318,7 +318,7 @@ def read_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_archive_lines(spark, _archives(spark, sf_dir))
-    return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("line_count"))
+    return lines.filter(F.col("pos") > 0).agg(F.count(F.lit(1)).alias("line_count"))
 
 
 @query

@@ -47,7 +47,9 @@ def strip(text: Column) -> Column:
 
 def unquoted_fields(text: Column) -> Column:
     """Split on ";" honouring double quotes: a quoted field may hold ";" and doubles its quotes."""
-    fields = F.regexp_extract_all(text, F.lit(r'(?:^|;)("(?:[^"]++|"")*+"?[^;]*+|[^;]*+)'), F.lit(1))
+    # With a ";" in front of every field no match is empty, so none is skipped.
+    led = F.concat(F.lit(";"), text)
+    fields = F.regexp_extract_all(led, F.lit(r';("(?:[^"]++|"")*+"?[^;]*+|[^;]*+)'), F.lit(1))
 
     def unquote(field: Column) -> Column:
         inner = F.regexp_extract(field, r'^"((?:[^"]++|"")*+)', 1)

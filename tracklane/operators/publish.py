@@ -6,6 +6,7 @@ import datetime
 import re
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,12 +55,21 @@ class WriteResult:
     status: str
 
 
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """Metrics of a finished write; zeros if the plan turned out empty and dropped its counter."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = {}
+    return {name: found.get(name) or 0 for name in names}
+
+
 def write_frames(frames: DataFrame, path: str, mode: str = REPLACE_SOURCES) -> WriteResult:
     """Write Silver frames and count them while they are written; no rows is a failure."""
     seen = Observation()
     counted = frames.select(*S.names(S.SILVER)).observe(seen, F.count(F.lit(1)).alias("rows"))
     write_by_source(counted, path, mode)
-    rows = seen.get["rows"]
+    rows = observed(seen, "rows")["rows"]
     return WriteResult(path, rows, 0, rows, "success" if rows else "failed")
 
 
@@ -70,7 +80,7 @@ def write_summary(spark: SparkSession, summary: DataFrame, path: str, mode: str
         seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames")
     )
     write_by_source(counted, path, mode)
-    written = seen.get
+    written = observed(seen, "rows", "frames")
     if not written["rows"]:
         return WriteResult(path, 0, 0, 0, "failed")
     stored = read_layer(spark, path, S.SUMMARY).agg(F.count(F.lit(1)).alias("rows")).first()["rows"]

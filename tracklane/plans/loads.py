@@ -51,13 +51,13 @@ def load_silver(
     """
     seen = Observation()
     parsed = parse_records(records, speed_unit)
-    counted = parsed.observe(
-        seen,
+    counts = [
         F.count_if(F.col("reason_code").isNull()).alias("records"),
         F.count_if(F.col("reason_code").isNotNull()).alias("rejected"),
-    )
+    ]
+    counted = parsed.observe(seen, *counts)
     written = publish.write_frames(with_provenance(frames_of(counted), bronze_key, _now()), path)
-    totals = seen.get
+    totals = publish.observed(seen, "records", "rejected") if written.rows else parsed.agg(*counts).first()
     kept = None
     if totals["rejected"] and rejects_path:
         rejects_of(parsed).write.mode("overwrite").parquet(rejects_path)

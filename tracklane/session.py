@@ -35,9 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tracklane-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracklane-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
