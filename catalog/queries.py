@@ -292,8 +292,7 @@ def read_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files written from the events, read back as whole records by byte range."""
     folder = scratch_path(spark, "recordings")
     _recording_texts(spark, sf_dir).select("value").write.text(folder)
-    _as_csv(spark, folder)
-    records = read_records(spark, folder, skipHeader="false", rangeBytes=100_000)
+    records = read_records(spark, folder, skipHeader="false", suffix=".txt")
     return frames_of(parse_records(records)).drop("source_file")
 
 
@@ -326,17 +325,6 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_archive_members(spark, _archives(spark, sf_dir)).drop("archive")
 
 
-def _as_csv(spark: SparkSession, folder: str) -> None:
-    """Give the part files the ending the reader looks for."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    storage = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in storage.listStatus(root):
-        path = status.getPath()
-        if path.getName().endswith(".txt"):
-            storage.rename(path, jvm.org.apache.hadoop.fs.Path(root, path.getName().removesuffix(".txt") + ".csv"))
-
-
 def _archives(spark: SparkSession, sf_dir: str) -> str:
     """One archive per write task, with one CSV member each and an artefact that readers must skip."""
     folder = scratch_path(spark, "archives")
@@ -489,11 +477,10 @@ def published_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames arriving as files, one source per file, published batch by batch."""
+    """Frames that arrived as files, published by the stream."""
     incoming, target = scratch_path(spark, "incoming"), scratch_path(spark, "serving")
-    frames = I.raw_frames(spark, sf_dir).select(*S.names(S.FRAME))
-    frames.repartition("source_file").write.parquet(incoming)
-    stream_frames(spark, incoming, target, scratch_path(spark, "checkpoint"), files_per_batch=2).awaitTermination()
+    publish.write_by_source(I.raw_frames(spark, sf_dir).select(*S.names(S.FRAME)), incoming)
+    stream_frames(spark, incoming, target, scratch_path(spark, "checkpoint")).awaitTermination()
     return _steady(read_layer(spark, target, S.SUMMARY))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tracklane import schemas as S
 from tracklane.operators.checks import duplicate_keys
+from tracklane.session import scratch_path
 
 MISMATCHES_SHOWN = 20
 KEYS_SHOWN = 10
@@ -70,10 +71,15 @@ def shared_keys(left: DataFrame, right: DataFrame, keys: list[str] = S.TRACK_KEY
 
 def parity_totals(left: DataFrame, right: DataFrame, keys: list[str] = S.TRACK_KEY, **options) -> DataFrame:
     """One row: rows per side, keys compared, each kind of difference, and the verdict."""
-    counted = left.agg(F.count(F.lit(1)).alias("left_rows"), F.lit(0).cast("bigint").alias("right_rows")).unionByName(
-        right.agg(F.lit(0).cast("bigint").alias("left_rows"), F.count(F.lit(1)).alias("right_rows"))
+    return _totals(left, right, compare(left, right, keys, **options))
+
+
+def _totals(left: DataFrame, right: DataFrame, differences: DataFrame) -> DataFrame:
+    nothing = F.lit(0).cast("bigint")
+    counted = left.agg(F.count(F.lit(1)).alias("left_rows"), nothing.alias("right_rows")).unionByName(
+        right.agg(nothing.alias("left_rows"), F.count(F.lit(1)).alias("right_rows"))
     )
-    kinds = compare(left, right, keys, **options).agg(
+    kinds = differences.agg(
         F.count_if(F.col("kind") == "missing_in_right").alias("missing_in_right"),
         F.count_if(F.col("kind") == "missing_in_left").alias("missing_in_left"),
         F.count_if(F.col("kind").isin("mismatch", "unclassified")).alias("field_mismatches"),
@@ -116,14 +122,18 @@ def parity_report(left: DataFrame, right: DataFrame, keys: list[str] = S.TRACK_K
         repeated = duplicate_keys(df, keys).limit(1).collect()
         if repeated:
             raise ValueError(f"duplicate key on the {side} side: {tuple(repeated[0])[:-1]}")
-    differences = compare(left, right, keys, **options)
+    # Four questions below go to the same differences: compare once, store them, ask the stored ones.
+    spark = left.sparkSession
+    stored = scratch_path(spark, "differences")
+    compare(left, right, keys, **options).write.parquet(stored)
+    differences = spark.read.parquet(stored)
 
     def first(kinds: list[str], columns: list[str], count: int) -> list:
         found = differences.filter(F.col("kind").isin(kinds)).select(*columns)
         return found.orderBy(*columns[: len(keys) + 1]).limit(count).collect()
 
     return ParityReport(
-        parity_totals(left, right, keys, **options).first().asDict(),
+        _totals(left, right, differences).first().asDict(),
         first(["mismatch", "unclassified"], [*keys, "field", "left_value", "right_value"], MISMATCHES_SHOWN),
         first(["missing_in_right"], keys, KEYS_SHOWN),
         first(["missing_in_left"], keys, KEYS_SHOWN),

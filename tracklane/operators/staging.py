@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane import schemas as S
@@ -72,11 +72,21 @@ def stage_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def frame_steps(frames: DataFrame) -> DataFrame:
-    """Time since the previous frame of the same track, in time order."""
-    from pyspark.sql import Window
+def frame_steps(frames: DataFrame, span_s: float = 60.0) -> DataFrame:
+    """Time since the previous frame of the same track, in time order.
 
-    track = Window.partitionBy(*S.TRACK_KEY).orderBy("timestamp_s", "lat", "lon")
-    return frames.select(
-        *S.TRACK_KEY, "timestamp_s", (F.col("timestamp_s") - F.lag("timestamp_s").over(track)).alias("step_s")
+    A track is worked on in spans of time, so a track with most of the rows is not one task's work. The
+    first frame of a span looks back to the last time of the span before, one row per span.
+    """
+    spanned = frames.select(*S.TRACK_KEY, "timestamp_s").withColumn("span", F.floor(F.col("timestamp_s") / span_s))
+    in_span = Window.partitionBy(*S.TRACK_KEY, "span").orderBy("timestamp_s")
+    by_span = Window.partitionBy(*S.TRACK_KEY).orderBy("span")
+    before = (
+        spanned.groupBy(*S.TRACK_KEY, "span")
+        .agg(F.max("timestamp_s").alias("last_s"))
+        .select(*S.TRACK_KEY, "span", F.lag("last_s").over(by_span).alias("before_s"))
+    )
+    previous = F.coalesce(F.lag("timestamp_s").over(in_span), F.col("before_s"))
+    return spanned.join(before, [*S.TRACK_KEY, "span"]).select(
+        *S.TRACK_KEY, "timestamp_s", (F.col("timestamp_s") - previous).alias("step_s")
     )

@@ -41,7 +41,7 @@ class ByteRange(InputPartition):
 
 class TrajectoryRecords(DataSource):
     """Options: ``members`` all|first, ``rowLimit`` records per file (0 = all), ``skipHeader``,
-    ``rangeBytes``, ``maxRecordBytes``."""
+    ``suffix`` of the plain files in a folder, ``rangeBytes``, ``maxRecordBytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -61,6 +61,7 @@ class RecordReader(DataSourceReader):
         self.members = options.get("members", "all")
         if self.members not in ("all", "first"):
             raise ValueError(f"members must be 'all' or 'first', got {self.members!r}")
+        self.suffixes = (options.get("suffix", ".csv").lower(), ".zip")
         self.row_limit = int(options.get("rowlimit", 0))
         self.skip_header = str(options.get("skipheader", "true")).lower() == "true"
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
@@ -68,7 +69,7 @@ class RecordReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         ranges: list[ByteRange] = []
-        for path, size in [f for given in self.paths for f in list_files(given, (".csv", ".zip"))]:
+        for path, size in [f for given in self.paths for f in list_files(given, self.suffixes)]:
             if path.lower().endswith(".zip"):
                 ranges += member_ranges(path, self.members)
                 continue

@@ -10,9 +10,19 @@ def filesystem_of(path: str):
     """(filesystem, path inside it) for a URI or a plain local path."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    # Hadoop's names for S3.
+    path = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+    try:
         return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    except (ValueError, NotImplementedError):
+        try:
+            import fsspec
+        except ImportError:
+            raise ValueError(f"no reader for {path}; read it with read_lines instead") from None
+        storage, inner = fsspec.core.url_to_fs(path)
+        return fs.PyFileSystem(fs.FSSpecHandler(storage)), inner
 
 
 def list_files(path: str, suffix: str | tuple[str, ...]) -> list[tuple[str, int]]:

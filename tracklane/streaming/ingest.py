@@ -42,13 +42,13 @@ def stream_recordings(
     return _run_available(lines, replace, checkpoint)
 
 
-def stream_frames(
-    spark: SparkSession, folder: str, serving: str, checkpoint: str, files_per_batch: int = 1000
-) -> StreamingQuery:
-    """The same from Parquet files of frames in which each source is complete within one file."""
-    frames = (
-        spark.readStream.schema(S.FRAME).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    )
+def stream_frames(spark: SparkSession, folder: str, serving: str, checkpoint: str) -> StreamingQuery:
+    """The same from Parquet frames, as ``write_by_source`` leaves them.
+
+    All files that arrived since the last run form one batch, so a source may span many files as long
+    as they arrive together.
+    """
+    frames = spark.readStream.schema(S.FRAME).parquet(folder)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         _publish_batch(spark, summarise_trajectories(batch), serving, batch_id)
