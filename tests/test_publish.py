@@ -11,8 +11,10 @@ from test_parity import rows
 
 from tracklane import schemas as S
 from tracklane.operators import publish, runs
+from tracklane.operators.frames import frames_of, parse_records
 from tracklane.plans.loads import load_new_files, load_recordings
 from tracklane.sources.files import read_layer
+from tracklane.sources.records import read_records
 from tracklane.streaming.ingest import stream_recordings
 
 
@@ -76,6 +78,9 @@ def test_json_footprint_and_ddl(spark, tmp_path):
     ddl = publish.create_table_ddl("serving_summary", path=str(tmp_path / "gold"))
     assert ddl.index("source_file") < ddl.index("end_lon") and "PARTITIONED BY (source_file)" in ddl
     assert publish.published_sources(summary).collect() == [("A.csv",)]
+    merged = str(tmp_path / "merged")
+    publish.write_by_source(summary.repartition(4), merged, partitions=1)
+    assert len(list((tmp_path / "merged").rglob("*.parquet"))) == 1
     assert publish.write_summary(spark, summary.limit(0), str(tmp_path / "none")).status == "failed"
 
 
@@ -154,6 +159,8 @@ def test_recordings_end_to_end(spark, tmp_path):
     gated = load_recordings(spark, str(folder / "b.csv"), str(tmp_path / "layers2"), str(tmp_path / "serving"), "run3")
     assert gated.status == "failed" and gated.published is None
     (folder / "c.csv").write_text(f"{HEADER}\n")
+    plan = frames_of(parse_records(read_records(spark, str(folder))))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
     empty = load_recordings(spark, str(folder / "c.csv"), str(tmp_path / "layers3"), str(tmp_path / "serving"), "run4")
     assert empty.status == "failed" and empty.silver.frames == 0
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tracklane import schemas as S
 from tracklane.functions.numbers import round_half_up, to_number
-from tracklane.operators.staging import stage_frames, stage_runs
+from tracklane.operators.staging import frame_steps, stage_frames, stage_runs
 from tracklane.operators.summary import summarise_trajectories, summary_source
 from tracklane.plans import marts
 
@@ -77,6 +77,13 @@ def test_staging_drops_incomplete_frames(spark):
     assert {r.vehicle_type for r in staged.collect()} == {"car", "bus"}
 
 
+def test_frame_steps_look_across_spans(spark):
+    times = [0.0, 0.04, 59.98, 60.0, 200.0, 200.0]
+    rows = [("a", t, "car", 1.0, 1.0, 37.9, 23.6, 1.0, 0.0, 0.0, at) for t in (1, 2) for at in times]
+    got = frame_steps(spark.createDataFrame(rows, DDL)).filter("track_id = 2").orderBy("timestamp_s", "step_s").collect()
+    assert [None if r.step_s is None else round(r.step_s, 6) for r in got] == [None, 0.04, 59.94, 0.02, 0.0, 140.0]
+
+
 def test_run_flags(spark):
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.RUN.fields)
     t = datetime.datetime(2024, 1, 1)

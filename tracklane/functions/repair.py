@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,20 +47,18 @@ def candidates(token: str) -> list[str]:
     return list(dict.fromkeys([left + right, *point, *inside, *in_front]))
 
 
-def readings(token: str, low: float, high: float) -> list[float]:
+def readings(token: str, low: float, high: float) -> Iterator[float]:
     """The candidates that are numbers between the bounds."""
-    found = []
     for text in candidates(token):
         try:
             value = float(text)
         except ValueError:
             continue
         if low <= value <= high:
-            found.append(value)
-    return found
+            yield value
 
 
-def closest(values: list[float], target: float) -> float | None:
+def closest(values: Iterable[float], target: float) -> float | None:
     reachable = [v for v in values if abs(v - target) < math.inf]
     return min(reachable, key=lambda v: abs(v - target), default=None)
 
@@ -70,10 +69,10 @@ def rebuild(token: str, field: int, context: float | None) -> float | None:
     ``context`` is a neighbouring value for a coordinate and the expected value for a time.
     """
     if field in _LIMITS:
-        return next(iter(readings(token, *_LIMITS[field])), None)
+        return next(readings(token, *_LIMITS[field]), None)
     if context is None:
         low, high = _BOUNDS.get(field, (0.0, S.REPAIRED_TIME_MAX))
-        return next(iter(readings(token, low, high)), None)
+        return next(readings(token, low, high), None)
     low, high = _BOUNDS.get(field, (0.0, math.inf))
     best = closest(readings(token, low, high), context)
     if field == _TIME and best is not None and abs(best - context) > abs(context) * 0.001 + 1.0:

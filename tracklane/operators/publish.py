@@ -7,7 +7,7 @@ import re
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,22 +22,39 @@ _IDENTIFIER = re.compile(r"^[A-Za-z0-9_]+$")
 
 
 def write_by_source(
-    df: DataFrame, path: str, mode: str = REPLACE_SOURCES, rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame,
+    path: str,
+    mode: str = REPLACE_SOURCES,
+    rows_per_file: int = ROWS_PER_FILE,
+    gather: bool = True,
+    partitions: int | None = None,
+    seen: Observation | None = None,
+    metrics: tuple[Column, ...] = (),
 ) -> None:
     """Snappy Parquet, one folder per source file.
 
     ``replace_sources`` replaces the folders of the sources in ``df`` and leaves the others alone;
-    ``replace_snapshot`` replaces everything. Rows are first gathered by source in evenly sized parts:
-    a source with a third of all rows is spread over many tasks, small ones share a task.
+    ``replace_snapshot`` replaces everything. With ``gather``, rows are first brought together by source
+    in evenly sized parts: a source with a third of all rows is spread over many tasks, small ones share
+    a task. Rows that already lie by source, as parsed byte ranges do, need no such shuffle.
+    ``partitions`` merges them into that many tasks instead.
+
+    ``metrics`` are observed in the task that writes, behind any shuffle, so a stage that runs again
+    after a lost executor is not counted twice.
     """
     if mode not in (REPLACE_SOURCES, REPLACE_SNAPSHOT):
         raise ValueError(f"invalid load mode {mode!r}; expected {REPLACE_SOURCES} or {REPLACE_SNAPSHOT}")
     if rows_per_file <= 0:
         raise ValueError(f"rows per file must be positive, got {rows_per_file}")
     overwrite = "dynamic" if mode == REPLACE_SOURCES else "static"
+    if partitions:
+        df = df.coalesce(partitions)
+    elif gather:
+        df = df.hint("rebalance", "source_file")
+    if seen is not None:
+        df = df.observe(seen, *metrics)
     (
-        df.hint("rebalance", "source_file")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", rows_per_file)
@@ -64,11 +81,20 @@ def observed(seen: Observation, *names: str) -> dict[str, int]:
     return {name: found.get(name) or 0 for name in names}
 
 
-def write_frames(frames: DataFrame, path: str, mode: str = REPLACE_SOURCES) -> WriteResult:
+def write_frames(
+    frames: DataFrame, path: str, mode: str = REPLACE_SOURCES, gather: bool = True, partitions: int | None = None
+) -> WriteResult:
     """Write Silver frames and count them while they are written; no rows is a failure."""
     seen = Observation()
-    counted = frames.select(*S.names(S.SILVER)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_by_source(counted, path, mode)
+    write_by_source(
+        frames.select(*S.names(S.SILVER)),
+        path,
+        mode,
+        gather=gather,
+        partitions=partitions,
+        seen=seen,
+        metrics=(F.count(F.lit(1)).alias("rows"),),
+    )
     rows = observed(seen, "rows")["rows"]
     return WriteResult(path, rows, 0, rows, "success" if rows else "failed")
 
@@ -76,10 +102,8 @@ def write_frames(frames: DataFrame, path: str, mode: str = REPLACE_SOURCES) -> W
 def write_summary(spark: SparkSession, summary: DataFrame, path: str, mode: str = REPLACE_SOURCES) -> WriteResult:
     """Write summaries, then count what a reader of this batch finds in storage."""
     seen = Observation()
-    counted = summary.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames")
-    )
-    write_by_source(counted, path, mode)
+    metrics = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames"))
+    write_by_source(summary, path, mode, seen=seen, metrics=metrics)
     written = observed(seen, "rows", "frames")
     if not written["rows"]:
         return WriteResult(path, 0, 0, 0, "failed")

@@ -47,7 +47,8 @@ def load_silver(
 ) -> SilverResult:
     """Parse records and write their frames; accepted and rejected records are counted on the way.
 
-    The rejects are written by a second pass that runs only if there are any.
+    Parse and write are one stage, so each record is counted once even if tasks run again. The rejects
+    are written by a second pass that runs only if there are any.
     """
     seen = Observation()
     parsed = parse_records(records, speed_unit)
@@ -56,7 +57,9 @@ def load_silver(
         F.count_if(F.col("reason_code").isNotNull()).alias("rejected"),
     ]
     counted = parsed.observe(seen, *counts)
-    written = publish.write_frames(with_provenance(frames_of(counted), bronze_key, _now()), path)
+    written = publish.write_frames(
+        with_provenance(frames_of(counted), bronze_key, _now()), path, gather=False
+    )
     totals = publish.observed(seen, "records", "rejected") if written.rows else parsed.agg(*counts).first()
     kept = None
     if totals["rejected"] and rejects_path:
@@ -145,7 +148,7 @@ def load_new_files(
             raw = frames.withColumn("id", F.monotonically_increasing_id()).withColumn(
                 "ingested_at", F.lit(started).cast("timestamp")
             )
-            publish.write_by_source(raw.select(*S.names(S.RAW)), raw_path)
+            publish.write_by_source(raw.select(*S.names(S.RAW)), raw_path, gather=False)
             accepted = F.col("reason_code").isNull()
             counts = parsed.groupBy("source_file").agg(
                 F.sum(F.when(accepted, F.size("frames").cast("bigint")).otherwise(0)).alias("rows_loaded"),

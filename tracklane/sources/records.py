@@ -22,6 +22,7 @@ from tracklane import schemas as S
 from tracklane.sources.storage import is_csv_member, list_files, open_archive, open_bytes
 
 RANGE_BYTES = 128 * 1024 * 1024
+SMALLEST_RANGE = 1024 * 1024
 BATCH_BYTES = 16 * 1024 * 1024
 MAX_RECORD_BYTES = 512 * 1024 * 1024
 _CHUNK = 1024 * 1024
@@ -41,7 +42,8 @@ class ByteRange(InputPartition):
 
 class TrajectoryRecords(DataSource):
     """Options: ``members`` all|first, ``rowLimit`` records per file (0 = all), ``skipHeader``,
-    ``suffix`` of the plain files in a folder, ``rangeBytes``, ``maxRecordBytes``."""
+    ``suffix`` of the plain files in a folder, ``rangeBytes`` or the ``parallelism`` to aim at,
+    ``maxRecordBytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -64,18 +66,23 @@ class RecordReader(DataSourceReader):
         self.suffixes = (options.get("suffix", ".csv").lower(), ".zip")
         self.row_limit = int(options.get("rowlimit", 0))
         self.skip_header = str(options.get("skipheader", "true")).lower() == "true"
-        self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
+        self.range_bytes = int(options["rangebytes"]) if "rangebytes" in options else None
+        self.parallelism = int(options.get("parallelism", 1))
         self.max_record = int(options.get("maxrecordbytes", MAX_RECORD_BYTES))
 
     def partitions(self) -> list[ByteRange]:
         ranges: list[ByteRange] = []
-        for path, size in [f for given in self.paths for f in list_files(given, self.suffixes)]:
+        files = [f for given in self.paths for f in list_files(given, self.suffixes)]
+        # Small inputs are cut finer, so that every core gets a part.
+        share = sum(size for _, size in files) // self.parallelism
+        cut = self.range_bytes or min(RANGE_BYTES, max(SMALLEST_RANGE, share))
+        for path, size in files:
             if path.lower().endswith(".zip"):
                 ranges += member_ranges(path, self.members)
                 continue
             # A row limit counts records from the top of the file, so the file is read as one range
             # that stops early.
-            step = max(size, 1) if self.row_limit else self.range_bytes
+            step = max(size, 1) if self.row_limit else cut
             ranges += [ByteRange(path, None, at, min(at + step, size)) for at in range(0, size, step)]
         return ranges or [ByteRange("", None, 0, 0)]
 
@@ -172,5 +179,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def read_records(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """Logical records of CSV files, ZIP archives or folders of them."""
     spark.dataSource.register(TrajectoryRecords)
-    paths = json.dumps([path] if isinstance(path, str) else path)
-    return spark.read.format("trajectory_records").options(**options, paths=paths).load()
+    options["paths"] = json.dumps([path] if isinstance(path, str) else path)
+    options.setdefault("parallelism", spark.sparkContext.defaultParallelism)
+    return spark.read.format("trajectory_records").options(**options).load()
