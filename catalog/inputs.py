@@ -214,23 +214,25 @@ def _header() -> Column:
 def broken_text(frames: DataFrame) -> DataFrame:
     """Add ``text``: the frame with line feeds where physical lines end.
 
-    Depending on the event, the line ends before a ";", after one, in place of one, or inside the
-    latitude: cleanly, in place of its point, or in place of its second digit. Some times lose their
-    point as well.
+    Depending on the event, the line ends before a ";", after one, in place of one, inside the speed, or
+    inside the latitude in place of its point or its second digit. Some times lose their point as well.
+    Every damage here has one reading only: a latitude cut without loss is read as whatever lies nearest
+    to its neighbour, and a speed beyond the repair limit as nothing, so neither is cut that way.
     """
-    style = F.col("event_id") % 7
+    fast = F.col("speed").cast("double") > S.REPAIRED_SPEED_MAX
+    style = F.when((F.col("event_id") % 7 == 4) & fast, 1).otherwise(F.col("event_id") % 7)
+    lat, speed = F.col("lat"), F.col("speed")
+    cut_speed = F.concat(F.substring(speed, 1, 1), F.lit("\n"), F.substring(speed, 2, 100))
     rest = F.concat(
-        F.concat_ws("; ", "lon", "speed", "lon_acc", "lat_acc"),
+        F.concat_ws("; ", "lon", F.when(style == 4, cut_speed).otherwise(speed), "lon_acc", "lat_acc"),
         F.lit("; "),
         F.when(F.col("event_id") % 11 == 5, F.regexp_replace("time", r"\.", "\n")).otherwise(F.col("time")),
         F.lit(";"),
     )
-    lat = F.col("lat")
     start = (
         F.when(style == 1, F.concat(lat, F.lit("\n; ")))
         .when(style == 2, F.concat(lat, F.lit(";\n ")))
         .when(style == 3, F.concat(lat, F.lit("\n ")))
-        .when(style == 4, F.concat(F.substring(lat, 1, 4), F.lit("\n"), F.substring(lat, 5, 100), F.lit("; ")))
         .when(style == 5, F.concat(F.regexp_replace(lat, r"\.", "\n"), F.lit("; ")))
         .when(style == 6, F.concat(F.substring(lat, 1, 1), F.lit("\n"), F.substring(lat, 3, 100), F.lit("; ")))
         .otherwise(F.concat(lat, F.lit("; ")))

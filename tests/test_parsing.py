@@ -202,6 +202,13 @@ def test_repairs(spark):
     assert one(repair.repair_acceleration(lit(f"-{CUT}.5032"))) == -0.5032
 
 
+def test_clean_cut_is_read_as_the_nearest_candidate():
+    near = [frame(lat=f"37.9{CUT}4444", time="0.00"), frame(lat="37.944440", time="0.04")]
+    far = [frame(lat=f"37.9{CUT}4444", time="0.00"), frame(lat="37.944445", time="0.04")]
+    first = [repair.repair_record(record(1, *frames)).split(";")[4].strip() for frames in (near, far)]
+    assert first == ["37.94444", "37.944444"]
+
+
 def test_chained_repairs_see_each_other():
     frames = [frame(lat=f"37.97000{i}", time=f"{i * 0.04:.2f}") for i in range(5)]
     frames[1] = frame(lat=f"3{CUT}.970001", time=f"0{CUT}04")
