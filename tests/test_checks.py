@@ -99,6 +99,9 @@ def test_stored_layers(spark, tmp_path):
     path = str(tmp_path / "gold")
     write_by_source(summary(spark), path)
     assert checks.validate_dataset(spark, path, S.SUMMARY, checks.summary_checks()).passed
+    numeric = str(tmp_path / "numeric")
+    write_by_source(summary(spark, source_file="0012"), numeric)
+    assert checks.validate_dataset(spark, numeric, S.SUMMARY, checks.summary_checks()).passed
     wrong = str(tmp_path / "wrong")
     summary(spark).drop("end_lon").withColumn("track_id", F.col("track_id").cast("long")).write.parquet(wrong)
     report = checks.validate_dataset(spark, wrong, S.SUMMARY, checks.summary_checks())

@@ -347,7 +347,7 @@ def validate_dataset(
     """
     shape = "check string, status string, observed double, expected string, detail string"
     try:
-        df = spark.read.parquet(path)
+        df = _read_stored(spark, path)
     except Exception as error:  # noqa: BLE001 - any read error is the finding
         rows = [("readable", FAILED, None, "readable", str(error)[:500])]
         rows += [(c.name, SKIPPED, None, c.expected, None) for c in checks]
@@ -365,6 +365,16 @@ def validate_dataset(
     return report(path, results)
 
 
+def _read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The layer as stored, except that folder names of sources are text even if they look like numbers."""
+    df = spark.read.parquet(path)
+    kind = dict(df.dtypes).get("source_file")
+    if kind in (None, "string") or not any("/source_file=" in f for f in df.inputFiles()[:1]):
+        return df
+    fields = [T.StructField(f.name, T.StringType() if f.name == "source_file" else f.dataType) for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def _resolves(df: DataFrame, check: Check) -> bool:
     try:
         df.agg(check.observed).schema  # noqa: B018 - analysis only, no job
