@@ -11,7 +11,7 @@ from tracklane.operators import checks
 from tracklane.operators.publish import write_by_source
 
 STAMP = datetime.datetime(2024, 1, 1)
-SILVER_ROW = ("pnemas.csv", 1, "Car", 48.85, 9.77, 37.977391, 23.737688, 4.9178, 0.0518, -0.0299, 0.0, "bronze/x.zip", STAMP)
+SILVER_ROW = ("sample.csv", 1, "Car", 48.85, 9.77, 37.977391, 23.737688, 4.9178, 0.0518, -0.0299, 0.0, "bronze/x.zip", STAMP)
 
 
 def ddl(schema):
@@ -74,7 +74,7 @@ def test_expectations_and_grain(spark):
     assert failed(twice, checks.summary_checks(1, 100)) == ["expected_row_count", "frames_conserved", "grain_unique"]
     assert failed(twice, checks.serving_checks(1, 100)) == ["grain_unique", "expected_row_count", "expected_frame_sum"]
     assert failed(summary(spark, track_id=None), checks.serving_checks()) == ["grain_not_null"]
-    assert checks.duplicate_keys(twice, S.TRACK_KEY).collect() == [("pnemas.csv", 1, 2)]
+    assert checks.duplicate_keys(twice, S.TRACK_KEY).collect() == [("sample.csv", 1, 2)]
 
 
 def test_empty_data_fails_once_and_skips_the_rest(spark):

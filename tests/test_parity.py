@@ -53,10 +53,10 @@ def test_keys(spark):
     assert kinds(left, right) == [("missing_in_left", None), ("missing_in_right", None)]
     report = parity_report(left, right)
     assert not report.passed and report.totals["compared_keys"] == 1
-    assert (report.missing_in_right, report.missing_in_left) == ([("pnemas.csv", 2)], [("z.csv", 1)])
+    assert (report.missing_in_right, report.missing_in_left) == ([("sample.csv", 2)], [("z.csv", 1)])
     assert "FAILED" in report.summary()
-    assert missing_keys(left, right).collect() == [("pnemas.csv", 2)]
-    assert shared_keys(left, right).collect() == [("pnemas.csv", 1)]
+    assert missing_keys(left, right).collect() == [("sample.csv", 2)]
+    assert shared_keys(left, right).collect() == [("sample.csv", 1)]
     with pytest.raises(ValueError, match="duplicate key on the right"):
         parity_report(left, right.unionByName(right))
 
