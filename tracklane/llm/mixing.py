@@ -5,7 +5,7 @@ probability. Two fractional documents trade mass in proportion to one over their
 leaves the source's expected words and every document's own expectation unchanged. Trading runs inside blocks of
 documents (block = hash of the document, so a hot source is many blocks) and leaves one fractional document per block;
 the residuals of up to FAN blocks trade at the next level of a tree, until one is left per source and is drawn. So a
-source's taken words miss its target by less than the size of one document.
+source's taken words miss its target by less than the size of one document, as a rule a small one.
 
 Edge cases: null text has size 0, is never taken and moves no mass; sources sort by code point with null last (null is a
 source of its own); a source whose documents are all empty has target 0; an empty table gives an empty result. Rows that
@@ -82,7 +82,8 @@ def _trade(p: np.ndarray, size: np.ndarray, seed: int) -> int | None:
 
 def _round_block(level: int, last: bool):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["tie", "size", "p"], ignore_index=True)
+        # Large documents first: they are settled against the many smaller ones, and the one left over is small.
+        rows = rows.sort_values(["size", "tie", "p"], ascending=[False, True, True], ignore_index=True)
         p, size = rows["p"].to_numpy(copy=True), rows["size"].to_numpy(np.float64)
         seed = int(mix(np.array([int(rows["group_seed"].iloc[0]) & (2**64 - 1)], np.uint64) + np.uint64(level))[0])
         open_at = _trade(p, size, seed)
