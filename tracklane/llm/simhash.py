@@ -109,7 +109,7 @@ def next_documents(docs: DataFrame) -> DataFrame:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash").asc()]
-    names = docs.groupBy("doc_id", *KEY).agg(F.max("n_chars").alias("n_chars"))
+    names = docs.groupBy("doc_id", *KEY).agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
     ranged = stored(names.repartitionByRange(parts, *order).select("*", F.spark_partition_id().alias("part")), "order")
     row = F.struct(*KEY)
     inside = ranged.withColumn("place", F.row_number().over(W.partitionBy("part").orderBy(*order))).withColumn("next", F.lead(row).over(W.partitionBy("part").orderBy(*order)))
@@ -117,7 +117,7 @@ def next_documents(docs: DataFrame) -> DataFrame:
     everything = W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     after = heads.select("part", F.coalesce(F.lead("head").over(W.orderBy("part")), F.first("head").over(everything)).alias("head"))
     chosen = F.coalesce("next", "head")
-    return inside.join(after, "part").select("doc_id", *KEY, "n_chars", *[chosen[k].alias(f"next_{k}") for k in KEY])
+    return inside.join(after, "part").select("doc_id", *KEY, "n_chars", "copies", *[chosen[k].alias(f"next_{k}") for k in KEY])
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
@@ -128,11 +128,12 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("id_hash", F.xxhash64("doc_id")).withColumn("text_hash", F.xxhash64("text"))
     links = stored(next_documents(rows.select("doc_id", *KEY, F.char_length("text").cast("long").alias("n_chars"))), "next")
-    whole = rows.groupBy(*KEY).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    # The same columns for both uses below, so that Spark moves the texts once and reads them twice.
+    whole = rows.groupBy(*KEY).agg(F.first("text").alias("text"))
     # What each document lends, and to whom; every document lends to exactly one.
     lent = links.select(*[F.col(f"next_{k}").alias(k) for k in KEY], *[F.col(k).alias(f"to_{k}") for k in KEY], F.expr("cast(n_chars div 2 as int)").alias("wanted"))
-    pieces = whole.select(*KEY, "text").join(lent, KEY).select(*[F.col(f"to_{k}").alias(k) for k in KEY], F.left("text", F.col("wanted")).alias("piece"))
-    near = links.select(*KEY, "n_chars", *[f"next_{k}" for k in KEY])
+    pieces = whole.join(lent, KEY).select(*[F.col(f"to_{k}").alias(k) for k in KEY], F.left("text", F.col("wanted")).alias("piece"))
+    near = links.select("doc_id", *KEY, "n_chars", "copies", *[f"next_{k}" for k in KEY])
     both = whole.join(near, KEY).join(pieces, KEY)
     edited = F.concat(F.left("text", F.expr("cast(n_chars - n_chars div 2 as int)")), "piece")
     return both.select("doc_id", *KEY, "copies", "n_chars", "text", edited.alias("edited"), *[f"next_{k}" for k in KEY])
