@@ -4,8 +4,8 @@
 2. Index. A set's shingles are ordered by how common they are, rare ones first. Two sets that link share at least LEAST of
    the first ones (all but what 0.8 requires, plus LEAST), so only those enter inverted lists.
 3. Skipping by position. Lists are sorted by set size. Lists of up to SHORT sets yield their pairs, sizes permitting, and
-   a pair goes on if it met LEAST times. Longer lists, which near copies cause, are cut into blocks; pairs of blocks whose
-   sizes are too far apart are skipped, the others are compared inside one task each, whole sets at hand.
+   a pair goes on if it met LEAST times. Longer lists, which near copies cause, are put together by their first member and
+   cut into blocks; blocks whose sizes are too far apart are skipped, others compared inside one task, whole sets at hand.
 4. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
    pair inside a component is compared again; a block yields a spanning tree of its links, never all of them.
 
@@ -140,13 +140,13 @@ def _short_pairs(token: np.ndarray, n: np.ndarray, sid: np.ndarray, start: np.nd
 
 
 def scan_lists(entries: DataFrame) -> DataFrame:
-    """Walk the sorted lists once. Rows of pairs (a, b, need, times), and of members of long lists (token, block, n, a = sid)."""
-    columns = ["a", "b", "need", "times", "token", "block", "n"]
+    """Walk the sorted lists once. Rows of pairs (a, b, need, times), and of members of long lists (a = sid, lead = the list's first sid, n)."""
+    columns = ["a", "b", "need", "times", "lead", "n"]
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = pd.DataFrame({"token": [], "n": [], "sid": []}, dtype="int64")
-        # A long list is passed on as it streams by: its token, and how many members are out.
-        open_token, gone = None, 0
+        # A long list is passed on as it streams by: its token and its first member.
+        open_token, lead = None, 0
         for batch in _and_end(batches):
             rows = kept if batch is None else pd.concat([kept, batch], ignore_index=True)
             token, n, sid = (rows[c].to_numpy(np.int64) for c in ("token", "n", "sid"))
@@ -163,12 +163,10 @@ def scan_lists(entries: DataFrame) -> DataFrame:
                 if size[k] > SHORT or going_on:
                     # The first kept row of a list that goes on repeats its last member, to tell copies across batches.
                     skip = 1 if going_on else 0
-                    base = gone if going_on else 0
-                    m = size[k] - skip
-                    place = base + np.arange(m)
-                    members.append(pd.DataFrame({"a": sid[own][skip:], "n": n[own][skip:], "token": token[own][skip:], "block": place // BLOCK}))
+                    first = lead if going_on else sid[start[k]]
+                    members.append(pd.DataFrame({"a": sid[own][skip:], "lead": first, "n": n[own][skip:]}))
                     if k == last:
-                        open_token, gone = token[start[k]], base + m
+                        open_token, lead = token[start[k]], first
             short = (size >= 2) & (size <= SHORT) & (np.arange(len(size)) < last)
             if open_token is not None:
                 short &= token[start] != open_token if len(start) else short
@@ -182,12 +180,12 @@ def scan_lists(entries: DataFrame) -> DataFrame:
                 if open_token is not None and token[start[-1]] == open_token:
                     tail = slice(len(token) - 1, None)
                 elif open_token is not None:
-                    open_token, gone = None, 0
+                    open_token = None
                 kept = pd.DataFrame({"token": token[tail], "n": n[tail], "sid": sid[tail]})
 
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = entries.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
-    return stored(laid.mapInPandas(walk, "a long, b long, need long, times long, token long, block long, n long"), "lists")
+    return stored(laid.mapInPandas(walk, "a long, b long, need long, times long, lead long, n long"), "lists")
 
 
 def _and_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
@@ -195,12 +193,16 @@ def _and_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
     yield None
 
 
-def check_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def needed_texts(pairs: DataFrame, members: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """sid and text of every set that takes part in a comparison; all texts move once for it, and only these again."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(members.select(F.col("a").alias("sid"))).distinct()
+    return stored(asked.join(reps, "sid").join(texts, KEY).select("sid", "text"), "texts")
+
+
+def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that link; every pair is compared on the whole sets."""
-    name = lambda side: reps.select(F.col("sid").alias(side), *[F.col(k).alias(f"{side}_{k}") for k in KEY])
-    named = pairs.join(name("a"), "a").join(name("b"), "b")
-    text = lambda side: texts.select(*[F.col(k).alias(f"{side}_{k}") for k in KEY], F.col("text").alias(f"{side}_text"))
-    both = named.join(text("b"), [f"b_{k}" for k in KEY]).join(text("a"), [f"a_{k}" for k in KEY]).select("a", "b", "a_text", "b_text")
+    text = lambda side: texts.select(F.col("sid").alias(side), F.col("text").alias(f"{side}_text"))
+    both = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "a_text", "b_text")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, mine = None, None
@@ -253,18 +255,26 @@ def _compare_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def check_blocks(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside long lists that join sets of different components."""
-    known = members.select(F.col("a").alias("sid"), "token", "block", "n").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    # Lists whose sets are all in one component have nothing left to answer.
-    mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    blocks = known.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most")).join(mixed, "token")
-    other = blocks.select("token", F.col("block").alias("other"), F.col("least").alias("other_least"))
-    # Blocks are in order of size: the later one must begin within reach of the earlier one's largest set.
-    cells = blocks.join(other, "token").where((F.col("other") >= F.col("block")) & (100 * F.col("most") >= PERCENT * F.col("other_least")))
-    cells = cells.select("token", F.col("block").alias("low"), F.col("other").alias("high"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
-    placed = known.join(cells, ["token", "block"]).join(reps, "sid").join(texts, KEY)
-    return placed.select("token", "low", "high", "sid", "n", "label", "text").groupBy("token", "low", "high").applyInPandas(_compare_cell, "a long, b long")
+def check_blocks(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links inside long lists that join sets of different components.
+
+    Lists with one first member hold much the same sets, so they are one family: whoever shares a list shares a family.
+    Families of more than BLOCK sets are cut by size, and by hash where a size class is still too large.
+    """
+    family = members.select("lead", F.col("a").alias("sid"), "n").distinct().join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    # Families whose sets are all in one component have nothing left to answer.
+    total = family.groupBy("lead").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total")).where("low <> high").select("lead", "total")
+    classed = stored(family.join(total, "lead").withColumn("class", F.when(F.col("total") <= BLOCK, 0).otherwise(F.floor(F.log("n") / F.log(F.lit(1.1))))).drop("total"), "family")
+    parts = classed.groupBy("lead", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    placed = classed.join(parts, ["lead", "class"]).withColumn("part", F.pmod(F.xxhash64("sid"), "parts")).withColumn("block", F.struct("class", "part"))
+    blocks = placed.groupBy("lead", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    other = blocks.select("lead", F.col("block").alias("other"), F.col("least").alias("other_least"), F.col("most").alias("other_most"))
+    # Blocks whose sizes are out of reach of each other are skipped.
+    near = (100 * F.col("most") >= PERCENT * F.col("other_least")) & (100 * F.col("other_most") >= PERCENT * F.col("least"))
+    cells = blocks.join(other, "lead").where((F.col("other") >= F.col("block")) & near)
+    cells = cells.select("lead", F.col("block").alias("low"), F.col("other").alias("high"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    laid = placed.join(cells, ["lead", "block"]).join(texts, "sid")
+    return laid.select("lead", "low", "high", "sid", "n", "label", "text").groupBy("lead", "low", "high").applyInPandas(_compare_cell, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -296,13 +306,12 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lists = scan_lists(inverted_entries(rows, (token[order], common["met"].to_numpy(np.int64)[order])))
     # One row stands for all rows of a set.
     reps = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key")).select("sid", *[F.col(f"key.{k}").alias(k) for k in KEY])
-    texts = rows.select(*KEY, "text")
-    pairs = lists.where("token IS NULL").groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need")).where("times >= need").select("a", "b")
-    links = stored(check_pairs(pairs, reps, texts), "links")
-    members = lists.where("token IS NOT NULL")
+    met = lists.where("lead IS NULL").groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need"))
+    pairs, members = stored(met.where("times >= need").select("a", "b"), "pairs"), lists.where("lead IS NOT NULL")
+    texts = needed_texts(pairs, members, reps, rows.select(*KEY, "text"))
+    links = stored(check_pairs(pairs, texts), "links")
     if not members.isEmpty():
-        more = check_blocks(members, components(links), reps, texts)
-        links = stored(links.unionByName(more), "links")
+        links = stored(links.unionByName(check_blocks(members, components(links), texts)), "links")
     labels = components(links)
     first = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"))
     placed = first.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
