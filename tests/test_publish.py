@@ -165,6 +165,31 @@ def test_recordings_end_to_end(spark, tmp_path):
     assert empty.status == "failed" and empty.silver.frames == 0
 
 
+def test_a_batch_that_fails_its_gate_never_reaches_serving(spark, tmp_path):
+    layers, serving = str(tmp_path / "layers"), str(tmp_path / "serving")
+    bad, good = tmp_path / "bad", tmp_path / "good"
+    bad.mkdir()
+    good.mkdir()
+    (bad / "x.csv").write_text(f"{HEADER}\n{two_frames(1)}\n" + "2; Car; 1\n" * 50)
+    write_recording(good / "y.csv", 3, 4)
+    assert load_recordings(spark, str(bad), layers, serving, "r1").status == "failed"
+    assert load_recordings(spark, str(good), layers, serving, "r2").status == "success"
+    assert tracks(spark, serving) == [("y.csv", 3), ("y.csv", 4)]
+    assert {r.source_file for r in read_layer(spark, f"{layers}/silver", S.SILVER).select("source_file").collect()} == {"y.csv"}
+
+
+def test_a_source_without_valid_records_loses_its_old_rows(spark, tmp_path):
+    layers, serving, folder = str(tmp_path / "layers"), str(tmp_path / "serving"), tmp_path / "in"
+    folder.mkdir()
+    write_recording(folder / "a.csv", 1, 2)
+    write_recording(folder / "b.csv", *range(1, 301))
+    assert load_recordings(spark, str(folder), layers, serving, "r1").published.published_rows == 302
+    (folder / "a.csv").write_text(f"{HEADER}\n2; Car; 1\n")
+    assert load_recordings(spark, str(folder), layers, serving, "r2").status == "success"
+    for layer in (f"{layers}/summary", serving):
+        assert {name for name, _ in tracks(spark, layer)} == {"b.csv"}
+
+
 def test_stream_picks_up_new_files_only(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -349,7 +349,7 @@ def validate_dataset(
     try:
         df = _read_stored(spark, path)
     except Exception as error:  # noqa: BLE001 - any read error is the finding
-        rows = [("readable", FAILED, None, "readable", str(error)[:500])]
+        rows = [("readable", FAILED, None, "readable", str(error))]
         rows += [(c.name, SKIPPED, None, c.expected, None) for c in checks]
         return report(path, spark.createDataFrame(rows, shape))
     # Partition columns come back last, and Parquet forgets the declared order of the layer.

@@ -107,11 +107,16 @@ def write_summary(spark: SparkSession, summary: DataFrame, path: str, mode: str
     written = observed(seen, "rows", "frames")
     if not written["rows"]:
         return WriteResult(path, 0, 0, 0, "failed")
-    stored = read_layer(spark, path, S.SUMMARY).agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
-    complete = stored >= written["rows"] if mode == REPLACE_SOURCES else stored == written["rows"]
-    return WriteResult(
-        path, stored, written["rows"], written["frames"], "success" if complete else "failed"
-    )
+    stored = _read_back(spark, path, summary)
+    complete = (stored["rows"], stored["frames"]) == (written["rows"], written["frames"])
+    return WriteResult(path, stored["rows"], written["rows"], written["frames"], "success" if complete else "failed")
+
+
+def _read_back(spark: SparkSession, path: str, batch: DataFrame):
+    """Rows and frames a reader finds for the sources of a batch; other sources do not count."""
+    sources = batch.select("source_file").distinct()
+    found = read_layer(spark, path, S.SUMMARY).join(sources, "source_file", "left_semi")
+    return found.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames")).first()
 
 
 def replace_sources(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -178,11 +183,13 @@ def publish(
     )
     # Reads the partition folders only.
     sources = staged.select("source_file").distinct().count()
-    published, removed = 0, False
+    published, removed, complete = 0, False, False
     if found.passed:
         write_by_source(staged, target, mode, rows_per_file)
-        published = read_layer(spark, target, S.SUMMARY).count()
-        removed = _delete(spark, staging)
+        stored = _read_back(spark, target, staged)
+        published = stored["rows"]
+        complete = (published, stored["frames"]) == (int(found.observed("staged_rows")), int(found.observed("frame_sum")))
+        removed = complete and _delete(spark, staging)
     return PublishResult(
         target,
         staging,
@@ -194,7 +201,7 @@ def publish(
         sources,
         started,
         datetime.datetime.now(datetime.timezone.utc),
-        "success" if found.passed else "failed",
+        "success" if complete else "failed",
         removed,
         found,
     )
@@ -207,6 +214,11 @@ def drop_sources(spark: SparkSession, path: str, sources: list[str]) -> None:
         _delete(spark, f"{path.rstrip('/')}/source_file={escape(source)}")
 
 
+def remove_staging(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        _delete(spark, path)
+
+
 def published_sources(summary: DataFrame) -> DataFrame:
     return summary.select("source_file").distinct().orderBy("source_file")
 

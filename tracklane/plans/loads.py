@@ -44,6 +44,7 @@ def load_silver(
     rejects_path: str | None = None,
     speed_unit: str = "ms",
     max_reject_fraction: float = S.MAX_REJECT_FRACTION,
+    mode: str = publish.REPLACE_SOURCES,
 ) -> SilverResult:
     """Parse records and write their frames; accepted and rejected records are counted on the way.
 
@@ -58,7 +59,7 @@ def load_silver(
     ]
     counted = parsed.observe(seen, *counts)
     written = publish.write_frames(
-        with_provenance(frames_of(counted), bronze_key, _now()), path, gather=False
+        with_provenance(frames_of(counted), bronze_key, _now()), path, mode, gather=False
     )
     totals = publish.observed(seen, "records", "rejected") if written.rows else parsed.agg(*counts).first()
     kept = None
@@ -85,32 +86,48 @@ class LoadResult:
 def load_recordings(
     spark: SparkSession, source: str, layers: str, serving: str, run_id: str, speed_unit: str = "ms", **read_options
 ) -> LoadResult:
-    """Recordings → Silver → checks → summary → checks and frame conservation → published serving data.
+    """Recordings → staged Silver → checks → staged summary → checks and frame conservation → serving data and layers.
 
-    Stops at the first gate that fails, leaving everything after it untouched.
+    Everything is staged under the run's name and covers this run's sources only. Stops at the first gate that fails; then
+    no layer and no serving data has changed, and what was staged stays for inspection. Once all gates hold, the sources
+    read replace their earlier rows, also those that now give no frame.
     """
     layers = layers.rstrip("/")
     silver_path, summary_path = f"{layers}/silver", f"{layers}/summary"
+    staged_silver, staged_summary = publish.staging_path(silver_path, run_id), publish.staging_path(summary_path, run_id)
     result = LoadResult("failed")
     result.silver = load_silver(
-        spark, read_records(spark, source, **read_options), silver_path, source, f"{layers}/rejects_{run_id}", speed_unit
+        spark, read_records(spark, source, **read_options), staged_silver, source, f"{layers}/rejects_{run_id}", speed_unit,
+        mode=publish.REPLACE_SNAPSHOT,
     )
     if result.silver.status != "success":
         return result
-    result.silver_checks = checks.validate_dataset(spark, silver_path, S.SILVER, checks.frame_checks())
+    result.silver_checks = checks.validate_dataset(spark, staged_silver, S.SILVER, checks.frame_checks())
     if not result.silver_checks.passed:
         return result
-    frames = read_layer(spark, silver_path, S.SILVER)
-    result.summary = publish.write_summary(spark, summarise_trajectories(frames), summary_path)
+    frames = read_layer(spark, staged_silver, S.SILVER)
+    result.summary = publish.write_summary(spark, summarise_trajectories(frames), staged_summary, publish.REPLACE_SNAPSHOT)
     if result.summary.status != "success":
         return result
-    result.summary_checks = checks.validate_dataset(spark, summary_path, S.SUMMARY, checks.summary_checks())
-    summary = read_layer(spark, summary_path, S.SUMMARY)
+    result.summary_checks = checks.validate_dataset(spark, staged_summary, S.SUMMARY, checks.summary_checks())
+    summary = read_layer(spark, staged_summary, S.SUMMARY)
     result.conserved = checks.report("frames", checks.check_frames_conserved(frames, summary))
     if not (result.summary_checks.passed and result.conserved.passed):
         return result
     result.published = publish.publish(spark, summary, serving, run_id)
     result.status = result.published.status
+    if result.status != "success":
+        return result
+    publish.write_by_source(frames, silver_path, gather=False)
+    publish.write_by_source(summary, summary_path)
+    if result.silver.rejects_path:
+        # A source all of whose records were rejected has no folder in the batch to replace its old one.
+        rejected = spark.read.parquet(result.silver.rejects_path).select("source_file").distinct()
+        emptied = [r["source_file"] for r in rejected.join(summary.select("source_file").distinct(), "source_file", "left_anti").collect()]
+        for layer in (silver_path, summary_path, serving):
+            publish.drop_sources(spark, layer, emptied)
+    publish.remove_staging(spark, staged_silver, staged_summary)
+    result.silver.path, result.summary.path = silver_path, summary_path
     return result
 
 
@@ -165,7 +182,7 @@ def load_new_files(
             emptied = done.filter(F.col("rows_loaded") == 0).select("source_file").collect()
             publish.drop_sources(spark, raw_path, [r["source_file"] for r in emptied])
         except Exception as error:
-            runs.append_runs(entries(unread(pending), "failed", str(error)[:2000]), runs_path)
+            runs.append_runs(entries(unread(pending), "failed", str(error)), runs_path)
             raise
     stored = scratch_path(spark, "runs")
     this_run = made[0] if len(made) == 1 else made[0].unionByName(made[1])
