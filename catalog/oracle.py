@@ -317,6 +317,16 @@ def oracle_sql() -> dict[str, str]:
         "publish_rejected": SUMMARY,
         "stream_publish": SUMMARY,
         "published_sources": f"select distinct source_file from ({FACT}) order by source_file",
+        "load_recordings_end_to_end": f"select * exclude (source_file) from ({summary(RECORDING_SQL)})",
+        "load_gate_holds": f"""select * exclude (source_file), 'failed success' as statuses
+  from ({summary(f"select * from ({RECORDING_SQL}) where track % 2 = 0")})""",
+        "load_emptied_source": f"""select * exclude (source_file), (select count(distinct track) from ({RECORDING_SQL})
+  where track % 2 = 0) as served_before from ({summary(f"select * from ({RECORDING_SQL}) where track <> 0")})""",
+        "provenance": f"""select {FRAME_COLUMNS}, 'bronze/recordings.zip' as bronze_key,
+  epoch_us(timestamp '2024-01-02') as ingested_at from ({RECORDING_SQL})""",
+        "exported_summary": SUMMARY,
+        "repair_accelerations": f"""select event_id, plain, case when abs(plain) <= {S.REPAIRED_ACCELERATION_MAX} then plain end as repaired
+  from (select event_id, cast(printf('%.2f', lon_acc_ms2) as double) as plain from ({RECORDING_SQL}))""",
         "stage_runs": f"""select run_id, dag_id, task_id, source_file, status, coalesce(rows_loaded, 0) as rows_loaded,
   coalesce(rows_rejected, 0) as rows_rejected, error_message, started_at, finished_at, duration_s,
   status = 'success' as is_success, status = 'failed' as is_failed, status = 'skipped' as is_skipped from ({RUNS_SQL})""",

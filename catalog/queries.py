@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -16,9 +17,10 @@ from tracklane.functions import repair
 from tracklane.functions.lines import CUT, join_physical_lines
 from tracklane.functions.urls import object_name, safe_url
 from tracklane.operators import checks, parity, publish, runs, staging, summary
-from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of
+from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of, with_provenance
 from tracklane.operators.records import assemble_records, number_records
 from tracklane.plans import marts
+from tracklane.plans.loads import load_recordings
 from tracklane.session import scratch_path
 from tracklane.sources.archive import list_archive_members, read_archive_lines
 from tracklane.sources.files import dataset_metrics, read_layer, read_lines, read_source, register_sources
@@ -336,13 +338,16 @@ def _archives(spark: SparkSession, sf_dir: str) -> str:
         storage, inner = filesystem_of(folder)
         storage.create_dir(inner)
         target = f"{inner}/part{number:05d}.zip"
-        with storage.open_output_stream(target) as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+        # A name per attempt: a repeated task replaces the whole file, never a part of it.
+        attempt = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
+        with storage.open_output_stream(attempt) as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("__MACOSX/part.csv", "x")
             with archive.open(f"data/part{number:05d}.csv", "w") as member:
                 member.write(b"track_id; type; traveled_d; avg_speed\r\n")
                 for batch in batches:
                     for value in batch["value"]:
                         member.write((value + "\n").encode())
+        storage.move(attempt, target)
         yield pd.DataFrame({"archive": [target]})
 
     texts = _recording_texts(spark, sf_dir).select("value")
@@ -489,6 +494,102 @@ def storage_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.storage_footprint(spark, target)
 
 
+# --- loads from end to end ------------------------------------------------------------------------
+
+
+def _write_recordings(texts: DataFrame, folder: str, named: str | None = None) -> None:
+    """The records as text files; those of track 0 go to the file ``named``, if there is one."""
+    rest = texts if named is None else texts.filter("track <> 0")
+    rest.select("value").write.mode("append").text(folder)
+    if named is None:
+        return
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lines = [value for batch in batches for value in batch["value"]]
+        if lines:
+            storage, inner = filesystem_of(folder)
+            attempt = f"{inner}/{named}.{TaskContext.get().taskAttemptId()}.tmp"
+            with storage.open_output_stream(attempt) as stream:
+                stream.write(("\n".join(lines) + "\n").encode())
+            storage.move(attempt, f"{inner}/{named}")
+        yield pd.DataFrame({"lines": [len(lines)]})
+
+    # One record, so one task has all of the file.
+    one = texts.filter("track = 0").select("value").mapInPandas(write, "lines int")
+    one.agg(F.sum("lines")).collect()
+
+
+def _load(spark: SparkSession, folder: str, layers: str, serving: str, run_id: str, **options):
+    return load_recordings(spark, folder, layers, serving, run_id, skipHeader="false", suffix=".txt", **options)
+
+
+def _served(spark: SparkSession, serving: str) -> DataFrame:
+    """What is served; part files have no name that SQL could tell."""
+    return _steady(read_layer(spark, serving, S.SUMMARY)).drop("source_file")
+
+
+@query
+def load_recordings_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings with cut lines, loaded twice: the second run changes nothing."""
+    folder, layers, serving = (scratch_path(spark, name) for name in ("recordings", "layers", "serving"))
+    _write_recordings(_recording_texts(spark, sf_dir), folder)
+    for run_id in ("first", "again"):
+        _load(spark, folder, layers, serving, run_id)
+    return _served(spark, serving)
+
+
+@query
+def load_gate_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with too many rejects, then a good one of other files: only the good one is served."""
+    layers, serving = scratch_path(spark, "layers"), scratch_path(spark, "serving")
+    faulty, good = scratch_path(spark, "faulty"), scratch_path(spark, "good")
+    texts = _recording_texts(spark, sf_dir)
+    broken = F.when(F.col("track") % 4 == 1, F.replace("value", F.lit(";"), F.lit(","))).otherwise(F.col("value"))
+    _write_recordings(texts.filter("track % 2 = 1").withColumn("value", broken), faulty)
+    _write_recordings(texts.filter("track % 2 = 0"), good)
+    statuses = [_load(spark, folder, layers, serving, run_id).status for folder, run_id in ((faulty, "bad"), (good, "good"))]
+    return _served(spark, serving).withColumn("statuses", F.lit(" ".join(statuses)))
+
+
+@query
+def load_emptied_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that gave a track and now gives none loses it; files that were not read again keep theirs."""
+    layers, serving = scratch_path(spark, "layers"), scratch_path(spark, "serving")
+    before, after = scratch_path(spark, "before"), scratch_path(spark, "after")
+    texts = _recording_texts(spark, sf_dir)
+    damaged = F.when(F.col("track") == 0, F.regexp_replace("value", "^([^;]*;[^;]*;)[^;]*;", "$1 none;")).otherwise(F.col("value"))
+    _write_recordings(texts.filter("track % 2 = 0"), before, "track0.txt")
+    _write_recordings(texts.filter("track % 2 = 1 OR track = 0").withColumn("value", damaged), after, "track0.txt")
+    first = _load(spark, before, layers, serving, "before")
+    served_before = first.published.published_rows
+    # Few records at a small scale: one reject may be more than the usual share.
+    _load(spark, after, layers, serving, "after", max_reject_fraction=0.5)
+    return _served(spark, serving).withColumn("served_before", F.lit(served_before).cast("bigint"))
+
+
+@query
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows: parsed frames stamped with their origin and the time of the run."""
+    stamped = with_provenance(repair_frames(spark, sf_dir), "bronze/recordings.zip", datetime.datetime(2024, 1, 2, tzinfo=datetime.timezone.utc))
+    return stamped.withColumn("ingested_at", F.unix_micros("ingested_at"))
+
+
+@query
+def exported_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written as JSON lines and read again."""
+    folder = scratch_path(spark, "export")
+    publish.export_json(_fact(spark, sf_dir), folder)
+    return _steady(spark.read.schema(S.SUMMARY).json(folder))
+
+
+@query
+def repair_accelerations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accelerations whose line ended behind the second decimal; beyond the bound of repairs there is none."""
+    value = F.format_string("%.2f", F.col("lon_acc").cast("double"))
+    rebuilt = repair.repair_acceleration(F.concat(value, F.lit(CUT)))
+    return I.recording_frames(spark, sf_dir).select("event_id", value.cast("double").alias("plain"), rebuilt.alias("repaired"))
+
+
 # --- run log -----------------------------------------------------------------------------------------
 
 

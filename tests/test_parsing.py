@@ -6,8 +6,10 @@ from samples import FIRST, HEADER, SECOND, frame, record, two_frames
 
 from tracklane.functions import repair
 from tracklane.functions.lines import CUT, is_record_start, join_physical_lines, unquoted_fields
+from tracklane.operators import records as record_operators
 from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of, with_provenance
 from tracklane.operators.records import assemble_records, limit_records, number_records
+from tracklane.sources import records as record_source
 
 # name → (physical lines after the header, expected (track, lat, lon, time) per frame)
 GOOD = [(0.0, 37.977391, 23.737688), (0.04, 37.977391, 23.737688)]
@@ -109,7 +111,7 @@ def test_verdicts(spark):
     parsed = parse_records(spark.createDataFrame(rows, "source_file string, block bigint, seq bigint, text string"))
     got = {r.seq: r for r in parsed.collect()}
     assert {i: got[i + 1].reason_code for i in range(len(VERDICTS))} == dict(enumerate(VERDICTS.values()))
-    assert got[99].reason_code == "record_too_long"
+    assert got[99].reason_code == "no_text"
     types = [r.vehicle_type for r in got.values() if r.reason_code is None]
     assert types == ["Car"] * 5 + ["Medium Vehicle", "Bus", "Car", 'Heavy;"Vehicle"', "Taxi"]
     counts = parse_counts(parsed).first()
@@ -228,13 +230,27 @@ def test_record_numbers_and_limits(spark):
     assert limit_records(records, 3).count() == 3 and limit_records(records, 0).count() == 4
 
 
-def test_records_that_outgrow_the_limit_are_rejected_not_cut(spark):
+def test_a_record_over_many_parts_comes_whole_and_one_beyond_a_string_is_an_error(spark, monkeypatch):
     lines = [("a.csv", p, p, t) for p, t in enumerate([HEADER, two_frames(1), "1" * 50, "2" * 50, two_frames(2)])]
     df = spark.createDataFrame(lines, "source_file string, block bigint, pos bigint, line string")
-    verdicts = parse_records(assemble_records(df, max_record_chars=60)).select("block", "reason_code").collect()
-    assert sorted(verdicts) == [(1, "record_too_long"), (4, None)]
-    whole = assemble_records(df, max_record_chars=1000).filter("block = 1").first().text
+    whole = assemble_records(df).filter("block = 1").first().text
     assert whole == "\n".join([two_frames(1), "1" * 50, "2" * 50])
+    monkeypatch.setattr(record_operators, "LARGEST_TEXT", 60)
+    with pytest.raises(Exception, match="a.csv: the record that begins in part 1 is longer than 60"):
+        assemble_records(df).collect()
+
+
+def test_the_reader_cuts_no_record_and_names_the_one_it_cannot_hold(tmp_path, monkeypatch):
+    frames = ";".join(FIRST for _ in range(500))
+    path = tmp_path / "a.csv"
+    path.write_text(f"{HEADER}\n1; Car; 2; 3; {FIRST};\n2; Car; 2; 3;\n{frames};\n", encoding="utf-8")
+    reader = record_source.RecordReader({"path": str(path), "rangeBytes": "64"})
+    texts = [text for part in reader.partitions() for _, text in reader._records(part)]
+    assert texts == [f"1; Car; 2; 3; {FIRST};", f"2; Car; 2; 3;\n{frames};"]
+    begin = path.read_bytes().index(b"2; Car")
+    monkeypatch.setattr(record_source, "LARGEST_TEXT", len(texts[1]) - 1)
+    with pytest.raises(ValueError, match=f"a.csv: the record that begins at byte {begin} is longer"):
+        [record for part in reader.partitions() for record in reader._records(part)]
 
 
 def test_preamble_that_fills_whole_parts(spark):

@@ -200,7 +200,7 @@ def _verdict() -> Column:
     nothing = F.lit(None).cast("string")
     return (
         F.when(F.col("seq") == 0, reject("preamble", nothing))
-        .when(F.col("width").isNull(), reject("record_too_long", nothing))
+        .when(F.col("width").isNull(), reject("no_text", nothing))
         .when(F.col("width") < HEADER + WIDTH, reject("too_few_fields", F.col("width")))
         .when((F.col("track_token") == "") | F.col("track_token").contains(CUT), reject("damaged_track_id", nothing))
         .when(F.col("track_id").isNull(), reject("bad_track_id", F.col("track_token")))

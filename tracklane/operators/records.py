@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from tracklane.functions.lines import is_record_start
 
 
-# A text value cannot pass 2 GB in the JVM; longer records are rejected, not read in part.
-MAX_RECORD_CHARS = 512 * 1024 * 1024
+# A JVM text value holds no more; a record beyond it stops the job with an error.
+LARGEST_TEXT = 2**31 - 1
 
 
-def assemble_records(
-    lines: DataFrame, skip_header: bool = True, max_record_chars: int = MAX_RECORD_CHARS
-) -> DataFrame:
+def assemble_records(lines: DataFrame, skip_header: bool = True) -> DataFrame:
     """Rebuild records from ``lines(source_file, block, pos, line)`` of any origin.
 
     ``block`` orders the parts of a file (0 is the first) and ``pos`` the lines inside a part. Leading
     lines of a part belong to the last earlier part in which a record starts. A light pass finds that
     owner for every part, one row each; then the text is spread once by (file, owner) and each owner
-    numbers and joins its records on its own, so one huge file is as parallel as many small ones. The
-    text of a record longer than ``max_record_chars`` is null.
+    numbers and joins its records on its own, so one huge file is as parallel as many small ones.
     """
     bare = F.ltrim("line", F.lit("\ufeff"))
     first_part = F.col("block") == 0
@@ -46,9 +43,14 @@ def assemble_records(
         )
     )
     leading = F.col("first_start").isNull() | (F.col("pos") < F.col("first_start"))
-    # Lines before the first start of a file form one record that is always rejected, and a record that
-    # is too long has no text: of both, one line per part is enough to know they exist.
-    no_text = leading & ~first_part & (F.col("owner").isNull() | (F.col("tail_chars") > max_record_chars))
+    # Lines before the first start of a file form one record that is always rejected: one line per part
+    # is enough to know it exists.
+    no_text = leading & ~first_part & F.col("owner").isNull()
+    too_long = F.format_string(
+        "%s: the record that begins in part %s is longer than %s characters",
+        "source_file", F.col("owner").cast("string"), F.lit(LARGEST_TEXT),
+    )
+    line = F.when(~F.col("no_text") & (F.col("tail_chars") > LARGEST_TEXT), F.raise_error(too_long)).otherwise(F.col("line"))
     owned = (
         kept.join(parts, ["source_file", "block"])
         .withColumn("no_text", F.coalesce(no_text, F.lit(False)))
@@ -58,7 +60,7 @@ def assemble_records(
             F.when(leading, F.coalesce("owner", F.lit(0))).otherwise(F.col("block")).alias("owner"),
             "block",
             "pos",
-            F.when(F.col("no_text"), F.lit(" ")).otherwise(F.col("line")).alias("line"),
+            F.when(F.col("no_text"), F.lit(" ")).otherwise(line).alias("line"),
             "no_text",
         )
     )

@@ -84,7 +84,14 @@ class LoadResult:
 
 
 def load_recordings(
-    spark: SparkSession, source: str, layers: str, serving: str, run_id: str, speed_unit: str = "ms", **read_options
+    spark: SparkSession,
+    source: str,
+    layers: str,
+    serving: str,
+    run_id: str,
+    speed_unit: str = "ms",
+    max_reject_fraction: float = S.MAX_REJECT_FRACTION,
+    **read_options,
 ) -> LoadResult:
     """Recordings → staged Silver → checks → staged summary → checks and frame conservation → serving data and layers.
 
@@ -98,7 +105,7 @@ def load_recordings(
     result = LoadResult("failed")
     result.silver = load_silver(
         spark, read_records(spark, source, **read_options), staged_silver, source, f"{layers}/rejects_{run_id}", speed_unit,
-        mode=publish.REPLACE_SNAPSHOT,
+        max_reject_fraction, publish.REPLACE_SNAPSHOT,
     )
     if result.silver.status != "success":
         return result

@@ -24,7 +24,8 @@ from tracklane.sources.storage import is_csv_member, list_files, open_archive, o
 RANGE_BYTES = 128 * 1024 * 1024
 SMALLEST_RANGE = 1024 * 1024
 BATCH_BYTES = 16 * 1024 * 1024
-MAX_RECORD_BYTES = 512 * 1024 * 1024
+# Neither an Arrow string column nor a JVM string holds more; a record beyond it stops the read with an error.
+LARGEST_TEXT = 2**31 - 1
 _CHUNK = 1024 * 1024
 _START = re.compile(rb"\s*\d+\s*;\s*[A-Za-z]")
 _ARROW = pa.schema(
@@ -42,8 +43,7 @@ class ByteRange(InputPartition):
 
 class TrajectoryRecords(DataSource):
     """Options: ``members`` all|first, ``rowLimit`` records per file (0 = all), ``skipHeader``,
-    ``suffix`` of the plain files in a folder, ``rangeBytes`` or the ``parallelism`` to aim at,
-    ``maxRecordBytes``."""
+    ``suffix`` of the plain files in a folder, ``rangeBytes`` or the ``parallelism`` to aim at."""
 
     @classmethod
     def name(cls) -> str:
@@ -68,7 +68,6 @@ class RecordReader(DataSourceReader):
         self.skip_header = str(options.get("skipheader", "true")).lower() == "true"
         self.range_bytes = int(options["rangebytes"]) if "rangebytes" in options else None
         self.parallelism = int(options.get("parallelism", 1))
-        self.max_record = int(options.get("maxrecordbytes", MAX_RECORD_BYTES))
 
     def partitions(self) -> list[ByteRange]:
         ranges: list[ByteRange] = []
@@ -93,6 +92,10 @@ class RecordReader(DataSourceReader):
         rows: list[tuple[str, int, int, str | None]] = []
         held = 0
         for seq, text in self._records(part):
+            # A batch holds few bytes or one long record.
+            if rows and held + len(text or "") > BATCH_BYTES:
+                yield _batch(rows)
+                rows, held = [], 0
             rows.append((name, part.start, seq, text))
             held += len(text or "")
             if held >= BATCH_BYTES:
@@ -103,33 +106,31 @@ class RecordReader(DataSourceReader):
 
     def _records(self, part: ByteRange) -> Iterator[tuple[int, str | None]]:
         """(seq, text) of the records the range owns; seq 0 is what comes before a file's first start."""
-        seq, size, seen, pieces = 0, 0, 0, []
+        seq, size, seen, first, pieces = 0, 0, 0, 0, []
         # Lines before the first start of a later range belong to the range before it.
         opened = part.start == 0
         for begin, line in self._lines(part):
-            past = begin >= part.end
             starts = _START.match(line) is not None
-            # Past its range, only an open record that is still wanted whole keeps a reader going.
-            if past and (starts or not opened or seq == 0 or size > self.max_record):
+            # Past its range, only an open record keeps a reader going.
+            if begin >= part.end and (starts or not opened or seq == 0):
                 break
             if starts:
                 if opened and (seq or pieces):
-                    yield seq, self._text(seq, pieces, size)
+                    yield seq, self._text(seq, pieces)
                     seen += 1
                     if self.row_limit and seen >= self.row_limit:
                         return
-                seq, size, pieces, opened = seq + 1, 0, [], True
-            if opened:
+                seq, size, first, pieces, opened = seq + 1, 0, begin, [], True
+            if opened and (seq or not pieces):
+                pieces.append(line)
                 size += len(line) + 1
-                if (seq or not pieces) and size <= self.max_record:
-                    pieces.append(line)
+                if size > LARGEST_TEXT:
+                    raise _too_long("record", part, first)
         if opened and (seq or pieces):
-            yield seq, self._text(seq, pieces, size)
+            yield seq, self._text(seq, pieces)
 
-    def _text(self, seq: int, pieces: list[bytes], size: int) -> str | None:
-        if seq == 0 or size > self.max_record:
-            return None
-        return b"\n".join(pieces).decode("utf-8", errors="replace")
+    def _text(self, seq: int, pieces: list[bytes]) -> str | None:
+        return b"\n".join(pieces).decode("utf-8", errors="replace") if seq else None
 
     def _lines(self, part: ByteRange) -> Iterator[tuple[int, bytes]]:
         """(byte offset, line) of the non-blank lines from the first one that begins in the range on."""
@@ -146,8 +147,10 @@ class RecordReader(DataSourceReader):
                         break
             first = part.start == 0
             header = first and self.skip_header
-            while raw := stream.readline(self.max_record):
+            while raw := stream.readline(LARGEST_TEXT + 1):
                 begin, at = at, at + len(raw)
+                if len(raw) > LARGEST_TEXT:
+                    raise _too_long("line", part, begin)
                 for line in raw.rstrip(b"\r\n").split(b"\r"):
                     if header:
                         header = False
@@ -166,6 +169,11 @@ def member_ranges(path: str, members: str) -> list[ByteRange]:
     return [ByteRange(path, m.filename, 0, m.file_size) for m in (chosen[:1] if members == "first" else chosen)]
 
 
+def _too_long(what: str, part: ByteRange, offset: int) -> ValueError:
+    file = f"{part.path}!{part.member}" if part.member else part.path
+    return ValueError(f"{file}: the {what} that begins at byte {offset} is longer than {LARGEST_TEXT} bytes")
+
+
 def _opened(part: ByteRange):
     if part.member is None:
         return open_bytes(part.path)
