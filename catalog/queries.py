@@ -561,7 +561,7 @@ def load_emptied_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_recordings(texts.filter("track % 2 = 0"), before, "track0.txt")
     _write_recordings(texts.filter("track % 2 = 1 OR track = 0").withColumn("value", damaged), after, "track0.txt")
     first = _load(spark, before, layers, serving, "before")
-    served_before = first.published.published_rows
+    served_before = first.published.rows
     # Few records at a small scale: one reject may be more than the usual share.
     _load(spark, after, layers, serving, "after", max_reject_fraction=0.5)
     return _served(spark, serving).withColumn("served_before", F.lit(served_before).cast("bigint"))

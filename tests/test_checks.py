@@ -11,7 +11,7 @@ from tracklane.operators import checks
 from tracklane.operators.publish import write_by_source
 
 STAMP = datetime.datetime(2024, 1, 1)
-SILVER_ROW = ("sample.csv", 1, "Car", 48.85, 9.77, 37.977391, 23.737688, 4.9178, 0.0518, -0.0299, 0.0, "bronze/x.zip", STAMP)
+SILVER_ROW = ("sample.csv", 1, "Car", 61.25, 7.35, 37.951204, 23.702816, 6.2051, 0.0734, -0.0412, 0.0, "bronze/x.zip", STAMP)
 
 
 def ddl(schema):

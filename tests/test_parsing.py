@@ -12,7 +12,7 @@ from tracklane.operators.records import assemble_records, limit_records, number_
 from tracklane.sources import records as record_source
 
 # name → (physical lines after the header, expected (track, lat, lon, time) per frame)
-GOOD = [(0.0, 37.977391, 23.737688), (0.04, 37.977391, 23.737688)]
+GOOD = [(0.0, 37.951204, 23.702816), (0.04, 37.951204, 23.702816)]
 
 
 def _expected(*tracks):
@@ -21,21 +21,21 @@ def _expected(*tracks):
 
 FILES = {
     "two": ([two_frames(1), two_frames(2)], _expected(1, 2)),
-    "time_cut": ([f"1; Car; 48.85; 9.77; {FIRST}; {SECOND[:-5]}", f"{SECOND[-5:]};"], _expected(1)),
-    "lon_cut": (["1; Car; 48.85; 9.77; 37.977391; 23.7376", f"88; 4.9; 0.0; 0.0; 0.000000; {SECOND};"], _expected(1)),
-    "before_separator": (["1; Car; 48.85; 9.77; 37.977391; 23.73812", f"; 4.9178; 0; 0; 0.0; {SECOND};"],
-                         [(1, 37.977391, 23.73812, 0.0), (1, 37.977391, 23.737688, 0.04)]),
-    "after_separator": (["1; Car; 48.85; 9.77;", f" {FIRST}; {SECOND};"], _expected(1)),
-    "lost_separator": (["1; Car; 48.85; 9.77; 37.977391", f" 23.737688; 4.9; 0; 0; 0.0; {SECOND};"], _expected(1)),
+    "time_cut": ([f"1; Car; 61.25; 7.35; {FIRST}; {SECOND[:-5]}", f"{SECOND[-5:]};"], _expected(1)),
+    "lon_cut": (["1; Car; 61.25; 7.35; 37.951204; 23.7028", f"16; 4.9; 0.0; 0.0; 0.000000; {SECOND};"], _expected(1)),
+    "before_separator": (["1; Car; 61.25; 7.35; 37.951204; 23.82334", f"; 6.2051; 0; 0; 0.0; {SECOND};"],
+                         [(1, 37.951204, 23.82334, 0.0), (1, 37.951204, 23.702816, 0.04)]),
+    "after_separator": (["1; Car; 61.25; 7.35;", f" {FIRST}; {SECOND};"], _expected(1)),
+    "lost_separator": (["1; Car; 61.25; 7.35; 37.951204", f" 23.702816; 4.9; 0; 0; 0.0; {SECOND};"], _expected(1)),
     "extra_field": ([two_frames(1) + " 7;", two_frames(2)], _expected(2)),
     "empty_field": ([record(1, frame(lon="")), two_frames(2)], _expected(2)),
-    "lat_lost_digit": ([record(1, frame(lat="37.979247", time="584.16"), frame(lat=" 3", time="x"))[:-len("; 23.74; 5.0; 0.0; 0.0; x;")],
-                        ".979245; 23.74; 5.0; 0.0; 0.0; 584.20;"],
-                       [(1, 37.979247, 23.74, 584.16), (1, 37.979245, 23.74, 584.2)]),
-    "lon_lost_digit": (["1; Car; 1; 2; 37.98; 23.737818; 1; 0; 0; 0.0; 37.98; 2", ".737820; 1; 0; 0; 0.04;"],
-                       [(1, 37.98, 23.737818, 0.0), (1, 37.98, 23.73782, 0.04)]),
-    "time_lost_point": (["1; Car; 1; 2; 37.98; 23.74; 1; 0; 0; 715.76; 37.98; 23.74; 1; 0; 0; 715", "800000; 37.98; 23.74; 1; 0; 0; 715.84;"],
-                        [(1, 37.98, 23.74, 715.76), (1, 37.98, 23.74, 715.8), (1, 37.98, 23.74, 715.84)]),
+    "lat_lost_digit": ([record(1, frame(lat="37.962318", time="391.16"), frame(lat=" 3", time="x"))[:-len("; 23.74; 5.0; 0.0; 0.0; x;")],
+                        ".962316; 23.74; 5.0; 0.0; 0.0; 391.20;"],
+                       [(1, 37.962318, 23.74, 391.16), (1, 37.962316, 23.74, 391.2)]),
+    "lon_lost_digit": (["1; Car; 1; 2; 37.98; 23.718238; 1; 0; 0; 0.0; 37.98; 2", ".718240; 1; 0; 0; 0.04;"],
+                       [(1, 37.98, 23.718238, 0.0), (1, 37.98, 23.71824, 0.04)]),
+    "time_lost_point": (["1; Car; 1; 2; 37.98; 23.74; 1; 0; 0; 823.76; 37.98; 23.74; 1; 0; 0; 823", "800000; 37.98; 23.74; 1; 0; 0; 823.84;"],
+                        [(1, 37.98, 23.74, 823.76), (1, 37.98, 23.74, 823.8), (1, 37.98, 23.74, 823.84)]),
     "time_lost_digit": (["1; Car; 1; 2; 37.98; 23.74; 1; 0; 0; 46.76; 37.98; 23.74; 1; 0; 0; 6", ".800000; 37.98; 23.74; 1; 0; 0; 46.84;"],
                         [(1, 37.98, 23.74, 46.76), (1, 37.98, 23.74, 46.8), (1, 37.98, 23.74, 46.84)]),
     "hopeless_lat": (["1; Car; 1; 2; 9", ".123456; 23.74; 1; 0; 0; 0.0;", two_frames(2)], _expected(2)),
@@ -102,7 +102,7 @@ VERDICTS = {
     f"5; Bus　;1;2;{FIRST};  ": None,
     f"5; C{CUT}ar; 1; 2; {FIRST};": None,
     f'5;"Heavy;""Vehicle""" ;1;2; {FIRST};': None,
-    f'5;"Taxi";1;2; 37.97{CUT}7391; 23.737688; 4.9; 0; 0; 0;': None,
+    f'5;"Taxi";1;2; 37.95{CUT}1204; 23.702816; 4.9; 0; 0; 0;': None,
 }
 
 
@@ -122,7 +122,7 @@ def test_speed_unit(spark):
     rows = [("a.csv", 0, 1, record(1, frame(speed="36.0")))]
     records = spark.createDataFrame(rows, "source_file string, block bigint, seq bigint, text string")
     got = frames_of(parse_records(records, "kmh")).first()
-    assert (got.speed_ms, got.avg_speed_ms, got.lon_acc_ms2) == (pytest.approx(10.0), pytest.approx(9.77 / 3.6), 0.0)
+    assert (got.speed_ms, got.avg_speed_ms, got.lon_acc_ms2) == (pytest.approx(10.0), pytest.approx(7.35 / 3.6), 0.0)
     with pytest.raises(ValueError):
         parse_records(records, "mph")
 
@@ -139,8 +139,8 @@ def test_provenance(spark):
 
 def test_record_starts(spark):
     lines = {
-        "1; Car; 48.85": True, "123; Motorcycle; 1": True, "  7 ;Bus": True, HEADER: False, "00; 37.9": False,
-        "; 32.8": False, " 37.9; 23.7": False, ".737820; 1": False,
+        "1; Car; 61.25": True, "123; Motorcycle; 1": True, "  7 ;Bus": True, HEADER: False, "00; 37.9": False,
+        "; 32.8": False, " 37.9; 23.7": False, ".718240; 1": False,
     }
     df = spark.createDataFrame([(line,) for line in lines], "line string")
     got = {r.line: r.s for r in df.select("line", is_record_start(F.col("line")).alias("s")).collect()}
@@ -149,11 +149,11 @@ def test_record_starts(spark):
 
 def test_line_joins(spark):
     joins = {
-        "1; Car; 9.77;\n 37.977391;": "1; Car; 9.77; 37.977391;",
-        "23.73812\n; 4.9178;": "23.73812; 4.9178;",
-        "22.520000\n 37.977255;": "22.520000; 37.977255;",
+        "1; Car; 7.35;\n 37.951204;": "1; Car; 7.35; 37.951204;",
+        "23.82334\n; 6.2051;": "23.82334; 6.2051;",
+        "31.410000\n 37.951377;": "31.410000; 37.951377;",
         "22.600\n00; 1": f"22.600{CUT}00; 1",
-        "3\n.979245; 1": f"3{CUT}.979245; 1",
+        "3\n.962316; 1": f"3{CUT}.962316; 1",
         "-\n.5032; 1": f"-{CUT}.5032; 1",
         "1\n  2": f"1{CUT}  2",
         "1\n \n2": f"1{CUT} {CUT}2",
@@ -175,11 +175,11 @@ def test_quoted_fields_follow_the_csv_rules(spark):
 
 
 def test_candidates(spark):
-    tokens = [f"22.600{CUT}00", f"715{CUT}800000", f"3{CUT}.979245", f"23{CUT}736653", f"-{CUT}.5{CUT}0"]
+    tokens = [f"22.600{CUT}00", f"823{CUT}800000", f"3{CUT}.962316", f"23{CUT}736653", f"-{CUT}.5{CUT}0"]
     df = spark.createDataFrame([(t,) for t in tokens], "t string")
     got = {r.t: r.c for r in df.select("t", repair.boundary_candidates(F.col("t")).alias("c")).collect()}
-    assert got[tokens[0]][0] == "22.60000" and "715.800000" in got[tokens[1]]
-    assert {"73.979245", "37.979245"} <= set(got[tokens[2]])
+    assert got[tokens[0]][0] == "22.60000" and "823.800000" in got[tokens[1]]
+    assert {"73.962316", "37.962316"} <= set(got[tokens[2]])
     assert [len(got[t]) for t in tokens[2:4]] == [20, 22]
     assert got[tokens[4]][0] == "-.50" and "-3.50" in got[tokens[4]]
 
@@ -189,12 +189,12 @@ def test_repairs(spark):
         return spark.range(1).select(column.alias("v")).first().v
 
     lit = F.lit
-    assert one(repair.repair_latitude(lit(f"3{CUT}.979245"), lit(37.979247))) == 37.979245
+    assert one(repair.repair_latitude(lit(f"3{CUT}.962316"), lit(37.962318))) == 37.962316
     assert one(repair.repair_latitude(lit(f"9{CUT}.123456"), lit(37.98))) is None
-    assert one(repair.repair_latitude(lit(f"3{CUT}.979245"), lit(None).cast("double"))) == 37.979245
-    assert one(repair.repair_longitude(lit(f"2{CUT}.737820"), lit(23.737818))) == 23.73782
+    assert one(repair.repair_latitude(lit(f"3{CUT}.962316"), lit(None).cast("double"))) == 37.962316
+    assert one(repair.repair_longitude(lit(f"2{CUT}.718240"), lit(23.718238))) == 23.71824
     assert one(repair.repair_longitude(lit(f"23{CUT}736653"), lit(23.736651))) == 23.736653
-    assert one(repair.repair_time(lit(f"715{CUT}800000"), lit(715.8))) == 715.8
+    assert one(repair.repair_time(lit(f"823{CUT}800000"), lit(823.8))) == 823.8
     assert one(repair.repair_time(lit(f"6{CUT}.800000"), lit(46.8))) == 46.8
     assert one(repair.repair_time(lit(f"0.04{CUT}0000"), lit(0.04))) == 0.04
     assert one(repair.repair_time(lit(f"9{CUT}.999999"), lit(0.04))) is None

@@ -29,8 +29,8 @@ def batch(spark, **sources):
 def test_sources_are_replaced_one_by_one(spark, tmp_path):
     target = str(tmp_path / "serving")
     first = publish.publish(spark, batch(spark, A=[1, 2], B=[1, 2, 3]), target, "r1")
-    assert (first.status, first.staged_rows, first.published_rows, first.source_count) == ("success", 5, 5, 2)
-    assert first.frames_conserved(500) and first.staging_removed and not os.path.exists(first.staging)
+    assert (first.status, first.staged, first.rows, first.frames, first.kept) == ("success", (5, 500), 5, 500, None)
+    assert not os.path.exists(publish.staging_path(target, "r1"))
     publish.publish(spark, batch(spark, A=[1, 2], B=[1, 2, 3]), target, "r2")
     assert len(tracks(spark, target)) == 5
     publish.publish(spark, batch(spark, A=[10, 11, 12]), target, "r3")
@@ -44,7 +44,7 @@ def test_failed_checks_leave_the_target_alone(spark, tmp_path):
     publish.publish(spark, batch(spark, A=[1]), target, "good")
     bad = publish.publish(spark, batch(spark, A=[1, 1]), target, "bad")
     assert bad.status == "failed" and bad.checks.named("failed") == ["grain_unique"]
-    assert os.path.exists(bad.staging) and tracks(spark, target) == [("A.csv", 1)]
+    assert bad.kept == publish.staging_path(target, "bad") and os.path.exists(bad.kept) and tracks(spark, target) == [("A.csv", 1)]
     short = publish.publish(spark, batch(spark, A=[1]), target, "short", expected_row_count=2, expected_frame_sum=100)
     assert short.checks.named("failed") == ["expected_row_count"]
     empty = publish.publish(spark, batch(spark, A=[1]).limit(0), target, "empty")
@@ -150,11 +150,11 @@ def test_recordings_end_to_end(spark, tmp_path):
         f.write("500; Car; 1; 2; 3;\n")
     result = load_recordings(spark, str(folder), str(tmp_path / "layers"), str(tmp_path / "serving"), "run1")
     assert result.status == "success" and (result.silver.frames, result.silver.records, result.silver.rejected) == (240, 120, 1)
-    assert result.published.published_rows == 120 and result.published.frames_conserved(240)
+    assert (result.published.rows, result.published.frames) == (120, 240)
     rejects = spark.read.parquet(result.silver.rejects_path).collect()
     assert [(r.track_id, r.reason_code) for r in rejects] == [("500", "too_few_fields")]
     again = load_recordings(spark, str(folder), str(tmp_path / "layers"), str(tmp_path / "serving"), "run2")
-    assert again.published.published_rows == 120
+    assert again.published.rows == 120
     (folder / "b.csv").write_text(f"{HEADER}\n{two_frames(1)}\n2; Car; 1\n")
     gated = load_recordings(spark, str(folder / "b.csv"), str(tmp_path / "layers2"), str(tmp_path / "serving"), "run3")
     assert gated.status == "failed" and gated.published is None
@@ -183,7 +183,7 @@ def test_a_source_without_valid_records_loses_its_old_rows(spark, tmp_path):
     folder.mkdir()
     write_recording(folder / "a.csv", 1, 2)
     write_recording(folder / "b.csv", *range(1, 301))
-    assert load_recordings(spark, str(folder), layers, serving, "r1").published.published_rows == 302
+    assert load_recordings(spark, str(folder), layers, serving, "r1").published.rows == 302
     (folder / "a.csv").write_text(f"{HEADER}\n2; Car; 1\n")
     assert load_recordings(spark, str(folder), layers, serving, "r2").status == "success"
     for layer in (f"{layers}/summary", serving):

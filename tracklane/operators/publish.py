@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import re
 from dataclasses import dataclass
 
@@ -127,22 +126,26 @@ def replace_sources(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 @dataclass
 class PublishResult:
-    target: str
-    staging: str
-    run_id: str
-    mode: str
-    staged_rows: int
-    published_rows: int
-    frame_sum: int
-    source_count: int
-    started_at: datetime.datetime
-    finished_at: datetime.datetime
-    status: str
-    staging_removed: bool
+    """What the gate found in a staged batch, and what the target holds of the batch's sources afterwards."""
+
     checks: checks.CheckReport
+    rows: int = 0
+    frames: int = 0
+    #: Staged data that was kept for inspection; none once the batch is published whole.
+    kept: str | None = None
+
+    @property
+    def complete(self) -> bool:
+        """The batch passed its gate, and the target holds exactly its rows and frames."""
+        return self.checks.passed and (self.rows, self.frames) == self.staged
 
-    def frames_conserved(self, expected: int) -> bool:
-        return self.frame_sum == expected
+    @property
+    def staged(self) -> tuple[int, int]:
+        return int(self.checks.observed("staged_rows")), int(self.checks.observed("frame_sum"))
+
+    @property
+    def status(self) -> str:
+        return "success" if self.complete else "failed"
 
 
 def staging_path(target: str, run_id: str) -> str:
@@ -169,7 +172,6 @@ def publish(
     """
     if mode not in (REPLACE_SOURCES, REPLACE_SNAPSHOT):
         raise ValueError(f"invalid load mode {mode!r}; expected {REPLACE_SOURCES} or {REPLACE_SNAPSHOT}")
-    started = datetime.datetime.now(datetime.timezone.utc)
     staging = staging_path(target, run_id)
     write_by_source(summary.select(*S.names(S.SUMMARY)), staging, REPLACE_SNAPSHOT, rows_per_file)
     staged = read_layer(spark, staging, S.SUMMARY)
@@ -181,30 +183,14 @@ def publish(
     found = checks.report(
         staging, checks.run_checks(staged, checks.serving_checks(expected_row_count, expected_frame_sum) + totals)
     )
-    # Reads the partition folders only.
-    sources = staged.select("source_file").distinct().count()
-    published, removed, complete = 0, False, False
+    result = PublishResult(found, kept=staging)
     if found.passed:
         write_by_source(staged, target, mode, rows_per_file)
         stored = _read_back(spark, target, staged)
-        published = stored["rows"]
-        complete = (published, stored["frames"]) == (int(found.observed("staged_rows")), int(found.observed("frame_sum")))
-        removed = complete and _delete(spark, staging)
-    return PublishResult(
-        target,
-        staging,
-        run_id,
-        mode,
-        int(found.observed("staged_rows")),
-        published,
-        int(found.observed("frame_sum")),
-        sources,
-        started,
-        datetime.datetime.now(datetime.timezone.utc),
-        "success" if complete else "failed",
-        removed,
-        found,
-    )
+        result.rows, result.frames = stored["rows"], stored["frames"]
+        if result.complete and _delete(spark, staging):
+            result.kept = None
+    return result
 
 
 def drop_sources(spark: SparkSession, path: str, sources: list[str]) -> None:

@@ -50,7 +50,8 @@ def assemble_records(lines: DataFrame, skip_header: bool = True) -> DataFrame:
         "%s: the record that begins in part %s is longer than %s characters",
         "source_file", F.col("owner").cast("string"), F.lit(LARGEST_TEXT),
     )
-    line = F.when(~F.col("no_text") & (F.col("tail_chars") > LARGEST_TEXT), F.raise_error(too_long)).otherwise(F.col("line"))
+    beyond = leading & F.col("owner").isNotNull() & (F.col("tail_chars") > LARGEST_TEXT)
+    line = F.when(beyond, F.raise_error(too_long)).otherwise(F.col("line"))
     owned = (
         kept.join(parts, ["source_file", "block"])
         .withColumn("no_text", F.coalesce(no_text, F.lit(False)))

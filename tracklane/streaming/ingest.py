@@ -58,7 +58,7 @@ def stream_frames(spark: SparkSession, folder: str, serving: str, checkpoint: st
 
 def _publish_batch(spark: SparkSession, summary: DataFrame, serving: str, batch_id: int) -> None:
     result = publish(spark, summary, serving, f"batch_{batch_id}")
-    if result.status != "success" and result.staged_rows:
+    if not result.complete and result.staged != (0, 0):
         raise RuntimeError(f"batch {batch_id} failed its checks: {result.checks.named('failed')}")
 
 
