@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,8 +194,24 @@ def _and_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
     yield None
 
 
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """KEY and the whole text, compressed, of every row with a text: texts move between tasks several times."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor()
+        for batch in batches:
+            batch["text"] = [press.compress(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]
+            yield batch
+
+    return rows.select(*KEY, "text").where("text IS NOT NULL").mapInPandas(pack, "id_hash long, text_hash long, text binary")
+
+
+def _unpacked(text: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(text).decode("utf-8", "surrogatepass")
+
+
 def needed_texts(pairs: DataFrame, members: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """sid and text of every set that takes part in a comparison; all texts move once for it, and only these again."""
+    """sid and packed text of every set that takes part in a comparison; all texts move once for it, and only these again."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(members.select(F.col("a").alias("sid"))).distinct()
     return stored(asked.join(reps, "sid").join(texts, KEY).select("sid", "text"), "texts")
 
@@ -210,8 +227,8 @@ def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep = []
             for a, x, y in zip(batch["a"], batch["a_text"], batch["b_text"], strict=True):
                 if a != held:
-                    held, mine = a, shingle_set(x, WIDTH)
-                other = shingle_set(y, WIDTH)
+                    held, mine = a, shingle_set(_unpacked(x), WIDTH)
+                other = shingle_set(_unpacked(y), WIDTH)
                 common = len(mine) + len(other) - len(np.union1d(mine, other))
                 keep.append(bool(_linked(common, len(mine), len(other))))
             yield batch.loc[keep, ["a", "b"]]
@@ -222,7 +239,7 @@ def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _compare_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Links between the sets of one or two blocks of a list, as a spanning forest on top of the known components."""
     rows = rows.drop_duplicates("sid").sort_values(["n", "sid"], ignore_index=True)
-    sets = [shingle_set(t, WIDTH) for t in rows["text"]]
+    sets = [shingle_set(_unpacked(t), WIDTH) for t in rows["text"]]
     size = np.array([len(s) for s in sets])
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
     words, code = np.unique(np.concatenate(sets), return_inverse=True)
@@ -308,7 +325,7 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reps = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key")).select("sid", *[F.col(f"key.{k}").alias(k) for k in KEY])
     met = lists.where("lead IS NULL").groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need"))
     pairs, members = stored(met.where("times >= need").select("a", "b"), "pairs"), lists.where("lead IS NOT NULL")
-    texts = needed_texts(pairs, members, reps, rows.select(*KEY, "text"))
+    texts = needed_texts(pairs, members, reps, packed_texts(rows))
     links = stored(check_pairs(pairs, texts), "links")
     if not members.isEmpty():
         links = stored(links.unionByName(check_blocks(members, components(links), texts)), "links")
