@@ -131,6 +131,22 @@ def test_html(spark):
     assert html_wrapper.extract_main_text(spark.createDataFrame([], schema)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>one &#; two</p><p>three</p><p>four &#x; &#foo &# x</p><p>five", "one &#; two\nthree\nfour &#x; &#foo &# x\nfive"),
+        ("<p>it&#39d &#8211bad</p><p>b", "it'd –bad\nb"),
+        ("<p>a</p><!--><p>b</p><!---><p>c</p><!-- x --!><p>d", "a\nb\nc\nd"),
+        ("<p>a</p><![foo]><p>b</p><![if !IE]><p>c</p><![endif]><![ x><p>d", "a\nb\nc\nd"),
+        ("<p>a<script>x &#; y</script foo><p>b", "a\nb"),
+        ('<p>one <a href="x>two</a></p><p>three</p>', "one two\nthree"),
+        ("<p>a &#", "a &#"),
+    ],
+)
+def test_html_reads_on_after_what_is_malformed(page, text):
+    assert html_wrapper.extract(page, {}) == text
+
+
 def test_urls(spark):
     schema = "page_id long, url string, host string, key string, part int"
     urls = ["http://a.example.net/en/1", "http://example.net/de/", "HTTP://X.ORG/fr/?a", "http://badexample.net", None, "no scheme", "http://a.example.com/de/x#y", "http://a.example.net/en/1"]
