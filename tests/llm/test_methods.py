@@ -66,6 +66,29 @@ def test_tokens_equal_library(spark, docs):
     assert {tuple(r)[:3] for r in tokens.count_tokens(data, path).collect()} == want
 
 
+def test_tokens_of_letters_whose_small_form_is_far_above():
+    cut = tokens.PreTokens(public_tokenizers.path("word_bpe_49k.json"))
+    for c in map(chr, [*range(0x250), 0x1E9E, 0x212A, 0x212B]):
+        text = f"a{c}b 1{c}2 {c}"
+        tidy = cut.tokenizer.normalizer.normalize_str(text)
+        assert cut._cut(text) == [tidy[a:b] for _, (a, b) in cut.tokenizer.pre_tokenizer.pre_tokenize_str(tidy)], hex(ord(c))
+
+
+def test_tokens_stay_with_their_document_when_a_reread_changes_the_order(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "HEAD", 20)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(2**60 + i if i else None, "unusual " * i + f"x{i}") for i in range(200)]
+
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(random.SystemRandom().sample(range(len(batch)), len(batch)))
+
+    data = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInArrow(shuffled, "doc_id long, text string")
+    library = Tokenizer.from_file(path)
+    want = {(k, len(t), len(library.encode(t, add_special_tokens=False))) for k, t in rows}
+    assert {tuple(r)[:3] for r in tokens.count_tokens(data, path).collect()} == want
+
+
 def test_simhash_edits_and_votes(spark, docs):
     rows = sorted(((r.doc_id, r.text) for r in docs.collect()), reverse=True)
     got = {r.doc_id: r for r in simhash.compare_edits(docs).collect()}

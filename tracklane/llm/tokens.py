@@ -20,8 +20,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from tracklane.llm.common import stored
@@ -53,8 +55,9 @@ class PreTokens:
         self.fast = '"Lowercase"' in (spec := self.tokenizer.to_str()) and _RULE in spec.replace("\\\\", "\\")
 
     def _cut(self, text: str) -> list[str]:
-        if self.fast and not _NOT_SIMPLE.search(text):
-            return _FAST.findall(text.lower())
+        # Some letters below U+0250 have their small form above.
+        if self.fast and not _NOT_SIMPLE.search(low := text.lower()):
+            return _FAST.findall(low)
         tidy = self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
         return [tidy[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(tidy)]
 
@@ -108,14 +111,22 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     head = words.where(F.char_length("pretoken") <= HEAD_CHARS).orderBy(F.desc("n"), "pretoken").limit(HEAD).select("pretoken", "pieces")
     known = spark.sparkContext.broadcast({w: p for w, p in head.toLocalIterator()})
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["row", "pretoken", "n"]).astype({"pretoken": object})
+    # Numbered rows are read once: whatever a document's result needs leaves its task together, as a second numbering may differ.
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.octet_length(F.col(f"`{text_col}`")).cast("long").alias("n_bytes"), F.col(f"`{text_col}`").alias("text"))
+    ids = texts.schema["doc_id"].dataType
+    schema = StructType([StructField("row", LongType()), StructField("doc_id", ids), StructField("n_bytes", LongType()), StructField("pretoken", StringType()), StructField("n", LongType())])
 
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, short = pretokens_of(path), known.value
+
+        def rare(rows: list[tuple], like: pa.RecordBatch) -> pa.RecordBatch:
+            row, word, n = zip(*rows, strict=True)
+            empty = [pa.nulls(len(rows), like.schema.field(c).type) for c in ("doc_id", "n_bytes")]
+            return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), *empty, pa.array(word, pa.string()), pa.array(n, pa.int64())], names=schema.names)
+
         for batch in batches:
             rows, base = [], []
-            for row, text in zip(batch["row"], batch["text"], strict=True):
+            for row, text in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 found, extra = cut.count(text or "")
                 for w, n in found.items():
                     if (pieces := short.get(w)) is None:
@@ -124,15 +135,14 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                         extra += n * pieces
                 base.append(extra)
                 if len(rows) >= 50_000:
-                    yield frame(rows)
+                    yield rare(rows, batch)
                     rows = []
-            yield frame(rows)
-            yield pd.DataFrame({"row": batch["row"], "pretoken": None, "n": base})
+            if rows:
+                yield rare(rows, batch)
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["doc_id"], batch["n_bytes"], pa.nulls(len(base), pa.string()), pa.array(base, pa.int64())], names=schema.names)
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    counts = stored(numbered.select("row", "text").mapInPandas(frequencies, "row long, pretoken string, n long"), "frequencies")
+    counts = stored(texts.mapInArrow(frequencies, schema), "frequencies")
     rest = counts.where("pretoken IS NOT NULL").join(words, "pretoken").groupBy("row").agg(F.sum(counts["n"] * F.col("pieces")).alias("more"))
-    base = counts.where("pretoken IS NULL").select("row", F.col("n").alias("base"))
-    sized = numbered.select("row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    total = sized.join(base, "row").join(rest, "row", "left").withColumn("n_tokens", F.col("base") + F.coalesce("more", F.lit(0)))
+    base = counts.where("pretoken IS NULL").select("row", "doc_id", F.coalesce("n_bytes", F.lit(0).cast("long")).alias("n_bytes"), F.col("n").alias("base"))
+    total = base.join(rest, "row", "left").withColumn("n_tokens", F.col("base") + F.coalesce("more", F.lit(0)))
     return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
