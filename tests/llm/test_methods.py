@@ -123,6 +123,22 @@ def test_leaks_are_found_with_other_numbers_and_names(spark):
     assert 5 not in got or got[5] < got[2]
 
 
+def test_one_contradiction_discards_only_the_runs_that_hold_it(spark):
+    names = " ".join(f"step{i} takes" for i in range(16))
+    long = f"the box weighs 40 kg when it is full and {names} so the lift carries 40 kg at once without any pause or stop"
+    equal = "the shop sells 2 apples and 2 pears to every guest who comes in before the bell of the old tower rings at noon"
+    texts = {
+        1: long.replace("carries 40", "carries 55"),
+        2: equal.replace("2 apples", "3 apples").replace("2 pears", "5 pears"),
+        3: "the weather in the north stays cold and wet until the end of the week says the office",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, long), (2, equal)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.found_runs, r.item_runs) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert set(got) == {(1, 1), (2, 2)}
+    assert all(0 < found < whole for found, whole in got.values())
+
+
 def test_every_planted_benchmark_item_is_found(spark, docs):
     items = spark.read.parquet(f"{DATA}/benchmark.parquet")
     plain = lambda t: " ".join((t or "").split())

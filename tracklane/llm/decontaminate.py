@@ -3,7 +3,8 @@
 Texts become templates: numbers, units after numbers and names (capitalised words inside a
 sentence) are replaced by typed slots, the rest is lower-cased and stripped of outer signs. Runs of WIDTH template words are hashed and joined with those of the
 benchmark. The slots of joined runs are then checked: along one alignment of a document with an item, a value of the item
-must always stand for the same value in the document. An item is in a document if at least COVER of the item's runs are
+must always stand for the same value in the document; runs that hold a value with two counterparts count only where they
+repeat the item's words. An item is in a document if at least COVER of the item's runs are
 found in consistent alignments. Column expressions, joins and aggregates only.
 
 Edge cases: null and empty texts hold nothing; an item of fewer than WIDTH, but at least SHORTEST words is looked for as
@@ -89,12 +90,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         matched = both if matched is None else matched.unionByName(both)
     matched = stored(matched.withColumn("shift", F.col("pos") - F.col("item_pos")), "matched")
     along = [*KEY, "item_id", "shift"]
-    # What the item's words stand for along an alignment; words equal on both sides, or literal on both, agree anyway.
+    # What the item's words stand for along an alignment; words equal on both sides, or literal on both, agree anyway. A value
+    # with two counterparts discards the runs that hold it, except those that repeat the item's words.
     tidy = lambda w: F.regexp_replace(F.lower(w), r"^\p{Punct}+|\p{Punct}+$", "")
     slots = matched.select(*along, F.explode(F.arrays_zip(F.col("item_words").alias("i"), F.col("doc_words").alias("d"))).alias("s")).select(*along, tidy(F.col("s.i")).alias("value"), tidy(F.col("s.d")).alias("stands_for"))
-    broken = slots.distinct().groupBy(*along, "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*along).distinct().withColumn("broken", F.lit(True))
-    same = [matched[c].eqNullSafe(broken[c]) for c in along]
-    kept = matched.join(broken, same[0] & same[1] & same[2] & same[3], "left_anti")
+    broken = slots.distinct().groupBy(*along, "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy(*[F.col(c).alias(f"b_{c}") for c in along]).agg(F.collect_set("value").alias("broken"))
+    same = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in along]
+    values, stand_for = F.transform("item_words", tidy), F.transform("doc_words", tidy)
+    sound = F.col("broken").isNull() | (values == stand_for) | ~F.arrays_overlap(values, "broken")
+    kept = matched.join(broken, same[0] & same[1] & same[2] & same[3], "left").where(sound)
     found = kept.groupBy(*KEY, "item_id").agg(F.countDistinct("item_pos").alias("found_runs"), F.max("item_runs").alias("item_runs"))
     return found.withColumn("coverage", F.col("found_runs") / F.col("item_runs")).where(F.col("coverage") >= cover)
 
