@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import chat, decontaminate, html_wrapper, jaccard, language, mixing, simhash, tokens, toxicity, url_filter
+from tracklane.llm import chat, decontaminate, html_wrapper, jaccard, language, merkle, mixing, simhash, tokens, toxicity, url_filter
 from tracklane.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document proved against the root; where 5 divides crc32 of the id, the text to be proved has lost its capitals."""
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(fold(F.col("doc_id"), 5) == 0, small).otherwise(F.col("text"))
+    return merkle.verify(table(spark, sf_dir, "documents"), claimed=tampered)
+
+
+#: crc32 of a number's decimal digits.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, _: xor(x >> 1, (x & 1) * 3988292384)))"""
+CRC32 = lambda key: f"xor({_CRC.format(f'CAST({key} AS VARCHAR)')}, 4294967295)"
+
 ORACLE_SQL = {
     "op1_chat_perspectives": """
         WITH cast_of AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
@@ -128,4 +141,47 @@ ORACLE_SQL = {
                    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r_host) + length(r_path) DESC) AS place
             FROM parts p LEFT JOIN rules ON (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path))
         SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict FROM fit WHERE place = 1""",
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE tagged AS (
+            SELECT doc_id, source, text, {CRC32("doc_id")} % 5 = 0 AS changed,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN changed THEN sha256(head || coalesce(strlen(small) || ':' || small, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claim,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+            FROM tagged),
+        up AS (
+            SELECT 0 AS level, source, pos, n, leaf AS node FROM leaves
+            UNION ALL
+            SELECT level + 1, source, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+            FROM up WHERE n > 1 GROUP BY level, source, pos // 16, n),
+        subroots AS (
+            SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+        top AS (
+            SELECT 0 AS level, pos, n, subroot AS node FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 16, n),
+        steps AS (
+            SELECT l.doc_id, u.level, coalesce(string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos < l.pos >> (4 * u.level)), '') AS before,
+                   coalesce(string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos > l.pos >> (4 * u.level)), '') AS behind
+            FROM leaves l JOIN up u ON l.source IS NOT DISTINCT FROM u.source AND u.n > 1 AND u.pos >> 4 = l.pos >> (4 * u.level + 4)
+            GROUP BY l.doc_id, u.level
+            UNION ALL
+            SELECT l.doc_id, 100 + t.level, coalesce(string_agg(t.node, '' ORDER BY t.pos) FILTER (t.pos < s.pos >> (4 * t.level)), ''),
+                   coalesce(string_agg(t.node, '' ORDER BY t.pos) FILTER (t.pos > s.pos >> (4 * t.level)), '')
+            FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN top t ON t.n > 1 AND t.pos >> 4 = s.pos >> (4 * t.level + 4)
+            GROUP BY l.doc_id, t.level),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS step FROM steps),
+        folded AS (
+            SELECT doc_id, 0 AS step, claim AS node FROM leaves
+            UNION ALL
+            SELECT f.doc_id, s.step, sha256(before || node || behind) FROM folded f JOIN numbered s ON s.doc_id = f.doc_id AND s.step = f.step + 1),
+        proofs AS (SELECT doc_id, sha256(coalesce(string_agg(before || behind, '' ORDER BY step), '')) AS proof_sha256 FROM numbered GROUP BY doc_id)
+        SELECT l.doc_id, l.leaf, s.subroot, r.node AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = r.node AS verified
+        FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source CROSS JOIN (SELECT node FROM top WHERE n = 1) r
+        LEFT JOIN proofs p ON p.doc_id = l.doc_id
+        JOIN (SELECT doc_id, arg_max(node, step) AS node FROM folded GROUP BY doc_id) f ON f.doc_id = l.doc_id""",
 }
