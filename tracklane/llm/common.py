@@ -22,9 +22,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def crc32(key: Column) -> Column:
+    """crc32 of the key as text; null for a null key."""
+    return F.crc32(key.cast("string").cast("binary"))
+
+
 def fold(key: Column, folds: int) -> Column:
     """Which fold a row is in: crc32 of the key as text, modulo ``folds``."""
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
+    return F.pmod(crc32(key), F.lit(folds))
 
 
 def sampled(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:

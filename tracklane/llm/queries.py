@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracklane.llm import chat, decontaminate, html_wrapper, jaccard, language, merkle, mixing, simhash, tokens, toxicity, url_filter
-from tracklane.llm.common import fold, table
+from tracklane.llm import chat, decontaminate, html_wrapper, jaccard, language, merkle, mixing, periodic, repeats, simhash, tokens, toxicity, url_filter
+from tracklane.llm.common import crc32, fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -93,6 +95,37 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op11_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.drop_repeats(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@F.pandas_udf(T.StringType())
+def _with_period(text: pd.Series, seed: pd.Series) -> pd.Series:
+    """From word a on, a text repeats its words from there; a and the period follow from the seed."""
+
+    def planted(text: str, g: int) -> str:
+        words = periodic.split_words(text)
+        n = len(words)
+        if not n:
+            return text
+        a = g % n
+        period = 1 + (n - a) // (3 + g % 8)
+        return b" ".join(words[:a] + [words[a + i % period] for i in range(n - a)]).decode("utf-8", "surrogatepass")
+
+    return pd.Series([None if t is None else planted(t, int(g)) for t, g in zip(text, seed, strict=True)], dtype=object)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, code = table(spark, sf_dir, "documents"), crc32(F.col("doc_id"))
+    # The function sees the texts it changes only.
+    chosen = F.when(code % 10 == 0, F.col("text"))
+    text = F.coalesce(_with_period(chosen, F.coalesce(F.floor(code / 10), F.lit(0))), F.col("text"))
+    return periodic.collapse_runs(docs.select("doc_id", text.alias("text"))).drop("collapsed")
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document proved against the root; where 5 divides crc32 of the id, the text to be proved has lost its capitals."""
@@ -141,6 +174,41 @@ ORACLE_SQL = {
                    row_number() OVER (PARTITION BY p.page_id ORDER BY length(r_host) + length(r_path) DESC) AS place
             FROM parts p LEFT JOIN rules ON (host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path))
         SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict FROM fit WHERE place = 1""",
+    "op11_drop_repeats": """
+        WITH given AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i, len(w) AS n FROM given),
+        windows AS (
+            SELECT doc_id, i, n, CASE WHEN i + 20 <= n THEN string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS spelled, word
+            FROM words),
+        met AS (SELECT *, spelled IS NOT NULL AND row_number() OVER (PARTITION BY spelled ORDER BY doc_id, i) > 1 AS late FROM windows),
+        covered AS (SELECT doc_id, i, word, bool_or(late) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM met),
+        kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS left_over FROM covered GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM given LEFT JOIN kept USING (doc_id)""",
+    "op12_periodic_runs": f"""
+        WITH given AS (
+            SELECT doc_id, {CRC32("doc_id")} AS h, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+        sized AS (SELECT doc_id, h, words, len(words) AS n, h // 10 AS g FROM given),
+        shaped AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM sized),
+        texts AS (
+            SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: words[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE words END AS w
+            FROM shaped),
+        spots AS (SELECT doc_id, n, w, unnest(range(1, n // 2 + 1)) AS q FROM texts),
+        same AS (SELECT doc_id, q, unnest(list_filter(range(0, n - q), lambda i: w[i + 1] = w[i + q + 1])) AS i FROM spots),
+        islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+        stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+        runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+        left_over AS (
+            SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS kept
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM texts) t ANTI JOIN gone USING (doc_id, i) GROUP BY t.doc_id),
+        digests AS (
+            SELECT doc_id, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256,
+                   first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS longest
+            FROM runs GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.length AS length, longest.period AS period,
+               1000 * longest.length // longest.period AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN digests USING (doc_id) LEFT JOIN left_over USING (doc_id)""",
     "op13_merkle_manifest": f"""
         WITH RECURSIVE tagged AS (
             SELECT doc_id, source, text, {CRC32("doc_id")} % 5 = 0 AS changed,
