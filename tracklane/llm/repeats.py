@@ -9,13 +9,13 @@ suffix tree that are WIDTH words deep or deeper are the repeated passages, their
    a batch are reported, so at most REPORT rows a slice and batch leave it.
 2. Suffixes. Within a batch of documents, suffixes that agree on WIDTH words keep the first one, the others are repeats
    already: a passage that a third of all documents hold is sent once a batch. What is sent of a suffix is its edge
-   labels for the words 0-3, 4-7 and 8-19, the document and the place, packed column by column.
+   labels for the words 0-3 and 4-19, the document and the place, packed column by column.
 3. Subtrees. A slice sorts its suffixes by labels; agreement of neighbours gives the inner nodes. A node as deep as WIDTH
    keeps its first leaf by (id, place), all other leaves are repeats.
 4. Spans. Repeats return to their document as ranges of words, and one join with the (compressed) texts removes them.
 
-Labels are 56 bits beside the bits of the slice, so two different passages of a slice of some million suffixes pass for one
-with a chance of 10^-10 a suffix. Edge cases: a null text has no words; documents shorter than WIDTH are kept; texts of any
+An edge label is 16 bits for the first four words, beside the bits of the slice, and 48 bits for the words behind: a passage
+passes for another one of some million that begin alike with a chance of 10^-8. Edge cases: a null text has no words; documents shorter than WIDTH are kept; texts of any
 length are read whole, in pieces; a null id comes before all others; rows that share an id follow each other by a hash
 of their text, and equal rows are one, so they keep the same words; an empty table gives an empty result. Extra
 columns are not read. Ids are whole numbers.
@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 
 from tracklane.llm.hashing import mix
 
-WIDTH = 20
+#: Words of a window, and of the first edge.
+WIDTH, EDGE = 20, 4
 #: Lengths of prefixes that are counted; beyond the last one a prefix is WIDTH words.
 PREFIXES = (1, 2, 4, 8)
 #: A prefix is too frequent for one group if it has more than 1/SHARE of a slice's suffixes.
@@ -162,15 +163,15 @@ def group_of(batch: Batch, heavy: dict[int, np.ndarray]) -> np.ndarray:
 
 
 def labels_of(batch: Batch) -> np.ndarray:
-    """56 bits a suffix: 24 for its words 0 to 3, 16 each for 4 to 7 and 8 to 19."""
+    """The edge labels of every suffix: 16 bits for its words 0 to 3, 48 for 4 to 19."""
     label = lambda first, last, bits: _spelled(batch.codes, first, last)[batch.suffix] >> np.uint64(64 - bits)
-    return label(0, 3, 24) << np.uint64(32) | label(4, 7, 16) << np.uint64(16) | label(8, WIDTH - 1, 16)
+    return label(0, EDGE - 1, 16) << np.uint64(48) | label(EDGE, WIDTH - 1, 48)
 
 
 def agreement(labels: np.ndarray) -> np.ndarray:
-    """Words on which neighbouring suffixes of a sorted slice agree: the depth of the node that joins them."""
+    """Words on which neighbouring suffixes of a sorted slice agree at least: the depth of the node that joins them."""
     apart = labels[1:] ^ labels[:-1]
-    return np.where(apart == 0, WIDTH, np.where(apart >> np.uint64(16) == 0, 8, np.where(apart >> np.uint64(32) == 0, 4, 0)))
+    return np.where(apart == 0, WIDTH, np.where(apart >> np.uint64(48) == 0, EDGE, 0))
 
 
 def deep_nodes(labels: np.ndarray) -> np.ndarray:
@@ -217,7 +218,7 @@ def send_suffixes(texts: DataFrame, heavy: dict[int, np.ndarray], slices: int) -
                 if len(lead) + len(rest):
                     used, where = np.unique(np.concatenate([doc[lead], doc[rest]]), return_inverse=True)
                     blob = pack({
-                        "rank": rank[used], "uid": uid[used], "label": np.diff(labels[lead].view(np.int64), prepend=0),
+                        "rank": rank[used], "uid": uid[used], "label": np.diff(labels[lead], prepend=np.uint64(0)).view(np.int64),
                         "doc": where[: len(lead)], "place": place[lead], "late_doc": where[len(lead) :], "late": place[rest],
                     })
                     yield pd.DataFrame({"slice": [k], "blob": [blob]})
@@ -244,7 +245,7 @@ def grow_subtree(blobs: list[bytes], targets: int) -> Iterator[tuple[int, bytes]
     """(target, packed repeats) of a slice: leaves below the deep nodes but for the first one of each."""
     parts = [unpack(b) for b in blobs]
     column = lambda name, own=None: np.concatenate([p[name] if own is None else p[own][p[name]] for p in parts])
-    labels = np.concatenate([np.cumsum(p["label"]) for p in parts]).view(np.uint64)
+    labels = np.concatenate([np.cumsum(p["label"].view(np.uint64)) for p in parts])
     starts = np.cumsum([0, *(len(p["rank"]) for p in parts)])
     number = numbered(np.concatenate([p["rank"] for p in parts]), np.concatenate([p["uid"] for p in parts]))
     number = np.concatenate([number[a : a + len(p["rank"])][p["doc"]] for a, p in zip(starts, parts)])
