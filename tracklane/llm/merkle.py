@@ -157,7 +157,8 @@ def verify(docs: DataFrame, id_col: str = "doc_id", claimed: Column | None = Non
     """
     columns = lambda text: [F.col(f"`{id_col}`"), F.col("source"), F.col("lang"), F.col("n_chars"), text]
     leaves = docs.select(F.col(f"`{id_col}`").alias("doc_id"), "source", leaf_hash(columns(F.col("text"))).alias("leaf"), leaf_hash(columns(F.col("text") if claimed is None else claimed)).alias("claim"))
-    proved = manifest(leaves, "source", ["doc_id"], "leaf")
+    # Stored first: sorting by range reads its input twice, and texts are to be hashed once.
+    proved = manifest(stored(leaves, "hashed"), "source", ["doc_id"], "leaf")
     folded = fold(F.col("claim"), F.col("way.path"))
     shown = proved.select("doc_id", "leaf", F.col("way.subroot").alias("subroot"), F.col("way.root").alias("root"), F.sha2(siblings(F.col("way.path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
     return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
