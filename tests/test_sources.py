@@ -4,12 +4,15 @@ import hashlib
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from samples import HEADER, two_frames
 
 from tracklane import schemas as S
+from tracklane.operators.frames import frames_of, parse_records
+from tracklane.operators.records import assemble_records, number_records
 from tracklane.sources.archive import list_archive_members, read_archive_lines
-from tracklane.sources.files import dataset_metrics, discover_files, hash_files, read_source, register_sources
-from tracklane.sources.records import read_records
+from tracklane.sources.files import dataset_metrics, discover_files, hash_files, read_lines, read_source, register_sources
+from tracklane.sources.records import list_recordings, read_records, records_of
 
 
 @pytest.fixture
@@ -74,8 +77,6 @@ def test_named_sources_and_metrics(spark):
 
 
 def test_urls(spark):
-    from pyspark.sql import functions as F
-
     from tracklane.functions.urls import object_name, safe_url
 
     urls = {
@@ -88,3 +89,61 @@ def test_urls(spark):
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     got = {r.u: (r.n, r.s) for r in df.select("u", object_name(F.col("u")).alias("n"), safe_url(F.col("u")).alias("s")).collect()}
     assert got == urls
+
+
+def test_files_of_one_name(spark, tmp_path):
+    for folder, tracks in (("a", (1, 2)), ("b/deep", (3,)), ("_old", (9,))):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "rec 1+.csv").write_text("\r\n".join([HEADER, *map(two_frames, tracks)]) + "\r\n")
+    with zipfile.ZipFile(tmp_path / "in" / "z.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, track in (("x", 5), ("y", 6)):
+            z.writestr(f"{folder}/rec.csv", f"{HEADER}\n{two_frames(track)}\n")
+    source, archive = str(tmp_path / "in"), str(tmp_path / "in" / "z.zip")
+
+    def found(records):
+        return sorted((r.source_file, r.track_id) for r in frames_of(parse_records(records)).select("source_file", "track_id").distinct().collect())
+
+    plain = [("a/rec 1+.csv", 1), ("a/rec 1+.csv", 2), ("b/deep/rec 1+.csv", 3)]
+    members = [("x/rec.csv", 5), ("y/rec.csv", 6)]
+    assert found(read_records(spark, source, label="path")) == plain + [(f"z.zip/{m}", t) for m, t in members]
+    assert found(read_records(spark, archive, label="path")) == members
+    assert found(assemble_records(read_archive_lines(spark, archive, label="path"))) == members
+    assert found(assemble_records(read_lines(spark, str(tmp_path / "in" / "b"), "path"))) == [("deep/rec 1+.csv", 3)]
+    lines = read_lines(spark, source, "path").where("source_file LIKE '%.csv'")
+    assert found(assemble_records(lines)) == plain
+    for read in (lambda: read_records(spark, source).count(), lambda: read_archive_lines(spark, archive).count(), lambda: read_lines(spark, source)):
+        with pytest.raises(Exception, match="two files are called"):
+            read()
+    for read in (lambda: read_records(spark, source + "/none").count(), lambda: read_lines(spark, source + "/none").count()):
+        with pytest.raises(Exception, match="no such file or folder|PATH_NOT_FOUND"):
+            read()
+
+
+@pytest.mark.parametrize("packing", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_one_member_is_parsed_by_many_tasks(spark, tmp_path, packing):
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", packing) as z:
+        z.writestr("first.txt", "x" * 1000)
+        z.writestr("rec.csv", "\n".join([HEADER, "lost line", *map(two_frames, range(1, 301))]))
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "rec.csv").write_text("\n".join([HEADER, "lost line", *map(two_frames, range(1, 301))]))
+    records = read_records(spark, str(tmp_path / "one.zip"), rangeBytes=2000)
+    assert records.select(F.spark_partition_id()).distinct().count() > 1
+    want = sorted(map(tuple, read_records(spark, str(tmp_path / "plain")).select("source_file", "text").collect()), key=str)
+    assert sorted(map(tuple, records.select("source_file", "text").collect()), key=str) == want and len(want) == 301
+    numbers = number_records(records).select("record_no").collect()
+    assert sorted(r.record_no for r in numbers) == list(range(1, 302))
+
+
+def test_records_of_listed_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([HEADER, *map(two_frames, range(1, 101))]))
+    (folder / "empty.csv").write_text("")
+    with zipfile.ZipFile(folder / "z.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("b.csv", "\n".join([HEADER, *map(two_frames, range(1, 101))]))
+    files = list_recordings(spark, str(folder))
+    assert sorted(r.source_file for r in files.collect()) == ["a.csv", "b.csv", "empty.csv"]
+    want = sorted(map(tuple, read_records(spark, str(folder)).select("source_file", "text").collect()))
+    got = records_of(files, range_bytes=700)
+    assert sorted(map(tuple, got.select("source_file", "text").collect())) == want and len(want) == 200
+    assert {r.path.rsplit("/", 1)[-1] for r in got.select("path").distinct().collect()} == {"a.csv", "z.zip!b.csv"}

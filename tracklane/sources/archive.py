@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from tracklane.sources.records import ByteRange, member_ranges
+from tracklane.sources.records import ByteRange, RecordReader
 from tracklane.sources.storage import is_csv_member, list_files, open_archive
 
 # Lines per part: at 32 KB a line, a part stays below 128 MB.
@@ -30,7 +30,7 @@ _LINES = pa.schema(
 
 
 class ArchiveLines(DataSource):
-    """One partition per member, streamed. Option ``members`` all|first."""
+    """One partition per member, streamed. Options ``members`` all|first, ``label`` name|path of sources."""
 
     @classmethod
     def name(cls) -> str:
@@ -47,18 +47,21 @@ class LineReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.members = options.get("members", "all")
+        self.label = options.get("label", "name")
 
     def partitions(self) -> list[ByteRange]:
-        return [part for path, _ in list_files(self.path, ".zip") for part in member_ranges(path, self.members)]
+        reader = RecordReader({"path": self.path, "members": self.members, "label": self.label, "suffix": ".zip"})
+        return reader.files() or [ByteRange("", None, 0, 0)]
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
-        name = part.member.rsplit("/", 1)[-1]
+        if not part.path:
+            return
         rows, held = [], 0
         with open_archive(part.path) as archive, archive.open(part.member) as stream:
             # Any of the three line endings, and no byte-order mark.
             text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline=None)
             for number, line in enumerate(text):
-                rows.append((name, part.member, number // PART_LINES, number, line.rstrip("\n")))
+                rows.append((part.source_file, part.member, number // PART_LINES, number, line.rstrip("\n")))
                 held += len(line)
                 if held >= _BATCH_BYTES:
                     yield _batch(rows)
@@ -99,10 +102,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LINES)], schema=_LINES)
 
 
-def read_archive_lines(spark: SparkSession, path: str, members: str = "all") -> DataFrame:
+def read_archive_lines(spark: SparkSession, path: str, members: str = "all", label: str = "name") -> DataFrame:
     """``lines(source_file, member, block, pos, line)`` of the CSV members of a ZIP or a folder of ZIPs."""
     spark.dataSource.register(ArchiveLines)
-    return spark.read.format("archive_lines").option("members", members).load(path)
+    return spark.read.format("archive_lines").option("members", members).option("label", label).load(path)
 
 
 def list_archive_members(spark: SparkSession, path: str) -> DataFrame:

@@ -4,21 +4,34 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklane.sources.storage import open_bytes
+from tracklane.sources.storage import label_files, open_bytes, relative_name
 
 _FILES = "path string, source_file string, size bigint"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``lines(source_file, block, pos, line)`` of text files; blocks are the byte splits of the scan."""
-    return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("source_file"),
+def read_lines(spark: SparkSession, path: str, label: str = "name") -> DataFrame:
+    """``lines(source_file, block, pos, line)`` of text files in a folder and its subfolders; blocks are byte splits.
+
+    Sources are called by file ``name``, which must not repeat, or by ``path`` below the folder.
+    """
+    scan = spark.read.option("recursiveFileLookup", "true").text(path)
+    root = _inner(path)
+    label_files([relative_name(_inner(unquote(f)), root) for f in scan.inputFiles()], label)
+    named = F.col("_metadata.file_name")
+    if label == "path":
+        # A blank is %20 in a file's address, a plus is itself.
+        address = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        below = F.substring(address, F.locate(root + "/", address) + len(root) + 1, F.length(address))
+        named = F.when(F.contains(address, F.lit(root + "/")), below).otherwise(named)
+    return scan.select(
+        named.alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         # Increases along a split, which is all the order a block needs.
         F.monotonically_increasing_id().alias("pos"),
@@ -26,6 +39,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _inner(path: str) -> str:
+    """A path without scheme and authority, and without a slash at its end."""
+    rest = path.split("://", 1)[-1] if "://" in path else path.removeprefix("file:")
+    return ("/" + rest.split("/", 1)[-1] if "://" in path and not rest.startswith("/") else rest).rstrip("/")
+
+
 def discover_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """``files(path, source_file, size)`` in a folder, in name order; none if the folder is missing."""
     listing = (
