@@ -30,7 +30,6 @@ def test_sources_are_replaced_one_by_one(spark, tmp_path):
     target = str(tmp_path / "serving")
     first = publish.publish(spark, batch(spark, A=[1, 2], B=[1, 2, 3]), target, "r1")
     assert (first.status, first.staged, first.rows, first.frames, first.kept) == ("success", (5, 500), 5, 500, None)
-    assert not os.path.exists(publish.staging_path(target, "r1"))
     publish.publish(spark, batch(spark, A=[1, 2], B=[1, 2, 3]), target, "r2")
     assert len(tracks(spark, target)) == 5
     publish.publish(spark, batch(spark, A=[10, 11, 12]), target, "r3")
@@ -44,7 +43,7 @@ def test_failed_checks_leave_the_target_alone(spark, tmp_path):
     publish.publish(spark, batch(spark, A=[1]), target, "good")
     bad = publish.publish(spark, batch(spark, A=[1, 1]), target, "bad")
     assert bad.status == "failed" and bad.checks.named("failed") == ["grain_unique"]
-    assert bad.kept == publish.staging_path(target, "bad") and os.path.exists(bad.kept) and tracks(spark, target) == [("A.csv", 1)]
+    assert bad.kept.endswith("_bad") and os.path.exists(bad.kept) and tracks(spark, target) == [("A.csv", 1)]
     short = publish.publish(spark, batch(spark, A=[1]), target, "short", expected_row_count=2, expected_frame_sum=100)
     assert short.checks.named("failed") == ["expected_row_count"]
     empty = publish.publish(spark, batch(spark, A=[1]).limit(0), target, "empty")
@@ -118,7 +117,7 @@ def test_new_and_changed_files_are_loaded_once(spark, tmp_path):
         return sorted((r.source_file, r.status, r.rows_loaded, r.rows_rejected) for r in got.collect())
 
     def frames():
-        return {r.source_file: r["count"] for r in spark.read.parquet(raw).groupBy("source_file").count().collect()}
+        return {r.source_file: r["count"] for r in read_layer(spark, raw, S.RAW).groupBy("source_file").count().collect()}
 
     assert load() == [("a.csv", "success", 4, 0), ("b.csv", "success", 2, 0)]
     assert load() == [("a.csv", "skipped", 0, 0), ("b.csv", "skipped", 0, 0)]
@@ -151,8 +150,8 @@ def test_recordings_end_to_end(spark, tmp_path):
     result = load_recordings(spark, str(folder), str(tmp_path / "layers"), str(tmp_path / "serving"), "run1")
     assert result.status == "success" and (result.silver.frames, result.silver.records, result.silver.rejected) == (240, 120, 1)
     assert (result.published.rows, result.published.frames) == (120, 240)
-    rejects = spark.read.parquet(result.silver.rejects_path).collect()
-    assert [(r.track_id, r.reason_code) for r in rejects] == [("500", "too_few_fields")]
+    rejects = read_layer(spark, result.silver.rejects_path, S.REJECT).collect()
+    assert [(r.track_id, r.reason_code, r.record_no) for r in rejects] == [("500", "too_few_fields", 121)]
     again = load_recordings(spark, str(folder), str(tmp_path / "layers"), str(tmp_path / "serving"), "run2")
     assert again.published.rows == 120
     (folder / "b.csv").write_text(f"{HEADER}\n{two_frames(1)}\n2; Car; 1\n")

@@ -15,6 +15,8 @@ from tracklane import schemas as S
 from tracklane.functions.lines import CUT, join_physical_lines, strip, unquoted_fields, without_cuts
 from tracklane.functions.numbers import normalise_speed, to_number
 from tracklane.functions.repair import repair_cut_fields
+from tracklane.operators.records import range_keys, with_offsets
+from tracklane.session import scratch_path
 
 WIDTH = S.FRAME_FIELDS
 HEADER = S.HEADER_FIELDS
@@ -87,10 +89,25 @@ def frames_of(parsed: DataFrame) -> DataFrame:
 
 
 def rejects_of(parsed: DataFrame) -> DataFrame:
-    """One row per rejected record."""
-    return parsed.filter(F.col("reason_code").isNotNull()).select(
-        "source_file", "block", "seq", F.col("track_token").alias("track_id"), "reason_code", "detail"
+    """One row per rejected record, with its number in its file (``record_no``, from 1, over all records).
+
+    One pass over the records leaves a row per part of a file, with its count and its rejects. Numbers are prefix sums over
+    the counts, so they do not depend on how files are cut.
+    """
+    keys = range_keys(parsed)
+    bad = F.struct("seq", F.col("track_token").alias("track_id"), "reason_code", "detail")
+    ranges = parsed.groupBy(*keys, "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.collect_list(F.when(F.col("reason_code").isNotNull(), bad)).alias("bad")
     )
+    path = scratch_path(parsed.sparkSession, "rejects")
+    ranges.write.parquet(path)
+    stored = parsed.sparkSession.read.schema(ranges.schema).parquet(path)
+    offsets = with_offsets(stored.drop("bad"), keys)
+    placed = stored.filter(F.size("bad") > 0).drop("n", "first_seq").join(offsets, [*keys, "block"])
+    found = placed.select(*keys, "offset", "first_seq", F.inline("bad"))
+    number = F.col("offset") + F.col("seq") - F.col("first_seq") + 1
+    file = F.col("path") if "path" in keys else F.lit(None).cast("string").alias("path")
+    return found.select("source_file", file, number.alias("record_no"), "track_id", "reason_code", "detail")
 
 
 def with_provenance(frames: DataFrame, bronze_key: str, ingested_at: datetime.datetime) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklane import schemas as S
-from tracklane.operators import checks
+from tracklane.operators import checks, versions
 from tracklane.sources.files import read_layer
 
 REPLACE_SOURCES, REPLACE_SNAPSHOT = "replace_sources", "replace_snapshot"
@@ -148,61 +148,82 @@ class PublishResult:
         return "success" if self.complete else "failed"
 
 
-def staging_path(target: str, run_id: str) -> str:
-    if not _IDENTIFIER.match(run_id):
-        raise ValueError(f"run id may hold only letters, digits and _: {run_id!r}")
-    return f"{target.rstrip('/')}__staging_{run_id}"
+@dataclass
+class StagedBatch:
+    """A batch in a version folder of its target, which no reader sees yet."""
 
+    target: str
+    version: str
+    folder: str
+    result: PublishResult
 
-def publish(
+
+def stage_batch(
     spark: SparkSession,
     summary: DataFrame,
     target: str,
     run_id: str,
-    mode: str = REPLACE_SOURCES,
     rows_per_file: int = ROWS_PER_FILE,
     expected_row_count: int | None = None,
     expected_frame_sum: int | None = None,
-) -> PublishResult:
-    """Stage the batch, check what was staged, publish it, remove the staging data.
-
-    A batch holds the complete set of every source in it. If a check fails, the staging data stays for
-    inspection and the target is not touched. The publishing write commits once, at its end; a reader
-    that lists the folder during that commit may see old and new sources side by side.
-    """
-    if mode not in (REPLACE_SOURCES, REPLACE_SNAPSHOT):
-        raise ValueError(f"invalid load mode {mode!r}; expected {REPLACE_SOURCES} or {REPLACE_SNAPSHOT}")
-    staging = staging_path(target, run_id)
-    write_by_source(summary.select(*S.names(S.SUMMARY)), staging, REPLACE_SNAPSHOT, rows_per_file)
-    staged = read_layer(spark, staging, S.SUMMARY)
+) -> StagedBatch:
+    """Write the batch where it is to stay, and check what was written."""
+    version, folder = versions.version_folder(spark, target, run_id)
+    write_by_source(summary.select(*S.names(S.SUMMARY)), folder, REPLACE_SNAPSHOT, rows_per_file)
+    staged = read_layer(spark, folder, S.SUMMARY)
     rows = F.count(F.lit(1))
     totals = [
         checks.Check("staged_rows", rows, lambda n: n >= 0, "rows", on_empty=True),
         checks.Check("frame_sum", F.coalesce(F.sum("frame_count"), F.lit(0)), lambda n: n >= 0, "frames", on_empty=True),
     ]
     found = checks.report(
-        staging, checks.run_checks(staged, checks.serving_checks(expected_row_count, expected_frame_sum) + totals)
+        folder, checks.run_checks(staged, checks.serving_checks(expected_row_count, expected_frame_sum) + totals)
     )
-    result = PublishResult(found, kept=staging)
-    if found.passed:
-        write_by_source(staged, target, mode, rows_per_file)
-        stored = _read_back(spark, target, staged)
-        result.rows, result.frames = stored["rows"], stored["frames"]
-        if result.complete and _delete(spark, staging):
-            result.kept = None
-    return result
+    return StagedBatch(target, version, folder, PublishResult(found, kept=folder))
+
+
+def confirm(spark: SparkSession, batch: StagedBatch) -> PublishResult:
+    """Count what a reader finds of a committed batch."""
+    stored = _read_back(spark, batch.target, read_layer(spark, batch.folder, S.SUMMARY))
+    batch.result.rows, batch.result.frames = stored["rows"], stored["frames"]
+    if batch.result.complete:
+        batch.result.kept = None
+    return batch.result
+
+
+def publish(
+    spark: SparkSession,
+    summary: DataFrame,
+    target: str,
+    run_id: str,
+    mode: str = REPLACE_SOURCES,
+    rows_per_file: int = ROWS_PER_FILE,
+    expected_row_count: int | None = None,
+    expected_frame_sum: int | None = None,
+    read: DataFrame | None = None,
+) -> PublishResult:
+    """Stage the batch, check what was staged, publish it with one rename.
+
+    A batch holds the complete set of every source in it; sources in ``read`` that the batch has no rows of lose their old
+    ones. If a check fails, the staged data stays for inspection and the target is not touched. A reader of the target
+    (``read_layer``) sees the old rows until the rename and the new ones from then on.
+    """
+    if mode not in (REPLACE_SOURCES, REPLACE_SNAPSHOT):
+        raise ValueError(f"invalid load mode {mode!r}; expected {REPLACE_SOURCES} or {REPLACE_SNAPSHOT}")
+    store, dataset = versions.register(spark, target, target, "rows")
+    base = versions.state(spark, store)
+    batch = stage_batch(spark, summary, target, run_id, rows_per_file, expected_row_count, expected_frame_sum)
+    if batch.result.checks.passed:
+        versions.commit(spark, store, base, {dataset: (batch.version, batch.folder)}, read, mode == REPLACE_SNAPSHOT)
+        confirm(spark, batch)
+    return batch.result
 
 
 def drop_sources(spark: SparkSession, path: str, sources: list[str]) -> None:
     """Remove all rows of some sources from a layer written by ``write_by_source``."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for source in sources:
-        _delete(spark, f"{path.rstrip('/')}/source_file={escape(source)}")
-
-
-def remove_staging(spark: SparkSession, *paths: str) -> None:
-    for path in paths:
-        _delete(spark, path)
+        versions.delete(spark, f"{path.rstrip('/')}/source_file={escape(source)}")
 
 
 def published_sources(summary: DataFrame) -> DataFrame:
@@ -251,8 +272,3 @@ def materialise(df: DataFrame, name: str, kind: str) -> None:
         df.write.mode("overwrite").saveAsTable(name)
     else:
         raise ValueError(f"kind must be 'view' or 'table', got {kind!r}")
-
-
-def _delete(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

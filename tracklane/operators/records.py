@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklane.functions.lines import is_record_start
-
+from tracklane.session import scratch_path
 
 # A JVM text value holds no more; a record beyond it stops the job with an error.
 LARGEST_TEXT = 2**31 - 1
+# Parts of files whose offsets every task may hold.
+PARTS_HELD = 200_000
 
 
 def assemble_records(lines: DataFrame, skip_header: bool = True) -> DataFrame:
@@ -89,20 +91,33 @@ def assemble_records(lines: DataFrame, skip_header: bool = True) -> DataFrame:
     )
 
 
+def range_keys(records: DataFrame) -> list[str]:
+    """What tells the files of records apart: the source, and the path where a source may have several files."""
+    return ["source_file", *(["path"] if "path" in records.columns else [])]
+
+
+def with_offsets(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``offset``, the records of a file before each of its parts, from one row a part with ``n`` records."""
+    earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
 def number_records(records: DataFrame) -> DataFrame:
     """Add ``record_no``, the 1-based place of a record in its file, rejected ones included.
 
-    Only one row per part of a file goes through the ordered window.
+    Parts of files are counted first, one row each. As long as these are few enough for every task to hold (a part is up to
+    128 MB of text, so PARTS_HELD of them are some 25 TB), the text is not moved to be numbered.
     """
-    counted = records.groupBy("source_file", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq")
-    )
-    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.select(
-        "source_file", "block", "first_seq", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
-    )
+    keys = range_keys(records)
+    path = scratch_path(records.sparkSession, "parts")
+    counted = records.groupBy(*keys, "block").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"))
+    counted.write.parquet(path)
+    parts = records.sparkSession.read.schema(counted.schema).parquet(path)
+    offsets = with_offsets(parts, keys).drop("n")
+    if parts.count() <= PARTS_HELD:
+        offsets = F.broadcast(offsets)
     return (
-        records.join(offsets, ["source_file", "block"])
+        records.join(offsets, [*keys, "block"])
         .withColumn("record_no", F.col("offset") + F.col("seq") - F.col("first_seq") + 1)
         .drop("offset", "first_seq")
     )

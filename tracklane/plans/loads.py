@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane import schemas as S
-from tracklane.operators import checks, publish, runs
+from tracklane.operators import checks, publish, runs, versions
 from tracklane.operators.frames import frames_of, parse_records, rejects_of, with_provenance
 from tracklane.operators.summary import summarise_trajectories
 from tracklane.session import scratch_path
 from tracklane.sources.files import discover_files, hash_files, read_layer
-from tracklane.sources.records import read_records
+from tracklane.sources.records import list_recordings, read_records, records_of
 
 
 def _now() -> datetime.datetime:
@@ -64,7 +64,7 @@ def load_silver(
     totals = publish.observed(seen, "records", "rejected") if written.rows else parsed.agg(*counts).first()
     kept = None
     if totals["rejected"] and rejects_path:
-        rejects_of(parsed).write.mode("overwrite").parquet(rejects_path)
+        publish.write_by_source(rejects_of(parsed), rejects_path, publish.REPLACE_SNAPSHOT)
         kept = rejects_path
     result = SilverResult(path, written.rows, totals["records"], totals["rejected"], kept, written.status)
     if result.reject_fraction > max_reject_fraction:
@@ -95,46 +95,50 @@ def load_recordings(
 ) -> LoadResult:
     """Recordings → staged Silver → checks → staged summary → checks and frame conservation → serving data and layers.
 
-    Everything is staged under the run's name and covers this run's sources only. Stops at the first gate that fails; then
-    no layer and no serving data has changed, and what was staged stays for inspection. Once all gates hold, the sources
-    read replace their earlier rows, also those that now give no frame.
+    Silver, summary, rejects and serving data are versioned datasets of the store at ``layers``. A run's rows lie beside
+    the ones in use and cover this run's sources only. The first gate that fails stops the run; then no reader sees any of
+    them, and they stay for inspection. Once all gates hold, one rename puts all four in place: every source that
+    was read has its new rows, or none if it has no valid record any more.
     """
     layers = layers.rstrip("/")
-    silver_path, summary_path = f"{layers}/silver", f"{layers}/summary"
-    staged_silver, staged_summary = publish.staging_path(silver_path, run_id), publish.staging_path(summary_path, run_id)
+    silver_path, summary_path, rejects_path = f"{layers}/silver", f"{layers}/summary", f"{layers}/rejects"
+    names = {"silver": silver_path, "summary": summary_path, "rejects": rejects_path, "serving": serving}
+    stores = {path: versions.register(spark, path, layers, name) for name, path in names.items()}
+    bases = {store: versions.state(spark, store) for store, _ in stores.values()}
+    staged = {path: versions.version_folder(spark, path, run_id) for path in (silver_path, summary_path, rejects_path)}
+    read = list_recordings(spark, source, **read_options).select("source_file").distinct()
     result = LoadResult("failed")
+    records = read_records(spark, source, **read_options)
     result.silver = load_silver(
-        spark, read_records(spark, source, **read_options), staged_silver, source, f"{layers}/rejects_{run_id}", speed_unit,
-        max_reject_fraction, publish.REPLACE_SNAPSHOT,
+        spark, records, staged[silver_path][1], source, staged[rejects_path][1], speed_unit, max_reject_fraction, publish.REPLACE_SNAPSHOT
     )
     if result.silver.status != "success":
         return result
-    result.silver_checks = checks.validate_dataset(spark, staged_silver, S.SILVER, checks.frame_checks())
+    result.silver_checks = checks.validate_dataset(spark, staged[silver_path][1], S.SILVER, checks.frame_checks())
     if not result.silver_checks.passed:
         return result
-    frames = read_layer(spark, staged_silver, S.SILVER)
-    result.summary = publish.write_summary(spark, summarise_trajectories(frames), staged_summary, publish.REPLACE_SNAPSHOT)
+    frames = read_layer(spark, staged[silver_path][1], S.SILVER)
+    result.summary = publish.write_summary(spark, summarise_trajectories(frames), staged[summary_path][1], publish.REPLACE_SNAPSHOT)
     if result.summary.status != "success":
         return result
-    result.summary_checks = checks.validate_dataset(spark, staged_summary, S.SUMMARY, checks.summary_checks())
-    summary = read_layer(spark, staged_summary, S.SUMMARY)
+    result.summary_checks = checks.validate_dataset(spark, staged[summary_path][1], S.SUMMARY, checks.summary_checks())
+    summary = read_layer(spark, staged[summary_path][1], S.SUMMARY)
     result.conserved = checks.report("frames", checks.check_frames_conserved(frames, summary))
     if not (result.summary_checks.passed and result.conserved.passed):
         return result
-    result.published = publish.publish(spark, summary, serving, run_id)
-    result.status = result.published.status
-    if result.status != "success":
+    batch = publish.stage_batch(spark, summary, serving, run_id)
+    result.published = batch.result
+    if not batch.result.checks.passed:
         return result
-    publish.write_by_source(frames, silver_path, gather=False)
-    publish.write_by_source(summary, summary_path)
-    if result.silver.rejects_path:
-        # A source all of whose records were rejected has no folder in the batch to replace its old one.
-        rejected = spark.read.parquet(result.silver.rejects_path).select("source_file").distinct()
-        emptied = [r["source_file"] for r in rejected.join(summary.select("source_file").distinct(), "source_file", "left_anti").collect()]
-        for layer in (silver_path, summary_path, serving):
-            publish.drop_sources(spark, layer, emptied)
-    publish.remove_staging(spark, staged_silver, staged_summary)
+    staged[serving] = (batch.version, batch.folder)
+    # One store, unless serving data was first published into another one.
+    for store in dict.fromkeys(store for store, _ in stores.values()):
+        own = {stores[path][1]: staged[path] for path in staged if stores[path][0] == store}
+        versions.commit(spark, store, bases[store], own, read)
+    result.status = publish.confirm(spark, batch).status
     result.silver.path, result.summary.path = silver_path, summary_path
+    if result.silver.rejects_path:
+        result.silver.rejects_path = rejects_path
     return result
 
 
@@ -143,8 +147,9 @@ def load_new_files(
 ) -> DataFrame:
     """Load the files of a folder that are new or changed, replacing their earlier rows.
 
-    All pending files are parsed in one job. Each gets a row in the run log, also when the job fails;
-    files that are already loaded are logged as skipped. Returns this run's log rows.
+    All pending files are parsed in one job, planned from a table of files. Each gets a row in the run log, also when the job
+    fails; files that are already loaded are logged as skipped. The raw layer is versioned: its readers see the rows of all
+    files of a run at once, and a file that now gives no frame loses its old ones. Returns this run's log rows.
     """
     started = _now()
     # The file list is read four times below; storing it hashes every file once.
@@ -162,17 +167,20 @@ def load_new_files(
         "source_file", "file_hash", nothing.alias("rows_loaded"), nothing.alias("rows_rejected")
     )
     made = [entries(unread(runs.loaded_files(files, log)), "skipped")]
-    # One path per file to read, as in any file listing.
-    paths = [r["path"] for r in pending.select("path").orderBy("path").collect()]
-    if paths:
+    if not pending.isEmpty():
         try:
-            parsed = parse_records(read_records(spark, paths))
+            store, dataset = versions.register(spark, raw_path, raw_path, "rows")
+            base = versions.state(spark, store)
+            version, folder = versions.version_folder(spark, raw_path, "files")
+            nowhere = F.lit(None)
+            listed = pending.select("path", nowhere.cast("string").alias("member"), "source_file", "size", nowhere.cast("bigint").alias("start"))
+            parsed = parse_records(records_of(listed))
             frames = frames_of(parsed).join(pending.select("source_file", "file_hash"), "source_file")
             # The surrogate id is unique within one load.
             raw = frames.withColumn("id", F.monotonically_increasing_id()).withColumn(
                 "ingested_at", F.lit(started).cast("timestamp")
             )
-            publish.write_by_source(raw.select(*S.names(S.RAW)), raw_path, gather=False)
+            publish.write_by_source(raw.select(*S.names(S.RAW)), folder, publish.REPLACE_SNAPSHOT, gather=False)
             accepted = F.col("reason_code").isNull()
             counts = parsed.groupBy("source_file").agg(
                 F.sum(F.when(accepted, F.size("frames").cast("bigint")).otherwise(0)).alias("rows_loaded"),
@@ -185,9 +193,7 @@ def load_new_files(
                 F.coalesce("rows_rejected", nothing).alias("rows_rejected"),
             )
             made.append(entries(done, "success"))
-            # A file that now gives no frame has no folder in the batch to replace its old one.
-            emptied = done.filter(F.col("rows_loaded") == 0).select("source_file").collect()
-            publish.drop_sources(spark, raw_path, [r["source_file"] for r in emptied])
+            versions.commit(spark, store, base, {dataset: (version, folder)}, pending)
         except Exception as error:
             runs.append_runs(entries(unread(pending), "failed", str(error)), runs_path)
             raise

@@ -73,7 +73,7 @@ VEHICLE_TYPE_DIM = _schema(
 )
 
 REJECT = _schema(
-    "source_file string, block bigint, seq bigint, track_id string, reason_code string, detail string",
+    "source_file string, path string, record_no bigint, track_id string, reason_code string, detail string",
     nullable=True,
 )
 

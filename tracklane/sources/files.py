@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracklane.operators import versions
 from tracklane.sources.storage import label_files, open_bytes, relative_name
 
 _FILES = "path string, source_file string, size bigint"
@@ -84,7 +85,9 @@ def _sha256(path: str) -> str:
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored layer under its declared schema, columns in contract order."""
+    """A stored layer under its declared schema, columns in contract order; of a versioned one the newest state."""
+    if versions.store_of(spark, path):
+        return versions.read(spark, path, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
