@@ -142,6 +142,10 @@ def _published(snapshot: bool) -> str:
 _PATH = r"regexp_replace(regexp_extract(url, '^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)', 3), ';[^/]*$', '')"
 _HOST = r"regexp_extract(url, '^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]*)', 1)"
 
+# Records of a file that arrives, and the damaged ones among them.
+ARRIVING = 64
+_THIRD = f"track % {ARRIVING} between 10 and 14"
+
 FRAME_COLUMNS = ", ".join(S.names(S.FRAME))
 _STEPS = f"""select source_file, track_id, timestamp_s,
   timestamp_s - lag(timestamp_s) over (partition by source_file, track_id order by timestamp_s, lat, lon) as step_s"""
@@ -290,8 +294,9 @@ def oracle_sql() -> dict[str, str]:
         "read_archive": f"select track_id, count(*) as frame_count, max(timestamp_s) as end_time_s from ({RECORDING_SQL}) group by track_id",
         "archive_lines": f"""select cast(sum(1 + cast(event_id % 7 <> 0 as integer) + cast(event_id % 11 = 5 as integer)) as bigint)
   as line_count from ({RECORDING_SQL})""",
-        "parse_rejects": f"""select distinct source_file, cast(track as varchar) as track_id, {FAULT_SQL} as reason_code
-  from ({RECORDING_SQL}) where ({FAULT_SQL}) is not null""",
+        "parse_rejects": f"""select * from (select source_file, cast(track as varchar) as track_id, {FAULT_SQL} as reason_code,
+  row_number() over (partition by source_file order by track) as record_no
+  from (select distinct source_file, track from ({RECORDING_SQL}))) where reason_code is not null""",
         "parse_totals": f"""with t as (select track, count(*) n, any_value({FAULT_SQL}) as reason from ({RECORDING_SQL}) group by track)
   select count(*) filter (where reason is null) as record_count, count(*) filter (where reason is null) as track_count,
   cast(coalesce(sum(n) filter (where reason is null), 0) as bigint) as frame_count, count(reason) as rejected_count from t""",
@@ -316,6 +321,25 @@ def oracle_sql() -> dict[str, str]:
         "replace_sources": _published(False),
         "publish_rejected": SUMMARY,
         "stream_publish": SUMMARY,
+        "publish_seen_whole": f"""with f as ({FACT}), moved as (select source_file, track_id + 1000000 as track_id, frame_count from f where source_file in ('click.csv', 'view.csv')),
+  kept as (select source_file, track_id, frame_count from f where source_file not in ('click.csv', 'view.csv', 'purchase.csv')),
+  phases as (select 'before' as phase, source_file, track_id, frame_count from f union all select 'written', source_file, track_id, frame_count from f
+    union all select 'switched', * from moved union all select 'switched', * from kept)
+  select phase, source_file, count(*) as tracks, cast(sum(frame_count) as bigint) as frames, min(track_id) as first_track from phases group by phase, source_file""",
+        "stream_recordings_late": f"""with f as ({RECORDING_SQL}),
+  files as (select source_file, count(distinct track // {ARRIVING}) as file_count from f group by source_file)
+  select s.*, file_count, 1 as failed_runs from ({summary(f"select * from ({RECORDING_SQL}) where not ({_THIRD})")}) s join files using (source_file)""",
+        "stream_rejects": f"""select source_file, 'part' || (track // {ARRIVING}) || '/' || source_file as file, record_no, cast(track as varchar) as track_id,
+  'bad_header_number' as reason_code from (select source_file, track,
+    row_number() over (partition by source_file, track // {ARRIVING} order by track) as record_no
+    from (select distinct source_file, track from ({RECORDING_SQL}))) where {_THIRD}""",
+        "load_header_only_source": f"""select * from ({summary(f"select * replace (replace(source_file, '.csv', '/') || (track // {ARRIVING}) || '.csv' as source_file) from ({RECORDING_SQL})")})
+  where track_id % 5 > 2 or track_id % 5 = 2 and (track_id % 2 = 0
+    or not exists (select 1 from ({RECORDING_SQL}) r where r.track % 5 = 2 and r.track % 2 = 0 and r.track // {ARRIVING} = track_id // {ARRIVING}))""",
+        "nested_recordings": f"""select {FRAME_COLUMNS.replace('source_file', "'part' || (track // " + str(ARRIVING) + ") || '/' || source_file as source_file", 1)}, reader
+  from ({RECORDING_SQL}), (values ('ranges'), ('lines')) t(reader) where not ({_THIRD})""",
+        "archive_members_of_one_name": f"""select {FRAME_COLUMNS.replace('source_file', "(track // " + str(ARRIVING) + ") || '.zip/m' || (track % 5) || '/rec.csv' as source_file", 1)}, reader
+  from ({RECORDING_SQL}), (values ('ranges'), ('lines')) t(reader) where not ({_THIRD})""",
         "published_sources": f"select distinct source_file from ({FACT}) order by source_file",
         "load_recordings_end_to_end": f"select * exclude (source_file) from ({summary(RECORDING_SQL)})",
         "load_gate_holds": f"""select * exclude (source_file), 'failed success' as statuses

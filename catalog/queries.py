@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tracklane import schemas as S
 from tracklane.functions import repair
 from tracklane.functions.lines import CUT, join_physical_lines
 from tracklane.functions.urls import object_name, safe_url
-from tracklane.operators import checks, parity, publish, runs, staging, summary
+from tracklane.operators import checks, parity, publish, runs, staging, summary, versions
 from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of, with_provenance
 from tracklane.operators.records import assemble_records, number_records
 from tracklane.plans import marts
@@ -26,7 +27,7 @@ from tracklane.sources.archive import list_archive_members, read_archive_lines
 from tracklane.sources.files import dataset_metrics, read_layer, read_lines, read_source, register_sources
 from tracklane.sources.records import read_records
 from tracklane.sources.storage import filesystem_of
-from tracklane.streaming.ingest import stream_frames
+from tracklane.streaming.ingest import stream_frames, stream_recordings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,7 +277,7 @@ def repair_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejects_of(_parsed_faulty(spark, sf_dir)).select("source_file", "track_id", "reason_code")
+    return rejects_of(_parsed_faulty(spark, sf_dir)).select("source_file", "record_no", "track_id", "reason_code")
 
 
 @query
@@ -487,6 +488,31 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _steady(read_layer(spark, target, S.SUMMARY))
 
 
+@query
+def publish_seen_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader of the target finds before a publish, when its rows are written, and after the switch. The batch replaces
+    two sources and read a third one, which has no rows any more."""
+    target, fact = scratch_path(spark, "serving"), _fact(spark, sf_dir)
+    publish.publish(spark, fact, target, "first")
+
+    def seen(phase: str) -> DataFrame:
+        found = read_layer(spark, target, S.SUMMARY).groupBy("source_file")
+        counted = found.agg(F.count(F.lit(1)).alias("tracks"), F.sum("frame_count").alias("frames"), F.min("track_id").alias("first_track"))
+        path = scratch_path(spark, "seen")
+        counted.withColumn("phase", F.lit(phase)).write.parquet(path)
+        return spark.read.parquet(path)
+
+    phases = [seen("before")]
+    store, dataset = versions.store_of(spark, target)
+    base = versions.state(spark, store)
+    staged = publish.stage_batch(spark, _next_batch(fact), target, "second")
+    phases.append(seen("written"))
+    read = fact.filter(F.col("source_file").isin("click.csv", "view.csv", "purchase.csv")).select("source_file").distinct()
+    versions.commit(spark, store, base, {dataset: (staged.version, staged.folder)}, read)
+    phases.append(seen("switched"))
+    return phases[0].unionByName(phases[1]).unionByName(phases[2])
+
+
 @query
 def storage_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "summary")
@@ -567,6 +593,132 @@ def load_emptied_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _served(spark, serving).withColumn("served_before", F.lit(served_before).cast("bigint"))
 
 
+def _write_files(texts: DataFrame, folder: str, header: bool = True) -> None:
+    """The records as files called by the column ``file``, in the order of their tracks; a file is what fits into one task."""
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        storage, inner = filesystem_of(folder)
+        target = f"{inner}/{rows['file'].iloc[0]}"
+        storage.create_dir(target.rsplit("/", 1)[0])
+        lines = ["track_id; type; traveled_d; avg_speed"] * header + rows.sort_values("track")["value"].dropna().tolist()
+        attempt = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
+        with storage.open_output_stream(attempt) as stream:
+            stream.write(("\n".join(lines) + "\n").encode())
+        storage.move(attempt, target)
+        return pd.DataFrame({"file": [target], "lines": [len(lines)]})
+
+    written = texts.select("file", "track", "value").groupBy("file").applyInPandas(write, "file string, lines long")
+    written.write.parquet(scratch_path(spark=texts.sparkSession, label="written"))
+
+
+#: Records of a file that arrives.
+ARRIVING = 64
+
+
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with the file they arrive in: five sources, each with a file in every folder. The third record of every file has a
+    bad number; whole files come again in a folder of their own."""
+    folder = F.floor(F.col("track") / ARRIVING)
+    damaged = F.regexp_replace("value", "^([^;]*;[^;]*;)[^;]*;", "$1 none;")
+    texts = _recording_texts(spark, sf_dir).withColumn("folder", folder)
+    third = (F.col("track") % ARRIVING).between(10, 14)
+    return texts.select(
+        "folder", "track", F.concat(F.lit("part"), folder.cast("string"), F.lit("/rec"), (F.col("track") % 5).cast("string"), F.lit(".csv")).alias("file"),
+        F.when(third, damaged).otherwise(F.col("value")).alias("value"),
+    )
+
+
+def _stream_three_times(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
+    """Half of the folders arrive, then the others, then a file whose records are all bad, beside a copy of an earlier one."""
+    incoming, layers, serving, checkpoint = (scratch_path(spark, name) for name in ("incoming", "layers", "serving", "checkpoint"))
+    texts = _arriving(spark, sf_dir)
+
+    def run() -> None:
+        # At a small scale, one reject may be more than the usual share.
+        stream_recordings(spark, incoming, layers, serving, checkpoint, max_reject_fraction=0.5).awaitTermination()
+
+    failed = 0
+    _write_files(texts.filter("folder % 2 = 0"), incoming)
+    run()
+    _write_files(texts.filter("folder % 2 = 1"), incoming)
+    run()
+    again = texts.filter("folder = 0").withColumn("file", F.concat(F.lit("again/"), "file"))
+    bad = texts.filter("folder = 0").select("folder", "track", F.concat(F.lit("bad/"), "file").alias("file"), F.replace("value", F.lit(";"), F.lit(",")).alias("value"))
+    _write_files(again.filter("track % 5 < 3").unionByName(bad.filter("track % 5 = 4")), incoming)
+    try:
+        run()
+    except StreamingQueryException:
+        failed += 1
+    return layers, serving, failed
+
+
+@query
+def stream_recordings_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is served after three runs of the stream: sources hold their late files, a batch with a bad file changed nothing."""
+    layers, serving, failed = _stream_three_times(spark, sf_dir)
+    served = read_layer(spark, serving, S.SUMMARY)
+    files = read_layer(spark, f"{layers}/ledger", S.LEDGER).groupBy("source_file").agg(F.count(F.lit(1)).alias("file_count"))
+    return _steady(served).join(files, "source_file").withColumn("failed_runs", F.lit(failed))
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects that three runs of the stream leave, with the file and the number of the record in it."""
+    layers, _, _ = _stream_three_times(spark, sf_dir)
+    rejects = read_layer(spark, f"{layers}/rejects", S.REJECT)
+    return rejects.select("source_file", F.substring_index("path", "/", -2).alias("file"), "record_no", "track_id", "reason_code")
+
+
+@query
+def load_header_only_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five sources, of which two are then delivered with a header only and one with other records."""
+    folder, again = scratch_path(spark, "recordings"), scratch_path(spark, "again")
+    layers, serving = scratch_path(spark, "layers"), scratch_path(spark, "serving")
+    name = F.concat(F.lit("rec"), (F.col("track") % 5).cast("string"), F.lit("/"), F.floor(F.col("track") / ARRIVING).cast("string"), F.lit(".csv"))
+    texts = _recording_texts(spark, sf_dir).withColumn("file", name)
+    _write_files(texts, folder)
+    load_recordings(spark, folder, layers, serving, "first", label="path")
+    gone = texts.filter("track % 5 < 2").withColumn("value", F.lit(None).cast("string"))
+    _write_files(gone.unionByName(texts.filter("track % 5 = 2 AND track % 2 = 0")), again)
+    load_recordings(spark, again, layers, serving, "again", label="path")
+    return _steady(read_layer(spark, serving, S.SUMMARY))
+
+
+@query
+def nested_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one name in many folders, read by byte range and line by line, under their paths."""
+    folder = scratch_path(spark, "recordings")
+    _write_files(_arriving(spark, sf_dir), folder)
+    by_range = frames_of(parse_records(read_records(spark, folder, label="path"))).withColumn("reader", F.lit("ranges"))
+    by_line = frames_of(parse_records(assemble_records(read_lines(spark, folder, "path")))).withColumn("reader", F.lit("lines"))
+    return by_range.unionByName(by_line)
+
+
+@query
+def archive_members_of_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives whose members share their names and differ in their folders, stored as they are or compressed; both readers."""
+    archives = scratch_path(spark, "archives")
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        storage, inner = filesystem_of(archives)
+        storage.create_dir(inner)
+        number = int(rows["folder"].iloc[0])
+        attempt = f"{inner}/{number}.{TaskContext.get().taskAttemptId()}.tmp"
+        packing = zipfile.ZIP_STORED if number % 2 else zipfile.ZIP_DEFLATED
+        with storage.open_output_stream(attempt) as stream, zipfile.ZipFile(stream, "w", packing) as archive:
+            for member, own in rows.sort_values("track").groupby("file"):
+                archive.writestr(f"{member}", "\n".join(["header", *own["value"]]))
+        storage.move(attempt, f"{inner}/{number}.zip")
+        return pd.DataFrame({"folder": [number]})
+
+    texts = _arriving(spark, sf_dir).withColumn("file", F.concat(F.lit("m"), (F.col("track") % 5).cast("string"), F.lit("/rec.csv")))
+    texts.groupBy("folder").applyInPandas(pack, "folder long").write.parquet(scratch_path(spark, "written"))
+    by_range = frames_of(parse_records(read_records(spark, archives, label="path"))).withColumn("reader", F.lit("ranges"))
+    lines = read_archive_lines(spark, archives, label="path")
+    by_line = frames_of(parse_records(assemble_records(lines))).withColumn("reader", F.lit("lines"))
+    return by_range.unionByName(by_line)
+
+
 @query
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows: parsed frames stamped with their origin and the time of the run."""

@@ -10,6 +10,8 @@ from tracklane.operators import records as record_operators
 from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of, with_provenance
 from tracklane.operators.records import assemble_records, limit_records, number_records
 from tracklane.sources import records as record_source
+from tracklane.sources.files import read_lines
+from tracklane.sources.records import read_records
 
 # name → (physical lines after the header, expected (track, lat, lon, time) per frame)
 GOOD = [(0.0, 37.951204, 23.702816), (0.04, 37.951204, 23.702816)]
@@ -261,3 +263,15 @@ def test_preamble_that_fills_whole_parts(spark):
     assert sorted(map(str, map(tuple, got))) == [
         "('a.csv', 'preamble')", "('a.csv', None)", "('b.csv', 'preamble')"
     ]
+
+
+def test_reject_numbers_do_not_depend_on_the_cut(spark, tmp_path):
+    rows = [two_frames(n) if n % 7 else f"{n}; Car; 1" for n in range(1, 200)]
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_text("\n".join([HEADER, "stray", *rows]))
+    want = {(name, n + 1) for name in ("a.csv", "b.csv") for n in range(7, 200, 7)} | {("a.csv", 1), ("b.csv", 1)}
+    for size in (1 << 20, 5000, 300):
+        found = rejects_of(parse_records(read_records(spark, str(tmp_path), rangeBytes=size))).collect()
+        assert {(r.source_file, r.record_no) for r in found} == want and len(found) == len(want)
+    lines = assemble_records(read_lines(spark, str(tmp_path)))
+    assert {(r.source_file, r.record_no) for r in rejects_of(parse_records(lines)).collect()} == want

@@ -10,7 +10,7 @@ from samples import HEADER, two_frames
 from test_parity import rows
 
 from tracklane import schemas as S
-from tracklane.operators import publish, runs
+from tracklane.operators import publish, runs, versions
 from tracklane.operators.frames import frames_of, parse_records
 from tracklane.plans.loads import load_new_files, load_recordings
 from tracklane.sources.files import read_layer
@@ -189,13 +189,88 @@ def test_a_source_without_valid_records_loses_its_old_rows(spark, tmp_path):
         assert {name for name, _ in tracks(spark, layer)} == {"b.csv"}
 
 
-def test_stream_picks_up_new_files_only(spark, tmp_path):
+def test_a_source_that_now_has_a_header_only_loses_its_old_rows(spark, tmp_path):
+    layers, serving, folder = str(tmp_path / "layers"), str(tmp_path / "serving"), tmp_path / "in"
+    folder.mkdir()
+    write_recording(folder / "a.csv", 1, 2)
+    write_recording(folder / "b.csv", 1)
+    assert load_recordings(spark, str(folder), layers, serving, "r1").status == "success"
+    (folder / "a.csv").write_text(f"{HEADER}\n")
+    assert load_recordings(spark, str(folder), layers, serving, "r2").status == "success"
+    for layer in (f"{layers}/summary", serving):
+        assert tracks(spark, layer) == [("b.csv", 1)]
+    assert {r.source_file for r in read_layer(spark, f"{layers}/silver", S.SILVER).collect()} == {"b.csv"}
+
+
+def test_readers_see_a_publish_whole(spark, tmp_path):
+    target = str(tmp_path / "serving")
+    publish.publish(spark, batch(spark, A=[1], B=[1]), target, "r1")
+    before = read_layer(spark, target, S.SUMMARY)
+    store, dataset = versions.store_of(spark, target)
+    staged = publish.stage_batch(spark, batch(spark, A=[5], C=[1]), target, "r2")
+    assert tracks(spark, target) == [("A.csv", 1), ("B.csv", 1)]
+    gone = spark.createDataFrame([("B.csv",)], "source_file string")
+    assert versions.commit(spark, store, 1, {dataset: (staged.version, staged.folder)}, gone) == 2
+    assert tracks(spark, target) == [("A.csv", 5), ("C.csv", 1)]
+    assert before.count() == 2  # a reader that had begun goes on with its state
+    assert [r.track_id for r in versions.read(spark, target, S.SUMMARY, 1).orderBy("source_file").collect()] == [1, 1]
+    with pytest.raises(versions.StaleState):
+        versions.commit(spark, store, 1, {dataset: (staged.version, staged.folder)})
+
+
+def test_old_versions_go(spark, tmp_path):
+    target = str(tmp_path / "serving")
+    for n in range(6):
+        publish.publish(spark, batch(spark, A=[n], **({"B": [7]} if n == 0 else {})), target, f"r{n}")
+    assert tracks(spark, target) == [("A.csv", 5), ("B.csv", 7)]
+    left = sorted(name.split("_")[-1] for name in os.listdir(target) if name.startswith("version="))
+    assert left == ["r0", "r3", "r4", "r5"]  # the first one still holds B
+
+
+def streamed(spark, tmp_path, **options):
+    layers, serving = str(tmp_path / "layers"), str(tmp_path / "serving")
+    stream_recordings(spark, str(tmp_path / "in"), layers, serving, str(tmp_path / "checkpoint"), **options).awaitTermination()
+    return tracks(spark, serving)
+
+
+def test_stream_rebuilds_sources_from_all_their_files(spark, tmp_path):
+    (tmp_path / "in" / "day1").mkdir(parents=True)
+    (tmp_path / "in" / "day2").mkdir()
+    write_recording(tmp_path / "in" / "day1" / "a.csv", 1, 2)
+    assert streamed(spark, tmp_path) == [("a.csv", 1), ("a.csv", 2)]
+    write_recording(tmp_path / "in" / "day2" / "b.csv", 9)
+    write_recording(tmp_path / "in" / "day2" / "a.csv", 3)
+    write_recording(tmp_path / "in" / "day2" / "c.csv")
+    want = [("a.csv", 1), ("a.csv", 2), ("a.csv", 3), ("b.csv", 9)]
+    assert streamed(spark, tmp_path) == want
+    (tmp_path / "in" / "day3").mkdir()
+    write_recording(tmp_path / "in" / "day3" / "a.csv", 3)  # what the source already has
+    assert streamed(spark, tmp_path) == want
+    ledger = read_layer(spark, str(tmp_path / "layers" / "ledger"), S.LEDGER).collect()
+    assert sorted((r.source_file, r.path.split("/")[-2]) for r in ledger) == [("a.csv", "day1"), ("a.csv", "day2"), ("b.csv", "day2"), ("c.csv", "day2")]
+
+
+def test_stream_keeps_rejects_and_its_gate(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([HEADER, two_frames(1), "2; Car; 1", two_frames(3)]))
+    assert streamed(spark, tmp_path, max_reject_fraction=0.5) == [("a.csv", 1), ("a.csv", 3)]
+    (rejected,) = read_layer(spark, str(tmp_path / "layers" / "rejects"), S.REJECT).collect()
+    assert (rejected.source_file, rejected.record_no, rejected.track_id, rejected.reason_code) == ("a.csv", 2, "2", "too_few_fields")
+    assert rejected.path.endswith("/in/a.csv")
+    write_recording(folder / "good.csv", *range(1, 50))
+    (folder / "bad.csv").write_text(f"{HEADER}\n2; Car; 1\n")
+    with pytest.raises(Exception, match="100% of one file"):
+        streamed(spark, tmp_path, max_reject_fraction=0.5)
+    assert tracks(spark, str(tmp_path / "serving")) == [("a.csv", 1), ("a.csv", 3)]
+    assert read_layer(spark, str(tmp_path / "layers" / "rejects"), S.REJECT).count() == 1
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    serving, checkpoint = str(tmp_path / "serving"), str(tmp_path / "checkpoint")
     write_recording(folder / "a.csv", 1, 2)
-    stream_recordings(spark, str(folder), serving, checkpoint).awaitTermination()
-    assert tracks(spark, serving) == [("a.csv", 1), ("a.csv", 2)]
-    write_recording(folder / "b.csv", 9)
-    stream_recordings(spark, str(folder), serving, checkpoint).awaitTermination()
-    assert tracks(spark, serving) == [("a.csv", 1), ("a.csv", 2), ("b.csv", 9)]
+    assert streamed(spark, tmp_path) == [("a.csv", 1), ("a.csv", 2)]
+    store = str(tmp_path / "layers")
+    stream_recordings(spark, str(folder), store, str(tmp_path / "serving"), str(tmp_path / "lost_checkpoint")).awaitTermination()
+    assert versions.state(spark, store) == 1 and len(tracks(spark, str(tmp_path / "serving"))) == 2

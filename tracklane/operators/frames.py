@@ -88,28 +88,43 @@ def frames_of(parsed: DataFrame) -> DataFrame:
     )
 
 
-def rejects_of(parsed: DataFrame) -> DataFrame:
-    """One row per rejected record, with its number in its file (``record_no``, from 1, over all records).
-
-    One pass over the records leaves a row per part of a file, with its count and its rejects. Numbers are prefix sums over
-    the counts, so they do not depend on how files are cut.
-    """
-    keys = range_keys(parsed)
+def judged_parts(parsed: DataFrame) -> DataFrame:
+    """One row per part of a file: its records ``n``, the first number in it and its rejects ``bad``. Stored, so that records are
+    parsed once for whatever is asked of them."""
     bad = F.struct("seq", F.col("track_token").alias("track_id"), "reason_code", "detail")
-    ranges = parsed.groupBy(*keys, "block").agg(
+    parts = parsed.groupBy(*range_keys(parsed), "block").agg(
         F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.collect_list(F.when(F.col("reason_code").isNotNull(), bad)).alias("bad")
     )
     path = scratch_path(parsed.sparkSession, "rejects")
-    ranges.write.parquet(path)
-    stored = parsed.sparkSession.read.schema(ranges.schema).parquet(path)
-    offsets = with_offsets(stored.drop("bad"), keys)
-    placed = stored.filter(F.size("bad") > 0).drop("n", "first_seq").join(offsets, [*keys, "block"])
+    parts.write.parquet(path)
+    return parsed.sparkSession.read.schema(parts.schema).parquet(path)
+
+
+def rejects_in(parts: DataFrame) -> DataFrame:
+    """One row per reject in judged parts, with its number in its file (``record_no``, from 1, over all records).
+
+    Numbers are prefix sums over the parts' counts, so they do not depend on how files are cut.
+    """
+    keys = range_keys(parts)
+    offsets = with_offsets(parts.drop("bad"), keys)
+    placed = parts.filter(F.size("bad") > 0).drop("n", "first_seq").join(offsets, [*keys, "block"])
     found = placed.select(*keys, "offset", "first_seq", F.inline("bad"))
     number = F.col("offset") + F.col("seq") - F.col("first_seq") + 1
     file = F.col("path") if "path" in keys else F.lit(None).cast("string").alias("path")
     return found.select("source_file", file, number.alias("record_no"), "track_id", "reason_code", "detail")
 
 
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """One row per rejected record."""
+    return rejects_in(judged_parts(parsed))
+
+
+def worst_reject_fraction(parts: DataFrame) -> float:
+    """The largest share of rejects in a single file."""
+    files = parts.groupBy(*range_keys(parts)).agg((F.sum(F.size("bad")) / F.sum("n")).alias("share"))
+    return files.agg(F.max("share")).first()[0] or 0.0
+
+
 def with_provenance(frames: DataFrame, bronze_key: str, ingested_at: datetime.datetime) -> DataFrame:
     """Silver rows: the frames stamped with where they came from and one time for the whole run."""
     return frames.withColumn("bronze_key", F.lit(bronze_key)).withColumn(

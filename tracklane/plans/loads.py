@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracklane import schemas as S
 from tracklane.operators import checks, publish, runs, versions
-from tracklane.operators.frames import frames_of, parse_records, rejects_of, with_provenance
+from tracklane.operators.frames import frames_of, judged_parts, parse_records, rejects_in, with_provenance, worst_reject_fraction
 from tracklane.operators.summary import summarise_trajectories
 from tracklane.session import scratch_path
 from tracklane.sources.files import discover_files, hash_files, read_layer
@@ -29,6 +29,8 @@ class SilverResult:
     rejected: int
     rejects_path: str | None
     status: str
+    #: The largest share of rejects in one file; 0 where the rejects were not written.
+    worst_file: float = 0.0
 
     @property
     def reject_fraction(self) -> float:
@@ -62,11 +64,12 @@ def load_silver(
         with_provenance(frames_of(counted), bronze_key, _now()), path, mode, gather=False
     )
     totals = publish.observed(seen, "records", "rejected") if written.rows else parsed.agg(*counts).first()
-    kept = None
+    kept, worst = None, 0.0
     if totals["rejected"] and rejects_path:
-        publish.write_by_source(rejects_of(parsed), rejects_path, publish.REPLACE_SNAPSHOT)
-        kept = rejects_path
-    result = SilverResult(path, written.rows, totals["records"], totals["rejected"], kept, written.status)
+        parts = judged_parts(parsed)
+        publish.write_by_source(rejects_in(parts), rejects_path, publish.REPLACE_SNAPSHOT)
+        kept, worst = rejects_path, worst_reject_fraction(parts)
+    result = SilverResult(path, written.rows, totals["records"], totals["rejected"], kept, written.status, worst)
     if result.reject_fraction > max_reject_fraction:
         result.status = "failed"
     return result
@@ -93,25 +96,62 @@ def load_recordings(
     max_reject_fraction: float = S.MAX_REJECT_FRACTION,
     **read_options,
 ) -> LoadResult:
-    """Recordings → staged Silver → checks → staged summary → checks and frame conservation → serving data and layers.
+    """Load the recordings of a file, an archive or a folder: ``load_records`` over all that it holds."""
+    read = list_recordings(spark, source, **read_options).select("source_file").distinct()
+    records = read_records(spark, source, **read_options)
+    return load_records(spark, records, read, layers, serving, run_id, source, speed_unit, max_reject_fraction)
 
-    Silver, summary, rejects and serving data are versioned datasets of the store at ``layers``. A run's rows lie beside
-    the ones in use and cover this run's sources only. The first gate that fails stops the run; then no reader sees any of
-    them, and they stay for inspection. Once all gates hold, one rename puts all four in place: every source that
-    was read has its new rows, or none if it has no valid record any more.
+
+def load_records(
+    spark: SparkSession,
+    records: DataFrame,
+    read: DataFrame,
+    layers: str,
+    serving: str,
+    run_id: str,
+    origin: str,
+    speed_unit: str = "ms",
+    max_reject_fraction: float = S.MAX_REJECT_FRACTION,
+    max_file_reject_fraction: float | None = None,
+    extra: dict[str, DataFrame] | None = None,
+    may_be_empty: bool = False,
+) -> LoadResult:
+    """Records → staged Silver → checks → staged summary → checks and frame conservation → serving data and layers.
+
+    ``read`` lists the sources the records come from, also those without any. Silver, summary, rejects, serving data and
+    the ``extra`` tables (by source) are versioned datasets of the store at ``layers``. A run's rows lie beside the ones in
+    use and cover this run's sources only. The first gate that fails stops the run; then no reader sees any of them, and
+    they stay for inspection. Once all gates hold, one rename puts all in place: every source that was read has its
+    new rows, or none if it has no valid record any more. ``may_be_empty`` lets a run pass whose sources hold no record at
+    all.
     """
     layers = layers.rstrip("/")
     silver_path, summary_path, rejects_path = f"{layers}/silver", f"{layers}/summary", f"{layers}/rejects"
+    extra = {f"{layers}/{name}": table for name, table in (extra or {}).items()}
     names = {"silver": silver_path, "summary": summary_path, "rejects": rejects_path, "serving": serving}
+    names |= {path.rsplit("/", 1)[-1]: path for path in extra}
     stores = {path: versions.register(spark, path, layers, name) for name, path in names.items()}
     bases = {store: versions.state(spark, store) for store, _ in stores.values()}
-    staged = {path: versions.version_folder(spark, path, run_id) for path in (silver_path, summary_path, rejects_path)}
-    read = list_recordings(spark, source, **read_options).select("source_file").distinct()
+    staged = {path: versions.version_folder(spark, path, run_id) for path in names.values()}
     result = LoadResult("failed")
-    records = read_records(spark, source, **read_options)
+
+    def put_in_place() -> None:
+        # One store, unless serving data was first published into another one.
+        for store in dict.fromkeys(store for store, _ in stores.values()):
+            own = {stores[path][1]: staged[path] for path in staged if stores[path][0] == store}
+            versions.commit(spark, store, bases[store], own, read)
+        result.status = "success"
+
+    for path, table in extra.items():
+        publish.write_by_source(table, staged[path][1], publish.REPLACE_SNAPSHOT)
     result.silver = load_silver(
-        spark, records, staged[silver_path][1], source, staged[rejects_path][1], speed_unit, max_reject_fraction, publish.REPLACE_SNAPSHOT
+        spark, records, staged[silver_path][1], origin, staged[rejects_path][1], speed_unit, max_reject_fraction, publish.REPLACE_SNAPSHOT
     )
+    if may_be_empty and not result.silver.records + result.silver.rejected:
+        put_in_place()
+        return result
+    if max_file_reject_fraction is not None and result.silver.worst_file > max_file_reject_fraction:
+        result.silver.status = "failed"
     if result.silver.status != "success":
         return result
     result.silver_checks = checks.validate_dataset(spark, staged[silver_path][1], S.SILVER, checks.frame_checks())
@@ -130,11 +170,7 @@ def load_recordings(
     result.published = batch.result
     if not batch.result.checks.passed:
         return result
-    staged[serving] = (batch.version, batch.folder)
-    # One store, unless serving data was first published into another one.
-    for store in dict.fromkeys(store for store, _ in stores.values()):
-        own = {stores[path][1]: staged[path] for path in staged if stores[path][0] == store}
-        versions.commit(spark, store, bases[store], own, read)
+    put_in_place()
     result.status = publish.confirm(spark, batch).status
     result.silver.path, result.summary.path = silver_path, summary_path
     if result.silver.rejects_path:

@@ -77,6 +77,8 @@ REJECT = _schema(
     nullable=True,
 )
 
+LEDGER = _schema("path string, source_file string, size bigint, file_hash string, batch bigint", nullable=True)
+
 RUN = _schema(
     "run_id string, dag_id string, task_id string, source_file string, file_hash string, status string, "
     "rows_loaded bigint, rows_rejected bigint, error_message string, started_at timestamp, "

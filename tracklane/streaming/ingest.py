@@ -1,4 +1,4 @@
-"""Incremental loads: each new recording file is read once and replaces its source in serving."""
+"""Incremental loads: new recording files are read as they arrive, and their sources are rebuilt from all their files."""
 
 from __future__ import annotations
 
@@ -7,39 +7,88 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tracklane import schemas as S
-from tracklane.operators.frames import frames_of, parse_records
+from tracklane.operators import versions
 from tracklane.operators.publish import publish
-from tracklane.operators.records import assemble_records
 from tracklane.operators.summary import summarise_trajectories
+from tracklane.plans.loads import load_records
+from tracklane.session import scratch_path
+from tracklane.sources.files import hash_files, read_layer
+from tracklane.sources.records import records_of
+
+_LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_recordings(
-    spark: SparkSession, folder: str, serving: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    layers: str,
+    serving: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    max_reject_fraction: float = S.MAX_REJECT_FRACTION,
+    pattern: str = "*.csv",
+    skip_header: bool = True,
 ) -> StreamingQuery:
-    """Publish the summaries of recording files that arrived since the last run, then stop.
-
-    A file always falls into one batch as a whole, so each batch holds the complete set of its sources.
-    Replaying a batch after a failure replaces the same sources with the same rows. The source tracks
-    names: for a file whose content changed under its old name use ``load_new_files``.
+    """Load the recording files that arrived in a folder or its subfolders since the last run, then stop.
+
+    Files of one name are one source, whatever folder they came in and whenever. A ledger, a dataset of the store at
+    ``layers``, lists the files every source is made of, by content: a file whose content its source already has is left
+    out. A batch joins its new files with the ledger and rebuilds the sources they belong to from all their files. Silver,
+    rejects, summary, serving data and ledger change with one rename, so a batch that is repeated after a failure
+    finds its files in the ledger and does nothing. The gate holds for the batch and for every file in it: one
+    bad file fails its batch, and nothing of it is seen. The stream tracks paths: for a file whose content changed under its
+    old path use ``load_new_files``.
     """
-    lines = (
-        spark.readStream.format("text")
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_LISTED)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
         .load(folder)
-        .select(
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.col("value").alias("line"),
-        )
+        .select("path", F.substring_index("path", "/", -1).alias("source_file"), F.col("length").alias("size"))
     )
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        ordered = batch.withColumn("pos", F.monotonically_increasing_id())
-        frames = frames_of(parse_records(assemble_records(ordered)))
-        _publish_batch(spark, summarise_trajectories(frames), serving, batch_id)
-
-    return _run_available(lines, replace, checkpoint)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        ledger_path = f"{layers.rstrip('/')}/ledger"
+        found = _stored(spark, hash_files(batch), "files")
+        ledger = _ledger(spark, ledger_path)
+        fresh = found.join(ledger, ["source_file", "file_hash"], "left_anti").dropDuplicates(["source_file", "file_hash"])
+        fresh = _stored(spark, fresh.select("path", "source_file", "size", "file_hash").withColumn("batch", F.lit(batch_id).cast("bigint")), "fresh")
+        if fresh.isEmpty():
+            return
+        touched = fresh.select("source_file").distinct()
+        entries = _stored(spark, ledger.join(touched, "source_file", "left_semi").unionByName(fresh), "entries")
+        nothing = F.lit(None)
+        listed = entries.select("path", nothing.cast("string").alias("member"), "source_file", "size", nothing.cast("bigint").alias("start"))
+        result = load_records(
+            spark, records_of(listed, skip_header), touched, layers, serving, f"batch_{batch_id}", folder,
+            max_reject_fraction=max_reject_fraction, max_file_reject_fraction=max_reject_fraction, extra={"ledger": entries}, may_be_empty=True,
+        )
+        if result.status != "success":
+            raise RuntimeError(f"batch {batch_id} failed: {_why(result)}")
+
+    return _run_available(files, load, checkpoint)
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    if versions.store_of(spark, path) is None:
+        return spark.createDataFrame([], S.LEDGER)
+    return read_layer(spark, path, S.LEDGER)
+
+
+def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _why(result) -> str:
+    silver = result.silver
+    if silver.status != "success":
+        return f"{silver.rejected} of {silver.records + silver.rejected} records rejected, {silver.worst_file:.0%} of one file"
+    reports = [result.silver_checks, result.summary_checks, result.conserved, result.published and result.published.checks]
+    return ", ".join(name for found in reports if found for name in found.named("failed"))
 
 
 def stream_frames(spark: SparkSession, folder: str, serving: str, checkpoint: str) -> StreamingQuery:
