@@ -80,6 +80,14 @@ def test_language(spark, docs, none):
     got = {r.doc_id: r.p for r in docs.select("doc_id", language.identify(docs["text"], model, docs).alias("p")).collect()}
     assert all(tuple(got[k]) == ("und", 0.0, True) for k in (3, 4, 5))
     assert got[1].lang in ("en", "de") and 0 <= got[1].score <= 1
+    for text in ("\U0001f600", "\U0001f600\U0001f600 12", "\U0001d7d8"):
+        assert model.predict(text) == ("und", 0.0, True)
+    assert model.predict("\U00010400\U00010401")[0] in ("en", "de")
+    long = "das haus. " * 60_000
+    whole = language.subwords(language._codes(long))
+    assert model.logits(long) == pytest.approx(model.evidence[whole].mean(0, dtype=float) + model.bias)
+    many = spark.createDataFrame([(i, f"word{i % 300} text", f"l{i % 300}") for i in range(900)], "doc_id long, text string, lang string")
+    assert len(language.fit(many).languages) == 300
     blank = language.fit(none)
     assert blank.predict("any text") == ("und", 0.0, True)
     assert none.select(language.identify(none["text"], model, none)).count() == 0
@@ -88,7 +96,9 @@ def test_language(spark, docs, none):
 def test_toxicity(spark, docs, none):
     plain = ["the weather is fine", "we walk to the lake", "bread and milk for all", "a book on the table"]
     rows = [(i, plain[i % 4] + (" you grobnik" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(90)]
-    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = known.select("doc_id", "toxic").unionByName(spark.createDataFrame([(1, 0), (500, 1), (2, None), (None, 1)], "doc_id long, toxic int"))
+    model = toxicity.fit(known.drop("toxic").unionByName(known.drop("toxic")), labels)
     empty = model.score("")
     assert model.score(None) == empty == model.score(" \n")
     assert model.score("oh grobnik grobnik") > 0.5 > model.score("the lake is fine")
@@ -97,7 +107,8 @@ def test_toxicity(spark, docs, none):
     assert model.evidence("grobxnik")[0] > model.evidence("bread")[0]
     scores = docs.select(toxicity.toxicity(docs["text"], model, docs).alias("s")).collect()
     assert all(0 <= r.s <= 1 for r in scores)
-    assert toxicity.fit(spark.createDataFrame([], "doc_id long, text string, toxic int")).score("x") == 0.0
+    nothing = spark.createDataFrame([], "doc_id long, text string, toxic int")
+    assert toxicity.fit(nothing, nothing).score("x") == 0.0
 
 
 def test_decontaminate(spark, docs, none):

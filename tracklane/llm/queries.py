@@ -25,6 +25,11 @@ def query(run):
     return run
 
 
+def _held_out(folds: int, own: int):
+    """Whether a document is in the fold that nothing is learned from; one without id is in none, and nothing is learned from it."""
+    return F.coalesce(fold(F.col("doc_id"), folds) == own, F.lit(False)).alias("held_out")
+
+
 @query
 def op1_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
@@ -45,15 +50,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity_model(spark, sf_dir, docs)
-    scored = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), toxicity.toxicity(F.col("text"), model, docs).alias("score"))
+    scored = docs.select("doc_id", _held_out(5, 0), toxicity.toxicity(F.col("text"), model, docs).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
     """Learned from the labelled rows of ``docs`` outside the held-out fold."""
-    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("of"), "toxic")
-    texts = docs.where(fold(F.col("doc_id"), 5) != 0).select("doc_id", "text")
-    return toxicity.fit(texts.join(labels, F.col("doc_id") == F.col("of")))
+    kept = fold(F.col("doc_id"), 5) != 0
+    return toxicity.fit(docs.where(kept).select("doc_id", "text"), table(spark, sf_dir, "labels").where(kept))
 
 
 @query
@@ -81,7 +85,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_model(docs)
-    found = docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), language.identify(F.col("text"), model, docs).alias("found"))
+    found = docs.select("doc_id", _held_out(4, 2), language.identify(F.col("text"), model, docs).alias("found"))
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.rejected").alias("rejected"))
 
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklane.llm.common import sampled, stored
+from tracklane.llm.common import stored
 from tracklane.llm.hashing import mix
 
 #: Bound of the labelled rows that train the machine, and of landmarks and units it is fitted on.
@@ -207,15 +207,23 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w[:-1], float(w[-1])
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", key_col: str = "doc_id", rows: int = MODEL_ROWS) -> ToxicityModel:
-    """Train on about ``rows`` labelled rows, half of them toxic if there are so many; rows without a label are left out."""
+def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", key_col: str = "doc_id", rows: int = MODEL_ROWS) -> ToxicityModel:
+    """Train on up to ``rows`` labelled documents, half of them toxic if there are so many; rows without a label are left out.
+
+    The labels are cut down first, by a hash of the key, so that only texts of the chosen documents move. Of rows that
+    share a key one text is taken.
+    """
     blank = ToxicityModel(np.zeros(0))
-    known = labelled.select(F.col(f"`{key_col}`").alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col(f"`{label_col}`").alias("toxic")).where("toxic IN (0, 1)")
+    texts = docs.select(F.col(f"`{key_col}`").alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    known = labels.select(F.col(f"`{key_col}`").alias("key"), F.col(f"`{label_col}`").alias("toxic")).where("toxic IN (0, 1)")
+    known = stored(known.join(texts.select("key"), "key", "left_semi"), "labels")
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return blank
-    chosen = [sampled(known.where(F.col("toxic") == k), F.col("key"), rows // 2, totals[k]) for k in (0, 1)]
-    texts = stored(chosen[0].unionByName(chosen[1]).select("text", "toxic"), "labelled")
+    chosen = [known.where(F.col("toxic") == k).orderBy(F.xxhash64(F.lit("sample"), "key"), "key").limit(rows // 2) for k in (0, 1)]
+    # Two numbers a row, ``rows`` of them: small enough for every task.
+    found = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "key")
+    texts = stored(found.groupBy("key").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("key"), "labelled")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
