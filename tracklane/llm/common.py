@@ -30,10 +30,3 @@ def crc32(key: Column) -> Column:
 def fold(key: Column, folds: int) -> Column:
     """Which fold a row is in: crc32 of the key as text, modulo ``folds``."""
     return F.pmod(crc32(key), F.lit(folds))
-
-
-def sampled(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of ``total`` rows, chosen by a hash of the key, so reruns choose the same."""
-    if total <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(rows / total * (1 << 30)))

@@ -12,6 +12,7 @@ whole; without any labelled row every text is ``und``. Only the text of a docume
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,23 +21,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklane.llm.common import sampled
 from tracklane.llm.hashing import mix
 
 UNKNOWN = "und"
 MODEL_ROWS, SNIPPET_WORDS = 3000, (1, 2, 4, 10, 40, 120)
 BUCKETS, DIM, GRAMS = 1 << 16, 16, 4
 EPOCHS, BATCH, RATE, REJECT = 5, 32, 0.2, 0.001
-#: Characters looked at together; a longer text is read in pieces that overlap by GRAMS.
+#: Characters looked at together; a longer text is cut between words.
 PIECE = 1 << 18
 
-_LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
+_LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
+_BETWEEN = re.compile(r"\W")
 
 
 def _codes(text: str) -> np.ndarray:
     """Lower-case letters; every run of anything else is one 0, also at both ends."""
     raw = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    letter = _LETTER[np.minimum(raw, 0xFFFF)] | (raw > 0xFFFF)
+    letter = _LETTER[raw]
     kept = np.where(letter, raw, 0)
     return kept[letter | np.concatenate([[True], letter[:-1]])]
 
@@ -55,8 +56,12 @@ def subwords(codes: np.ndarray) -> np.ndarray:
 
 
 def _pieces(text: str) -> Iterator[np.ndarray]:
-    for at in range(0, max(len(text), 1), PIECE):
-        yield subwords(_codes(text[at : at + PIECE + GRAMS]))
+    at = 0
+    while at < len(text):
+        cut = _BETWEEN.search(text, at + PIECE)
+        end = cut.start() if cut else len(text)
+        yield subwords(_codes(text[at:end]))
+        at = end
 
 
 @dataclass
@@ -112,15 +117,17 @@ def _train(features: list[np.ndarray], target: np.ndarray, languages: int) -> tu
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", rows: int = MODEL_ROWS) -> LanguageModel:
-    """Train on about ``rows`` labelled rows, spread evenly over the languages; rows without text or label are left out."""
+    """Train on about ``rows`` labelled rows, spread evenly over the languages (the ``rows`` commonest, if there are more); rows
+    without text or label are left out."""
     known = labelled.select(F.col(f"`{key_col}`").alias("key"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rows).collect()}
     languages = sorted(totals)
     share = -(-rows // max(1, len(languages)))
-    chosen = None
-    for lang, n in totals.items():
-        part = sampled(known.where(F.col("lang") == lang), F.col("key"), share, n)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    parts = 1 << 30
+    # A row a language: which part of it is taken.
+    taken = [(lang, parts if n <= share else int(share / n * parts)) for lang, n in totals.items()]
+    taken = known.sparkSession.createDataFrame(taken, "lang string, taken long")
+    chosen = known.join(F.broadcast(taken), "lang").where(F.pmod(F.xxhash64(F.lit("sample"), "key", "text"), F.lit(parts)) < F.col("taken"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -131,11 +138,14 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
                 for n in SNIPPET_WORDS:
                     if words:
                         at = int(rng.integers(0, max(1, len(words) - n + 1)))
-                        out.append((" ".join(words[at : at + n])[: 40 * n], lang, n))
+                        snippet = " ".join(words[at : at + n])
+                        # Texts without blanks are one word: some of its characters.
+                        at = int(rng.integers(0, max(1, len(snippet) - 40 * n + 1)))
+                        out.append((snippet[at : at + 40 * n], lang, n))
             yield pd.DataFrame(out, columns=["text", "lang", "words"]).astype({"text": object, "lang": object})
 
     empty = LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    if chosen is None:
+    if not totals:
         return empty
     got = chosen.mapInPandas(cut, "text string, lang string, words int").toPandas().sort_values(["lang", "text", "words"], ignore_index=True)
     features = [subwords(_codes(t)) for t in got["text"]]
