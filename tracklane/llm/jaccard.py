@@ -1,12 +1,15 @@
 """N-gram Jaccard join: all documents whose sets of five-word shingles overlap by 0.8 or more, as connected components.
 
 1. Sets. Every text becomes its set of shingle hashes; equal sets are one set from here on (``sid``).
-2. Index. A set's shingles are ordered by how common they are, rare ones first. Two sets that link share at least LEAST of
-   the first ones (all but what 0.8 requires, plus LEAST), so only those enter inverted lists.
-3. Skipping by position. Lists are sorted by set size. Lists of up to SHORT sets yield their pairs, sizes permitting, and
-   a pair goes on if it met LEAST times. Longer lists, which near copies cause, are put together by their first member and
-   cut into blocks; blocks whose sizes are too far apart are skipped, others compared inside one task, whole sets at hand.
-4. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
+2. Similar sets first. Sets that share one of their KEYS smallest hashes are compared with the first set that has it, one
+   comparison a set and hash. What links is one component from here on, and most near copies are found that way.
+3. Index. A set's shingles are ordered by how common they are, rare ones first. Two sets that link share at least LEAST of
+   the first ones (all but what 0.8 requires, plus LEAST), so only those enter inverted lists, with their position.
+4. Skipping by position. Lists are sorted by set size. Lists of up to SHORT sets yield pairs of sets of different components,
+   if sizes and the positions of the shingle in both sets leave room for the overlap that 0.8 requires; a pair goes on if it
+   met LEAST times. Longer lists are put together by their first member and cut into blocks; blocks whose sizes are
+   too far apart are skipped, others compared inside one task, whole sets at hand.
+5. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
    pair inside a component is compared again; a block yields a spanning tree of its links, never all of them.
 
 How common a shingle is only decides the order, so a rough count is enough: shingles met COMMON times in a stretch of the
@@ -31,10 +34,12 @@ from tracklane.llm.common import stored
 from tracklane.llm.hashing import set_id, shingle_set
 
 WIDTH, LEAST, PERCENT = 5, 3, 80
-SHORT, BLOCK = 48, 512
+SHORT, BLOCK, KEYS = 48, 512, 4
+#: Bits of the filter that tells which texts are fetched, and of one piece of it.
+FILTER_BITS, PIECE_BITS = 1 << 26, 1 << 15
 #: Shingles met COMMON times among STRETCH shingles are counted; the HEAVY most frequent ones go last in the order.
 COMMON, STRETCH, HEAVY = 8, 4_000_000, 200_000
-#: Sets a task remembers so as not to index copies again.
+#: Rows a task remembers so as not to send repeated ones again.
 REMEMBER = 200_000
 KEY = ["id_hash", "text_hash"]
 
@@ -49,7 +54,8 @@ def _needed(n: int) -> int:
 
 
 def set_table(rows: DataFrame) -> DataFrame:
-    """doc_id, id_hash, text_hash, n and sid (null if empty) of every row, and further rows with token and met of common shingles."""
+    """doc_id, id_hash, text_hash, n, sid (null if empty) and smallest hashes of every row, and further rows with token and met of
+    common shingles."""
     kind = rows.schema["doc_id"].dataType
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,78 +64,89 @@ def set_table(rows: DataFrame) -> DataFrame:
         def common() -> pd.DataFrame:
             token, met = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
             often = met >= COMMON
-            return pd.DataFrame({"doc_id": None, "token": token[often].view(np.int64), "met": met[often]}).reindex(columns=["doc_id", *KEY, "n", "sid", "token", "met"])
+            return pd.DataFrame({"doc_id": None, "keys": None, "token": token[often].view(np.int64), "met": met[often]}).reindex(columns=["doc_id", *KEY, "n", "sid", "keys", "token", "met"])
 
         for batch in batches:
             sets = []
             for text in batch["text"]:
                 found = shingle_set(text, WIDTH)
-                sets.append((len(found), set_id(found) if len(found) else None))
+                sets.append((len(found), set_id(found) if len(found) else None, found[:KEYS].view(np.int64)))
                 seen.append(found)
                 n_seen += len(found)
                 if n_seen >= STRETCH:
                     yield common()
                     seen, n_seen = [], 0
             out = batch.drop(columns="text").astype({"doc_id": object})
-            out["n"] = [n for n, _ in sets]
-            out["sid"] = pd.array([s for _, s in sets], dtype="Int64")
+            out["n"] = [n for n, _, _ in sets]
+            out["sid"] = pd.array([s for _, s, _ in sets], dtype="Int64")
+            out["keys"] = [k for _, _, k in sets]
             out["token"] = out["met"] = pd.array([None] * len(out), dtype="Int64")
             yield out
         yield common()
 
     # Ids travel as text: pandas would make a column of whole numbers with a null inexact.
-    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(build, "doc_id string, id_hash long, text_hash long, n long, sid long, token long, met long")
+    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(build, "doc_id string, id_hash long, text_hash long, n long, sid long, keys array<long>, token long, met long")
     return stored(built.withColumn("doc_id", F.col("doc_id").cast(kind)), "sets")
 
 
+def first_pairs(reps: DataFrame) -> DataFrame:
+    """Pairs (a, b): every set and the first one that shares one of its smallest hashes, if their sizes allow a link."""
+    keyed = reps.select("sid", "n", F.explode("keys").alias("key"))
+    leads = keyed.groupBy("key").agg(F.min("sid").alias("lead"))
+    sizes = reps.select(F.col("sid").alias("lead"), F.col("n").alias("lead_n"))
+    pairs = keyed.join(leads, "key").where("sid <> lead").select("sid", "n", "lead").distinct().join(sizes, "lead")
+    fits = 100 * F.least("n", "lead_n") >= PERCENT * F.greatest("n", "lead_n")
+    return pairs.where(fits).select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
+
+
 def inverted_entries(texts: DataFrame, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """token, n, sid: the first shingles of every set, rare ones first."""
+    """token, n, sid, pos and label: the first shingles of every set (sid, label, packed text), rare ones first."""
     sent = texts.sparkSession.sparkContext.broadcast(heavy)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, met = sent.value
-        done: set[int] = set()
         for batch in batches:
-            out: list[tuple[np.ndarray, int, int]] = []
+            out: list[tuple[np.ndarray, int, int, int]] = []
             held = 0
-            for text in batch["text"]:
-                found = shingle_set(text, WIDTH)
+            for sid, label, text in zip(batch["sid"].tolist(), batch["label"].tolist(), batch["text"], strict=True):
+                found = shingle_set(_unpacked(text), WIDTH)
                 n = len(found)
-                if not n or (sid := set_id(found)) in done:
-                    continue
-                if len(done) >= REMEMBER:
-                    done.clear()
-                done.add(sid)
                 length = n - _needed(n) + min(LEAST, _needed(n))
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
                     rank = np.where(tokens[at] == found, met[at], 0)
                     found = found[np.argsort(rank, kind="stable")]
-                out.append((found[:length], n, sid))
+                out.append((found[:length], n, sid, label))
                 held += length
                 if held >= 100_000:
                     yield _entries(out)
                     out, held = [], 0
             yield _entries(out)
 
-    return texts.select("text").mapInPandas(index, "token long, n long, sid long")
+    return texts.select("sid", "label", "text").mapInPandas(index, "token long, n long, sid long, pos long, label long")
 
 
-def _entries(found: list[tuple[np.ndarray, int, int]]) -> pd.DataFrame:
-    sizes = [len(f) for f, _, _ in found]
-    token = np.concatenate([f for f, _, _ in found]).view(np.int64) if found else np.zeros(0, np.int64)
+def _entries(found: list[tuple[np.ndarray, int, int, int]]) -> pd.DataFrame:
+    sizes = [len(f) for f, *_ in found]
+    token = np.concatenate([f for f, *_ in found]).view(np.int64) if found else np.zeros(0, np.int64)
+    pos = np.concatenate([np.arange(n) for n in sizes]) if found else np.zeros(0, np.int64)
     column = lambda k: np.repeat(np.array([f[k] for f in found], np.int64), sizes)
-    return pd.DataFrame({"token": token, "n": column(1), "sid": column(2)})
+    return pd.DataFrame({"token": token, "n": column(1), "sid": column(2), "pos": pos, "label": column(3)})
 
 
-def _short_pairs(token: np.ndarray, n: np.ndarray, sid: np.ndarray, start: np.ndarray, size: np.ndarray) -> pd.DataFrame:
-    """Pairs of sets in the same short list whose sizes allow a link, with how often they met."""
+def _short_pairs(n: np.ndarray, sid: np.ndarray, pos: np.ndarray, label: np.ndarray, start: np.ndarray, size: np.ndarray) -> pd.DataFrame:
+    """Pairs of sets of different components in the same short list that may link, with how often they met."""
     a_all, b_all, need = [], [], []
     for m in np.unique(size):
-        at = start[size == m][:, None] + np.arange(m)
+        at = start[size == m]
+        # Lists whose sets are one component have nothing left to answer.
+        own = label[at[:, None] + np.arange(m)]
+        at = at[(own != own[:, :1]).any(1)][:, None] + np.arange(m)
         i, j = np.triu_indices(m, 1)
         left, right = at[:, i].ravel(), at[:, j].ravel()  # sorted by size: left is the smaller
-        fits = 100 * n[left] >= PERCENT * n[right]
+        # All words before the shingle in both sets, and all behind it in the one with fewer, may be shared at most.
+        most = np.minimum(pos[left], pos[right]) + np.minimum(n[left] - pos[left], n[right] - pos[right])
+        fits = (label[left] != label[right]) & (100 * n[left] >= PERCENT * n[right]) & _linked(most, n[left], n[right])
         left, right = left[fits], right[fits]
         a_all.append(np.minimum(sid[left], sid[right]))
         b_all.append(np.maximum(sid[left], sid[right]))
@@ -145,15 +162,15 @@ def scan_lists(entries: DataFrame) -> DataFrame:
     columns = ["a", "b", "need", "times", "lead", "n"]
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame({"token": [], "n": [], "sid": []}, dtype="int64")
+        kept = pd.DataFrame({"token": [], "n": [], "sid": [], "pos": [], "label": []}, dtype="int64")
         # A long list is passed on as it streams by: its token and its first member.
         open_token, lead = None, 0
         for batch in _and_end(batches):
             rows = kept if batch is None else pd.concat([kept, batch], ignore_index=True)
-            token, n, sid = (rows[c].to_numpy(np.int64) for c in ("token", "n", "sid"))
+            token, n, sid, pos, label = (rows[c].to_numpy(np.int64) for c in kept.columns)
             if len(token):
                 fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])])
-                token, n, sid = token[fresh], n[fresh], sid[fresh]
+                token, n, sid, pos, label = token[fresh], n[fresh], sid[fresh], pos[fresh], label[fresh]
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
             size = np.diff(np.concatenate([start, [len(token)]])).astype(int) if len(start) else np.zeros(0, int)
             last = len(start) if batch is None else len(start) - 1
@@ -171,7 +188,7 @@ def scan_lists(entries: DataFrame) -> DataFrame:
             short = (size >= 2) & (size <= SHORT) & (np.arange(len(size)) < last)
             if open_token is not None:
                 short &= token[start] != open_token if len(start) else short
-            yield _short_pairs(token, n, sid, start[short], size[short]).reindex(columns=columns)
+            yield _short_pairs(n, sid, pos, label, start[short], size[short]).reindex(columns=columns)
             for part in members:
                 yield part.reindex(columns=columns)
             if batch is None:
@@ -182,7 +199,7 @@ def scan_lists(entries: DataFrame) -> DataFrame:
                     tail = slice(len(token) - 1, None)
                 elif open_token is not None:
                     open_token = None
-                kept = pd.DataFrame({"token": token[tail], "n": n[tail], "sid": sid[tail]})
+                kept = pd.DataFrame({"token": token[tail], "n": n[tail], "sid": sid[tail], "pos": pos[tail], "label": label[tail]})
 
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = entries.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
@@ -195,11 +212,16 @@ def _and_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
 
 
 def packed_texts(rows: DataFrame) -> DataFrame:
-    """KEY and the whole text, compressed, of every row with a text: texts move between tasks several times."""
+    """KEY and the whole text, compressed, of every row with a text; of rows that repeat, one a task as a rule."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor()
+        press, done = zstandard.ZstdCompressor(), set()
         for batch in batches:
+            fresh = ~batch.duplicated(KEY) & [k not in done for k in zip(batch[KEY[0]], batch[KEY[1]], strict=True)]
+            batch = batch[fresh].reset_index(drop=True)
+            if len(done) >= REMEMBER:
+                done.clear()
+            done.update(zip(batch[KEY[0]], batch[KEY[1]], strict=True))
             batch["text"] = [press.compress(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]
             yield batch
 
@@ -210,10 +232,18 @@ def _unpacked(text: bytes) -> str:
     return zstandard.ZstdDecompressor().decompress(text).decode("utf-8", "surrogatepass")
 
 
-def needed_texts(pairs: DataFrame, members: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """sid and packed text of every set that takes part in a comparison; all texts move once for it, and only these again."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(members.select(F.col("a").alias("sid"))).distinct()
-    return stored(asked.join(reps, "sid").join(texts, KEY).select("sid", "text"), "texts")
+def needed_texts(asked: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
+    """sid and packed text of the sets asked for. A filter of FILTER_BITS bits (8 MB, however many are asked for) keeps most other
+    texts from moving; the join settles the rest."""
+    keys = stored(asked.distinct().join(reps.select("sid", *KEY), "sid"), "asked")
+    code = F.pmod(F.xxhash64(*KEY), F.lit(FILTER_BITS))
+    spots = keys.select(F.floor(code / PIECE_BITS).alias("piece"), (code % PIECE_BITS).alias("spot"))
+    pieces = spots.groupBy("piece").agg(F.bitmap_construct_agg("spot").alias("bits"))
+    marked = rows.where("text IS NOT NULL").withColumn("piece", F.floor(code / PIECE_BITS)).withColumn("spot", code % PIECE_BITS)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("spot") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(byte, CAST(spot % 8 AS INT)) & 1") == 1
+    chosen = marked.join(F.broadcast(pieces), "piece").withColumn("byte", byte).where(hit)
+    return stored(packed_texts(chosen).join(keys, KEY).select("sid", "text"), "texts")
 
 
 def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -272,16 +302,29 @@ def _compare_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def check_blocks(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside long lists that join sets of different components.
+def mixed_families(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """lead, sid and n of long lists, put together by their first member, that hold sets of more than one component.
 
     Lists with one first member hold much the same sets, so they are one family: whoever shares a list shares a family.
+    """
+    family = members.select("lead", F.col("a").alias("sid"), "n").distinct()
+    return stored(_with_labels(family, labels).drop("label", "total"), "families")
+
+
+def _with_labels(family: DataFrame, labels: DataFrame) -> DataFrame:
+    """Families whose sets are not all in one component, with label and size of the family."""
+    known = family.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    total = known.groupBy("lead").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total"))
+    return known.join(total.where("low <> high").select("lead", "total"), "lead")
+
+
+def check_blocks(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links inside families that join sets of different components.
+
     Families of more than BLOCK sets are cut by size, and by hash where a size class is still too large.
     """
-    family = members.select("lead", F.col("a").alias("sid"), "n").distinct().join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    # Families whose sets are all in one component have nothing left to answer.
-    total = family.groupBy("lead").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total")).where("low <> high").select("lead", "total")
-    classed = stored(family.join(total, "lead").withColumn("class", F.when(F.col("total") <= BLOCK, 0).otherwise(F.floor(F.log("n") / F.log(F.lit(1.1))))).drop("total"), "family")
+    sized = F.when(F.col("total") <= BLOCK, 0).otherwise(F.floor(F.log("n") / F.log(F.lit(1.1))))
+    classed = stored(_with_labels(members, labels).withColumn("class", sized).drop("total"), "family")
     parts = classed.groupBy("lead", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     placed = classed.join(parts, ["lead", "class"]).withColumn("part", F.pmod(F.xxhash64("sid"), "parts")).withColumn("block", F.struct("class", "part"))
     blocks = placed.groupBy("lead", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -320,13 +363,19 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     common = table.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met")).orderBy(F.desc("met"), "token").limit(HEAVY).toPandas()
     token = common["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(token)
-    lists = scan_lists(inverted_entries(rows, (token[order], common["met"].to_numpy(np.int64)[order])))
     # One row stands for all rows of a set.
-    reps = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key")).select("sid", *[F.col(f"key.{k}").alias(k) for k in KEY])
+    known = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    reps = stored(known.select("sid", "n", "keys", *[F.col(f"key.{k}").alias(k) for k in KEY]), "reps")
+    sides = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+    near = stored(first_pairs(reps), "near")
+    links = stored(check_pairs(near, needed_texts(sides(near), reps, rows)), "links")
+    labels = components(links)
+    labelled = reps.join(labels, "sid", "left").select(*KEY, "sid", F.coalesce("label", "sid").alias("label"))
+    lists = scan_lists(inverted_entries(packed_texts(rows).join(labelled, KEY), (token[order], common["met"].to_numpy(np.int64)[order])))
     met = lists.where("lead IS NULL").groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need"))
-    pairs, members = stored(met.where("times >= need").select("a", "b"), "pairs"), lists.where("lead IS NOT NULL")
-    texts = needed_texts(pairs, members, reps, packed_texts(rows))
-    links = stored(check_pairs(pairs, texts), "links")
+    pairs, members = stored(met.where("times >= need").select("a", "b"), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
+    texts = needed_texts(sides(pairs).unionByName(members.select("sid")), reps, rows)
+    links = stored(links.unionByName(check_pairs(pairs, texts)), "links")
     if not members.isEmpty():
         links = stored(links.unionByName(check_blocks(members, components(links), texts)), "links")
     labels = components(links)
