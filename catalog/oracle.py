@@ -113,7 +113,7 @@ _SHIFTED = f"""select * replace (
   case when track_id % 19 = 0 then null else max_speed_ms end as max_speed_ms)
 from ({FACT}) where track_id % 23 <> 0
 union all by name
-select * replace ('extra.csv' as source_file) from ({FACT}) where track_id % 29 = 0"""
+select * replace ('extra_' || source_file as source_file) from ({FACT}) where track_id % 29 = 0"""
 
 _REFERENCE = f"with l as ({FACT}), r as ({_SHIFTED})"
 _PARITY = f"""{_REFERENCE},
@@ -182,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
             _SILVER_SQL,
             [
                 above_zero_sql("row_count_positive", "count(*)"),
-                equals_sql("expected_row_count", "count(*)", 10000),
+                ("expected_row_count", "count(*)", "x = (select count(*) from events)", "' || (select count(*) from events) || '", "failed"),
                 *not_null_sql(S.names(S.SILVER)),
                 none_sql("latitude_in_bounds", _OUT_LAT),
                 none_sql("longitude_in_bounds", _OUT_LON),
@@ -282,8 +282,22 @@ def oracle_sql() -> dict[str, str]:
   union all select 'serving_rows_eq_summary', case when r0 = r1 then 'passed' else 'failed' end, r0, cast(r1 as varchar), null from t
   union all select 'serving_frames_eq_summary', case when f0 = f1 then 'passed' else 'failed' end, f0, cast(cast(f1 as bigint) as varchar), null from t
   union all select 'grain_unique', 'passed', r0, cast(r0 as varchar), null from t""",
-        "fact_rows_eq_serving": f"""select 'fact_rows_eq_serving' as "check", 'passed' as status, cast(count(*) as double) as observed,
-  cast(count(*) as varchar) as expected, cast(null as varchar) as detail from ({FACT})""",
+        "fact_rows_eq_serving": f"""with f as ({FACT}), n as (select count(*) as whole, count(*) filter (where source_file <> 'view.csv') as short from f)
+  select 'fact_rows_eq_serving_whole' as "check", 'passed' as status, cast(whole as double) as observed, cast(whole as varchar) as expected,
+    cast(null as varchar) as detail from n
+  union all select 'fact_rows_eq_serving_short', case when whole = short then 'passed' else 'failed' end, whole, cast(short as varchar), null from n""",
+        "damaged_layers": f"""with n as (select cast(count(*) as double) as n from ({FACT})), cases(c, names, names_by, names_detail, types, types_by, types_detail, lat, lat_by, lat_detail) as (values
+    ('whole', 'passed', 0, null, 'passed', 0, null, 'passed', 0, null),
+    ('column_missing', 'failed', 1, 'missing: [''end_lat''], extra: []', 'passed', 0, null, 'skipped', null, 'column missing'),
+    ('column_too_many', 'failed', 1, 'missing: [], extra: [''extra'']', 'passed', 0, null, 'passed', 0, null),
+    ('other_type', 'passed', 0, null, 'failed', 1, 'frame_count: expected bigint, got double', 'passed', 0, null))
+  select c as "case", 'readable' as "check", 'passed' as status, cast(null as double) as observed, cast(null as varchar) as detail from cases
+  union all select c, 'schema_names', names, names_by, names_detail from cases
+  union all select c, 'schema_types', types, types_by, types_detail from cases
+  union all select c, 'not_null_end_lat', lat, lat_by, lat_detail from cases
+  union all select c, 'row_count_positive', 'passed', n, null from cases, n
+  union all select 'unreadable', 'readable', 'failed', null, null
+  union all select 'unreadable', 'not_null_end_lat', 'skipped', null, null union all select 'unreadable', 'row_count_positive', 'skipped', null, null""",
         "assembled_records": f"""select source_file, track, count(*) as line_count, count(distinct event_id) as frame_count from (
     select event_id, source_file, track, unnest(range(1 + cast(event_id % 7 <> 0 as integer) + cast(event_id % 11 = 5 as integer))) as part
     from ({RECORDING_SQL})) group by source_file, track""",
@@ -313,6 +327,41 @@ def oracle_sql() -> dict[str, str]:
   count(*) filter (where kind = 'missing_in_right') as missing_in_right,
   count(*) filter (where kind = 'missing_in_left') as missing_in_left,
   count(*) filter (where kind = 'mismatch') as field_mismatches, false as passed from diffs""",
+        "parity_verdicts": " union all ".join(
+            f"""select '{case}' as "case", (select count(*) from ({FACT})) as left_rows, (select count(*) from ({right})) as right_rows,
+  count(*) filter (where r.track_id is not null) as compared_keys, count(*) filter (where r.track_id is null) as missing_in_right,
+  cast(0 as bigint) as missing_in_left, count(*) filter (where abs(l.duration_s - r.duration_s) > 1e-6) as field_mismatches,
+  count(*) filter (where r.track_id is null or abs(l.duration_s - r.duration_s) > 1e-6) = 0 as passed
+  from ({FACT}) l left join ({right}) r on l.source_file = r.source_file and l.track_id = r.track_id"""
+            for case, right in {
+                "same": f"select * replace (duration_s + 0.0000005 as duration_s) from ({FACT})",
+                "shifted": f"select * replace (duration_s + case when track_id % 7 = 0 then 0.01 else 0 end as duration_s) from ({FACT})",
+                "short": f"select * from ({FACT}) where track_id % 23 <> 0",
+            }.items()
+        ),
+        "parity_options": f"""{_PARITY} select source_file, track_id, case when field = 'vehicle_type' then 'unclassified' else kind end as kind, field
+  from diffs where field is null or field <> 'duration_s'""",
+        "parity_duplicates": f"""select source_file, track_id, 'right' as side, case when track_id % 6 = 0 then 3 else 2 end as row_count, 3 as refused
+  from ({FACT}) where track_id % 3 = 0""",
+        "archive_members": """select (doc_id // 64) || '.zip' as archive,
+  case doc_id % 9 when 1 then '__MACOSX/' when 2 then 'deep/.' when 3 then 'deep/' else '' end || doc_id
+    || case doc_id % 9 when 4 then '.txt' when 5 then '.CSV' else '.csv' end as member,
+  strlen(coalesce(text, '')) as size, strlen(coalesce(text, '')) as compressed_size, doc_id % 9 not in (1, 2, 4) as eligible from documents""",
+        "hashed_files": """select 'bundle' || (doc_id // 64) || '.csv' as source_file, strlen(string_agg(coalesce(text, ''), chr(10) order by doc_id)) + 1 as size,
+  sha256(string_agg(coalesce(text, ''), chr(10) order by doc_id) || chr(10)) as file_hash from documents where (doc_id // 64) % 5 <> 4 group by doc_id // 64""",
+        "storage_footprint": f"""select count(distinct source_file) as file_count, count(*) as row_count, true as bytes_as_listed, true as projected_in_proportion
+  from ({FACT})""",
+        "declared_table": SUMMARY,
+        "new_files_log": f"""with t as (select distinct track, track // {ARRIVING} as folder, 'rec' || (track % 5) || '_' || (track // {ARRIVING}) || '.csv' as source_file,
+    ({_THIRD}) as bad, track % {ARRIVING} < 32 as early, (select count(*) from ({RECORDING_SQL}) f where f.track = r.track) as frames from ({RECORDING_SQL}) r),
+  loads as (select 1 as run, source_file, sum(case when bad then 0 else frames end) as rows_loaded, count(*) filter (where bad) as rows_rejected from t where folder % 2 = 0 group by source_file
+    union all select 2, source_file, sum(case when bad then 0 else frames end), count(*) filter (where bad) from t
+      where folder % 2 = 1 or folder % 6 = 0 and early and source_file in (select source_file from t where not early) group by source_file),
+  present as (select 2 as run, source_file from t where folder % 2 = 0 union select 3, source_file from t)
+  select run, source_file, 'success' as status, cast(rows_loaded as bigint) as rows_loaded, rows_rejected from loads
+  union all select run, source_file, 'skipped', 0, 0 from present p where not exists (select 1 from loads l where l.run = p.run and l.source_file = p.source_file)""",
+        "new_files_raw": f"""select {FRAME_COLUMNS.replace('source_file', "'rec' || (track % 5) || '_' || (track // " + str(ARRIVING) + ") || '.csv' as source_file", 1)}, true as of_last_content
+  from ({RECORDING_SQL}) where not ({_THIRD}) and ((track // {ARRIVING}) % 6 <> 0 or track % {ARRIVING} < 32)""",
         "parity_first_differences": f"{_PARITY} select * from diffs where kind = 'mismatch' order by source_file, track_id, field limit 20",
         "missing_keys": f"{_REFERENCE} select source_file, track_id from l anti join r using (source_file, track_id)",
         "shared_keys": f"{_REFERENCE} select source_file, track_id from l intersect select source_file, track_id from r",

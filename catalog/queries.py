@@ -21,10 +21,10 @@ from tracklane.operators import checks, parity, publish, runs, staging, summary,
 from tracklane.operators.frames import frames_of, parse_counts, parse_records, rejects_of, with_provenance
 from tracklane.operators.records import assemble_records, number_records
 from tracklane.plans import marts
-from tracklane.plans.loads import load_recordings
+from tracklane.plans.loads import load_new_files, load_recordings
 from tracklane.session import scratch_path
 from tracklane.sources.archive import list_archive_members, read_archive_lines
-from tracklane.sources.files import dataset_metrics, read_layer, read_lines, read_source, register_sources
+from tracklane.sources.files import dataset_metrics, discover_files, hash_files, read_layer, read_lines, read_source, register_sources
 from tracklane.sources.records import read_records
 from tracklane.sources.storage import filesystem_of
 from tracklane.streaming.ingest import stream_frames, stream_recordings
@@ -153,7 +153,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frame_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.when(F.col("id") % 307 == 0, "").otherwise("bronze/recordings.zip")
     silver = I.dirty_frames(spark, sf_dir).withColumn("bronze_key", key).select(*S.names(S.SILVER))
-    return checks.run_checks(silver, checks.frame_checks(expected_row_count=10000))
+    return checks.run_checks(silver, checks.frame_checks(expected_row_count=I.table(spark, sf_dir, "events").count()))
 
 
 @query
@@ -226,8 +226,39 @@ def check_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_rows_eq_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    serving = _fact(spark, sf_dir)
-    return checks.check_same_row_count("fact_rows_eq_serving", marts.trajectory_fact(serving), serving)
+    """The fact against serving data that was published whole, and against some that lacks a source."""
+    fact = _fact(spark, sf_dir)
+    found = []
+    for name, served in (("whole", fact), ("short", fact.filter(F.col("source_file") != "view.csv"))):
+        target = scratch_path(spark, "serving")
+        publish.publish(spark, served, target, name)
+        serving = read_layer(spark, target, S.SUMMARY)
+        found.append(checks.check_same_row_count(f"fact_rows_eq_serving_{name}", marts.trajectory_fact(fact), serving))
+    return found[0].unionByName(found[1])
+
+
+@query
+def damaged_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a summary layer that is whole, lacks a column, holds one of another type, or cannot be read."""
+    fact = _fact(spark, sf_dir)
+    cases = {
+        "whole": fact,
+        "column_missing": fact.drop("end_lat"),
+        "column_too_many": fact.withColumn("extra", F.lit(1)),
+        "other_type": fact.withColumn("frame_count", F.col("frame_count").cast("double")),
+    }
+    rows = []
+    for case, layer in cases.items():
+        path = scratch_path(spark, "layer")
+        publish.write_by_source(layer, path)
+        rows += [(case, *r) for r in checks.validate_dataset(spark, path, S.SUMMARY, checks.summary_checks()).rows]
+    unreadable = scratch_path(spark, "layer")
+    fact.select(F.concat_ws(",", *S.TRACK_KEY)).write.text(unreadable)
+    rows += [("unreadable", *r) for r in checks.validate_dataset(spark, unreadable, S.SUMMARY, checks.summary_checks()).rows]
+    found = spark.createDataFrame(rows, "case string, check string, status string, observed double, expected string, detail string")
+    named = F.col("check").isin("readable", "schema_names", "schema_types", "not_null_end_lat", "row_count_positive")
+    # The text of a read error is the reader's own.
+    return found.filter(named).select("case", "check", "status", F.when(F.col("check") != "readable", F.col("observed")).alias("observed"), F.when(F.col("check") != "readable", F.col("detail")).alias("detail"))
 
 
 # --- recordings: lines, records, frames, rejects -----------------------------------------------------
@@ -325,9 +356,44 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.filter(F.col("pos") > 0).agg(F.count(F.lit(1)).alias("line_count"))
 
 
+#: Documents whose texts go into one file.
+BUNDLE = 64
+
+
 @query
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_archive_members(spark, _archives(spark, sf_dir)).drop("archive")
+    """Central directories of archives that hold the documents' texts as members, some of them hidden or no recordings."""
+    folder = scratch_path(spark, "archives")
+    kind = F.col("doc_id") % 9
+    member = F.when(kind == 1, "__MACOSX/").when(kind == 2, "deep/.").when(kind == 3, "deep/").otherwise("")
+    suffix = F.when(kind == 4, ".txt").when(kind == 5, ".CSV").otherwise(".csv")
+    docs = I.table(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / BUNDLE).alias("bundle"), F.concat(member, F.col("doc_id").cast("string"), suffix).alias("member"), F.coalesce("text", F.lit("")).alias("text")
+    )
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        storage, inner = filesystem_of(folder)
+        storage.create_dir(inner)
+        target = f"{inner}/{rows['bundle'].iloc[0]}.zip"
+        attempt = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
+        with storage.open_output_stream(attempt) as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED) as archive:
+            archive.writestr("deep/", "")
+            for name, text in zip(rows["member"], rows["text"], strict=True):
+                archive.writestr(name, text)
+        storage.move(attempt, target)
+        return pd.DataFrame({"archive": [target]})
+
+    docs.groupBy("bundle").applyInPandas(pack, "archive string").write.parquet(scratch_path(spark, "written"))
+    return list_archive_members(spark, folder).select(F.substring_index("archive", "/", -1).alias("archive"), "member", "size", "compressed_size", "eligible")
+
+
+@query
+def hashed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written from the documents' texts, found again in their folder, with the hash of their content."""
+    folder = scratch_path(spark, "files")
+    docs = I.table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / BUNDLE).alias("bundle"), F.col("doc_id").alias("track"), F.coalesce("text", F.lit("")).alias("value"))
+    _write_files(docs.withColumn("file", F.concat(F.lit("bundle"), F.col("bundle").cast("string"), F.when(F.col("bundle") % 5 == 4, ".txt").otherwise(".csv"))), folder, header=False)
+    return hash_files(discover_files(spark, folder)).select("source_file", "size", "file_hash")
 
 
 def _archives(spark: SparkSession, sf_dir: str) -> str:
@@ -400,7 +466,7 @@ def _both_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
             "max_speed_ms": F.when(track % 19 != 0, F.col("max_speed_ms")),
         }
     )
-    extra = left.filter(track % 29 == 0).withColumn("source_file", F.lit("extra.csv"))
+    extra = left.filter(track % 29 == 0).withColumn("source_file", F.concat(F.lit("extra_"), "source_file"))
     return left, changed.unionByName(extra)
 
 
@@ -420,6 +486,41 @@ def parity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.parity_totals(*_both_sides(spark, sf_dir))
 
 
+@query
+def parity_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and verdict of three comparisons: within the tolerance, beyond it, and with rows that one side lacks."""
+    left = _fact(spark, sf_dir)
+    cases = {
+        "same": left.withColumn("duration_s", F.col("duration_s") + 0.0000005),
+        "shifted": left.withColumn("duration_s", F.col("duration_s") + F.when(F.col("track_id") % 7 == 0, 0.01).otherwise(0.0)),
+        "short": left.filter(F.col("track_id") % 23 != 0),
+    }
+    found = [parity.parity_totals(left, right).withColumn("case", F.lit(case)) for case, right in cases.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def parity_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen fields with a wide tolerance; a field that is listed neither as exact nor as float is unclassified."""
+    left, right = _both_sides(spark, sf_dir)
+    options = {"exact": ["frame_count"], "floats": ["duration_s", "max_speed_ms"], "tolerance": 0.02, "fields": ["frame_count", "duration_s", "max_speed_ms", "vehicle_type"]}
+    return parity.compare(left, right, **options).select(*S.TRACK_KEY, "kind", "field")
+
+
+@query
+def parity_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that a side repeats, and how many of the three entry points refuse such sides."""
+    fact = _fact(spark, sf_dir)
+    twice = fact.unionByName(fact.filter(F.col("track_id") % 3 == 0)).unionByName(fact.filter(F.col("track_id") % 6 == 0))
+    refused = 0
+    for attempt in (lambda: parity.compare(twice, fact).count(), lambda: parity.parity_totals(fact, twice).collect(), lambda: parity.parity_report(fact, twice)):
+        try:
+            attempt()
+        except Exception as error:  # noqa: BLE001 - what is refused is what this query shows
+            refused += "duplicate key on the" in str(error)
+    return parity.repeated_keys(fact, twice).withColumn("refused", F.lit(refused))
+
+
 @query
 def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.missing_keys(*_both_sides(spark, sf_dir))
@@ -515,9 +616,25 @@ def publish_seen_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def storage_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files of a stored summary, its bytes against a listing of the files, and the projection to 500,000 rows."""
+    target = scratch_path(spark, "summary")
+    publish.write_by_source(_fact(spark, sf_dir).repartition(1), target, gather=False)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(target)
+    listing = listed.agg(F.sum("length").alias("listed")).first()["listed"]
+    found = publish.storage_footprint(spark, target)
+    near = F.abs(F.col("projected_bytes") - F.col("total_bytes") * publish.PROJECTED_ROWS / F.col("row_count")) <= 1
+    return found.select("file_count", "row_count", (F.col("total_bytes") == listing).alias("bytes_as_listed"), near.alias("projected_in_proportion"))
+
+
+@query
+def declared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored summary read through the catalog table that its DDL declares."""
     target = scratch_path(spark, "summary")
     publish.write_summary(spark, _fact(spark, sf_dir), target)
-    return publish.storage_footprint(spark, target)
+    table = "summary_" + target.rsplit("-", 1)[-1]
+    spark.sql(publish.create_table_ddl(table, path=target))
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return _steady(spark.table(table).select(*S.names(S.SUMMARY)))
 
 
 # --- loads from end to end ------------------------------------------------------------------------
@@ -719,6 +836,36 @@ def archive_members_of_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_range.unionByName(by_line)
 
 
+def _load_three_times(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Files loaded as they come: half of them, then all, one in three of the first with fewer records, then nothing new."""
+    folder, raw, log = (scratch_path(spark, name) for name in ("recordings", "raw", "runs"))
+    name = F.concat(F.lit("rec"), (F.col("track") % 5).cast("string"), F.lit("_"), F.col("folder").cast("string"), F.lit(".csv"))
+    texts = _arriving(spark, sf_dir).withColumn("file", name)
+    runs_made = []
+    _write_files(texts.filter("folder % 2 = 0"), folder)
+    runs_made.append(load_new_files(spark, folder, raw, log).withColumn("run", F.lit(1)))
+    shorter = texts.filter(f"folder % 6 = 0 AND track % {ARRIVING} < 32")
+    _write_files(texts.filter("folder % 2 = 1").unionByName(shorter), folder)
+    runs_made.append(load_new_files(spark, folder, raw, log).withColumn("run", F.lit(2)))
+    runs_made.append(load_new_files(spark, folder, raw, log).withColumn("run", F.lit(3)))
+    return raw, runs_made[0].unionByName(runs_made[1]).unionByName(runs_made[2])
+
+
+@query
+def new_files_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log of three loads of a folder: what was new or changed, what was skipped, and the rows of each."""
+    return _load_three_times(spark, sf_dir)[1].select("run", "source_file", "status", "rows_loaded", "rows_rejected")
+
+
+@query
+def new_files_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer after the same loads: changed files have their new rows only."""
+    raw, log = _load_three_times(spark, sf_dir)
+    hashes = log.filter("status = 'success'").groupBy("source_file").agg(F.max(F.struct("run", "file_hash"))["file_hash"].alias("last_hash"))
+    rows = read_layer(spark, raw, S.RAW).join(hashes, "source_file")
+    return rows.select(*S.names(S.FRAME), (F.col("file_hash") == F.col("last_hash")).alias("of_last_content"))
+
+
 @query
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows: parsed frames stamped with their origin and the time of the run."""

@@ -6,7 +6,7 @@ from samples import SUMMARY_ROW
 from test_checks import ddl
 
 from tracklane import schemas as S
-from tracklane.operators.parity import compare, missing_keys, parity_report, shared_keys
+from tracklane.operators.parity import compare, missing_keys, parity_report, parity_totals, repeated_keys, shared_keys
 
 
 def rows(spark, *changes):
@@ -59,6 +59,12 @@ def test_keys(spark):
     assert shared_keys(left, right).collect() == [("sample.csv", 1)]
     with pytest.raises(ValueError, match="duplicate key on the right"):
         parity_report(left, right.unionByName(right))
+    for compared in (compare(right, left.unionByName(left)), parity_totals(left.unionByName(left), right), compare(right, left.unionByName(left).filter("track_id = 2"))):
+        with pytest.raises(Exception, match="duplicate key on the (left|right) side: sample.csv, "):
+            compared.collect()
+    assert [tuple(r) for r in repeated_keys(left.unionByName(left).unionByName(left), right).orderBy("track_id").collect()] == [("sample.csv", 1, "left", 3), ("sample.csv", 2, "left", 3)]
+    plan = parity_totals(left, right)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 2 * 2  # once in the initial, once in the final plan
 
 
 def test_options(spark):
