@@ -319,8 +319,15 @@ def oracle_sql() -> dict[str, str]:
   from (select distinct source_file, track from ({RECORDING_SQL}))) where record_no <= 10""",
         "repair_tokens": f"""select event_id, lat, lon,
   case when speed_ms <= 200 then speed_ms end as speed_ms, timestamp_s from ({RECORDING_SQL})""",
-        "boundary_candidates": f"""select event_id, cast(lat as varchar) as plain_token,
-  replace(cast(lat as varchar), '.', '') as joined, cast(lat as varchar) as dotted from ({RECORDING_SQL})""",
+        "boundary_candidates": f"""with c as (select event_id, split_part(cast(lat as varchar), '.', 1) as l, split_part(cast(lat as varchar), '.', 2) as r,
+    printf('%.2f', lon_acc_ms2) as acc from ({RECORDING_SQL})),
+  t as (select event_id, 'latitudes' as kind, l, r from c union all select event_id, 'accelerations', acc[1:2], acc[3:] from c),
+  listed as (select event_id, kind, [l || r] || case when contains(l || r, '.') then [] else [l || '.' || r] end
+    || list_transform(range(10), lambda d: l || d || r)
+    || list_transform(range(10), lambda d: case when l[1] = '-' then '-' || d || l[2:] else d || l end || r) as options from t),
+  kept as (select event_id, kind, list_aggregate(list_filter(options, lambda x, i: list_position(options, x) = i), 'string_agg', ' ') as options from listed)
+  select event_id, max(options) filter (where kind = 'latitudes') as latitudes, max(options) filter (where kind = 'accelerations') as accelerations
+  from kept group by event_id""",
         "parity_differences": f"{_PARITY} select * from diffs",
         "parity_totals": f"""{_PARITY} select (select count(*) from l) as left_rows, (select count(*) from r) as right_rows,
   (select count(*) from pairs) as compared_keys,

@@ -427,12 +427,12 @@ def _archives(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def boundary_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First candidates for a latitude that lost its point: the plain join, then the point put back."""
+    """All candidates, in order, for latitudes that lost their point and for accelerations cut behind their second character."""
     frames = I.recording_frames(spark, sf_dir)
-    found = repair.boundary_candidates(F.replace("lat", F.lit("."), F.lit(CUT)))
-    return frames.select(
-        "event_id", F.col("lat").alias("plain_token"), found[0].alias("joined"), found[1].alias("dotted")
-    )
+    turned = F.format_string("%.2f", F.col("lon_acc").cast("double"))
+    cut = F.concat(F.substring(turned, 1, 2), F.lit(CUT), F.substring(turned, 3, 100))
+    listed = lambda token: F.array_join(repair.boundary_candidates(token), " ")
+    return frames.select("event_id", listed(F.replace("lat", F.lit("."), F.lit(CUT))).alias("latitudes"), listed(cut).alias("accelerations"))
 
 
 @query
