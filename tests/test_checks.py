@@ -138,3 +138,13 @@ def test_layers_have_column_checks(spark):
     assert failed(summary(spark, vehicle_type="tram"), checks.column_checks("fact")) == ["accepted_vehicle_type"]
     with pytest.raises(ValueError):
         checks.column_checks("other")
+
+
+def test_keys_are_compared_by_narrow_rows(spark):
+    rows = [("a", 1, 1.0), ("a", 1, 2.0), ("a", 1, 3.0), ("b", 1, 1.0), (None, 1, 1.0), (None, 1, 1.0), ("c", None, 1.0)]
+    df = spark.createDataFrame(rows, "source_file string, track_id int, lat double")
+    found = {r["check"]: (r["status"], r["observed"]) for r in checks.run_checks(df, [checks.unique("pair", "source_file", "track_id"), checks.unique("one", "track_id"), *checks.not_null("lat")]).collect()}
+    assert found == {"pair": ("failed", 2.0), "one": ("failed", 5.0), "not_null_lat": ("passed", 0.0)}
+    plan = checks.run_checks(df, [checks.unique("pair", "source_file", "track_id")])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Aggregate [h" in plan
+    assert {r["status"] for r in checks.run_checks(df.limit(0), [checks.unique("pair", "track_id")]).collect()} == {"skipped"}

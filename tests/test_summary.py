@@ -105,3 +105,18 @@ def test_marts(spark):
 def test_unknown_summary_source(spark):
     with pytest.raises(ValueError):
         summary_source(spark, "other")
+
+
+def test_steps_of_a_track_that_fills_many_ranges(spark):
+    times = [t * 0.5 for t in range(4000) for _ in range(1 + (t % 100 == 0))]
+    rows = [("a.csv", 7, t) for t in times] + [("a.csv", 8, 1.0), ("b.csv", 7, 0.0), ("b.csv", 7, 900.0)]
+    frames = spark.createDataFrame(rows, "source_file string, track_id int, timestamp_s double").repartition(5)
+    got = frame_steps(frames, ranges=8)
+    found = sorted((r.source_file, r.track_id, r.timestamp_s, r.step_s if r.step_s is not None else -1.0) for r in got.collect())
+    want = []
+    for key in (("a.csv", 7), ("a.csv", 8), ("b.csv", 7)):
+        own = sorted(t for f, k, t in rows if (f, k) == key)
+        want += [(*key, t, t - own[i - 1] if i else -1.0) for i, t in enumerate(own)]
+    assert found == sorted(want)
+    held = got.select("track_id", F.spark_partition_id().alias("p")).where("track_id = 7").distinct().count()
+    assert held > 2

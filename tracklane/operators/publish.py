@@ -219,13 +219,6 @@ def publish(
     return batch.result
 
 
-def drop_sources(spark: SparkSession, path: str, sources: list[str]) -> None:
-    """Remove all rows of some sources from a layer written by ``write_by_source``."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for source in sources:
-        versions.delete(spark, f"{path.rstrip('/')}/source_file={escape(source)}")
-
-
 def published_sources(summary: DataFrame) -> DataFrame:
     return summary.select("source_file").distinct().orderBy("source_file")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracklane import schemas as S
 from tracklane.functions.numbers import normalise_speed, round_half_up
+from tracklane.session import scratch_path
 
 _ROUNDED = {
     "lat": S.COORDINATE_PLACES,
@@ -72,21 +73,26 @@ def stage_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def frame_steps(frames: DataFrame, span_s: float = 60.0) -> DataFrame:
+def frame_steps(frames: DataFrame, ranges: int | None = None) -> DataFrame:
     """Time since the previous frame of the same track, in time order.
 
-    A track is worked on in spans of time, so a track with most of the rows is not one task's work. The
-    first frame of a span looks back to the last time of the span before, one row per span.
+    Frames are laid out in ranges of (track, time), as many as shuffle partitions unless ``ranges`` says otherwise, so a track
+    with most of the rows is as many tasks' work as it fills ranges. The first frame of a range whose track began
+    earlier looks back to the last time before the range: at most one row a range, which every task may hold.
     """
-    spanned = frames.select(*S.TRACK_KEY, "timestamp_s").withColumn("span", F.floor(F.col("timestamp_s") / span_s))
-    in_span = Window.partitionBy(*S.TRACK_KEY, "span").orderBy("timestamp_s")
-    by_span = Window.partitionBy(*S.TRACK_KEY).orderBy("span")
-    before = (
-        spanned.groupBy(*S.TRACK_KEY, "span")
-        .agg(F.max("timestamp_s").alias("last_s"))
-        .select(*S.TRACK_KEY, "span", F.lag("last_s").over(by_span).alias("before_s"))
-    )
-    previous = F.coalesce(F.lag("timestamp_s").over(in_span), F.col("before_s"))
-    return spanned.join(before, [*S.TRACK_KEY, "span"]).select(
+    spark = frames.sparkSession
+    parts = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*S.TRACK_KEY, "timestamp_s"]
+    laid = frames.select(*order).repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    # Stored, as a second evaluation could cut the ranges elsewhere.
+    path = scratch_path(spark, "ranges")
+    laid.write.parquet(path)
+    stored = spark.read.schema(laid.schema).parquet(path)
+    ends = stored.groupBy("part", *S.TRACK_KEY).agg(F.max("timestamp_s").alias("last_s"))
+    before = ends.withColumn("before_s", F.lag("last_s").over(Window.partitionBy(*S.TRACK_KEY).orderBy("part")))
+    carried = before.where("before_s IS NOT NULL").select("part", *S.TRACK_KEY, "before_s")
+    in_range = Window.partitionBy("part", *S.TRACK_KEY).orderBy("timestamp_s")
+    previous = F.coalesce(F.lag("timestamp_s").over(in_range), F.col("before_s"))
+    return stored.join(F.broadcast(carried), ["part", *S.TRACK_KEY], "left").select(
         *S.TRACK_KEY, "timestamp_s", (F.col("timestamp_s") - previous).alias("step_s")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,12 +31,12 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tra
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder on this machine.
+    Only a local session, all of whose tasks run in one process, may fall back to a temporary folder on this machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracklane-"))
     return spark.sparkContext.getCheckpointDir()
