@@ -170,3 +170,35 @@ def test_urls_equal_brute_force(spark):
         fit = [x for x in rules if (r.h == x.host or r.h.endswith("." + x.host)) and r.p.startswith(x.path)]
         best = max(fit, key=lambda x: (len(x.host) + len(x.path), len(x.host))) if fit else None
         assert got[r.page_id] == ((best.host + best.path, best.verdict) if best else (None, "allow"))
+
+
+def test_every_verbatim_item_is_found_and_nothing_else(spark):
+    rng = random.Random(12)
+    names, common = ["Anna Smith,", "Bob", "Jones", "Paris", "Lee.", "Rome"], [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    items = []
+    for k in range(60):
+        size = 1 + k % 8
+        words = {
+            0: lambda: [rng.choice(names) for _ in range(size)],
+            1: lambda: [str(rng.randrange(10**6)) if i % 2 == 0 else rng.choice("+-*/=") for i in range(size)],
+            2: lambda: [rng.choice(common).capitalize() if i == 0 else rng.choice(common) for i in range(size + 6)],
+        }[k % 3]()
+        items.append((k, " ".join([f"Q{k:03}x", *words])))
+    docs = []
+    for k in range(120):
+        words = [rng.choice(common) for _ in range(rng.randrange(3, 60))]
+        if k % 2 == 0:
+            at = rng.randrange(len(words))
+            words[at:at] = ["quiz\n" + items[k // 2][1]]
+        docs.append((k, " ".join(words)))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    plain = lambda t: f" {' '.join(t.split())} "
+    want = {(d, i) for d, text in docs for i, item in items if plain(item) in plain(text)}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) == 60
+
+
+def test_first_word_after_a_line_without_end(spark):
+    item = "What is the capital of France and how many people live there?"
+    docs = [(1, "Quiz\nWhat is the capital of Spain and how many people live there?"), (2, "What is the name of the street where the old station stands?")]
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id) for r in got.collect()] == [(1, 1)]

@@ -5,10 +5,12 @@ sentence) are replaced by typed slots, the rest is lower-cased and stripped of o
 benchmark. The slots of joined runs are then checked: along one alignment of a document with an item, a value of the item
 must always stand for the same value in the document; runs that hold a value with two counterparts count only where they
 repeat the item's words. An item is in a document if at least COVER of the item's runs are
-found in consistent alignments. Column expressions, joins and aggregates only.
+found in consistent alignments. An item whose templates might miss a word-for-word copy, because it is short or made of
+numbers and names, is looked for by runs of its very words as well. Column expressions, joins and aggregates only.
 
-Edge cases: null and empty texts hold nothing; an item of fewer than WIDTH, but at least SHORTEST words is looked for as
-one run, a shorter one identifies nothing; a run needs half of its words to be literal; rows that repeat (same id and
+Edge cases: null and empty texts hold nothing; an item of fewer than WIDTH words is looked for as one run; one of fewer
+than SHORTEST words is found where a document holds its very words, with other values nowhere; a run of a template
+needs half of its words to be literal; an item's first word is read as a word and, if capitalised, as a name; rows that repeat (same id and
 text) are one document and are reported once; ties do not arise; an empty documents or benchmark table gives an empty
 result, and decontaminate() then returns its input. Null ids are reported as null. Extra columns are not read.
 """
@@ -28,6 +30,7 @@ NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
 UNITS = "km|cm|mm|m|kg|g|mg|l|ml|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|foot|inch(?:es)?|meters?|metres?|kilometers?|kilometres?|grams?|kilograms?|pounds?|ounces?|liters?|litres?|dollars?|euros?|cents?|percent|degrees?"
 NUMBERS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|twenty|thirty|forty|fifty|hundred|thousand|million|billion"
 KEY = ["doc_id", "text_hash"]
+TEMPLATE, WORDS = "template", "words"
 
 
 def raw_words(text: Column) -> Column:
@@ -48,59 +51,103 @@ def template(words: Column) -> Column:
     return F.when(F.size(words) > 0, F.split(line, " ")).otherwise(F.array().cast("array<string>"))
 
 
-def template_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text") -> DataFrame:
-    """keys, pos, code and raw (all words of the text) of every run of ``width`` words that is literal enough."""
-    split = texts.select(*keys, raw_words(F.col(text)).alias("raw")).where(F.size("raw") >= width)
-    shaped = split.select(*keys, "raw", template(F.col("raw")).alias("t"))
+def very_words(words: Column) -> Column:
+    """Lower-cased words without outer signs; a word of signs is itself."""
+    return F.transform(words, lambda w: F.coalesce(F.nullif(_tidy(w), F.lit("")), w))
+
+
+def _tidy(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"^\p{Punct}+|\p{Punct}+$", "")
+
+
+def _runs(shaped: DataFrame, keys: list[str], width: int, kind: str) -> DataFrame:
+    """keys, pos, code, literal and raw of every run of ``width`` words of the array ``t``."""
     shifted = F.arrays_zip(*[(F.col("t") if k == 0 else F.slice("t", k + 1, F.size("t"))).alias(f"w{k}") for k in range(width)])
     runs = shaped.select(*keys, "raw", F.posexplode(shifted).alias("pos", "run")).where(F.col(f"run.w{width - 1}").isNotNull())
     words = [F.col(f"run.w{k}") for k in range(width)]
     literal = sum((F.when((w == "") | w.rlike(f"[{NUMBER}{UNIT}{NAME}]"), 0).otherwise(1) for w in words), F.lit(0))
-    return runs.select(*keys, "raw", "pos", F.xxhash64(F.lit(width), *words).alias("code"), literal.alias("literal"))
+    mark = [] if kind == TEMPLATE else [F.lit(kind)]
+    return runs.select(*keys, "raw", "pos", F.xxhash64(*mark, F.lit(width), *words).alias("code"), literal.alias("literal"))
 
 
-def _item_runs(items: DataFrame) -> DataFrame:
-    """Runs of the benchmark: width, code, item, its place and raw words, and how many runs the item has."""
-    sized = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("n", F.size(raw_words(F.col("text")))).where(F.col("n") >= SHORTEST)
-    found = None
-    for width in range(SHORTEST, WIDTH + 1):
-        own = sized.where(F.col("n") >= WIDTH) if width == WIDTH else sized.where(F.col("n") == width)
-        runs = template_runs(own, ["item_id"], width).where(F.col("literal") * 2 >= width)
-        runs = runs.select("item_id", F.lit(width).alias("width"), "code", F.col("pos").alias("item_pos"), F.slice("raw", F.col("pos") + 1, F.lit(width)).alias("item_words"))
-        found = runs if found is None else found.unionByName(runs)
-    total = found.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_runs"))
-    return found.join(total, "item_id")
+def template_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text", both_readings: bool = False) -> DataFrame:
+    """keys, pos, code, literal and raw (all words of the text) of every run of ``width`` template words.
+
+    With ``both_readings``, a run that begins with a capitalised first word of a text is there with it as a name, too.
+    """
+    split = texts.select(*keys, raw_words(F.col(text)).alias("raw")).where(F.size("raw") >= width)
+    shaped = split.select(*keys, "raw", template(F.col("raw")).alias("t"))
+    runs = _runs(shaped, keys, width, TEMPLATE)
+    if not both_readings:
+        return runs
+    named = shaped.where(F.get("raw", F.lit(0)).rlike(r"^[\"'(]?\p{Lu}")).withColumn("t", F.concat(F.array(F.lit(NAME)), F.slice("t", 2, F.size("t"))))
+    return runs.unionByName(_runs(named, keys, width, TEMPLATE).where("pos = 0"))
+
+
+def word_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text") -> DataFrame:
+    """The same of the very words."""
+    split = texts.select(*keys, raw_words(F.col(text)).alias("raw")).where(F.size("raw") >= width)
+    return _runs(split.select(*keys, "raw", very_words(F.col("raw")).alias("t")), keys, width, WORDS)
+
+
+def _item_runs(items: DataFrame, cover: float) -> DataFrame:
+    """Runs of the benchmark: kind, width, code, item, its place and raw words, and how many runs of the kind the item has."""
+    sized = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("n", F.size(raw_words(F.col("text"))))
+
+    def of(rows: DataFrame, kind: str, least: int) -> DataFrame:
+        found = None
+        for width in range(least, WIDTH + 1):
+            own = rows.where(F.col("n") >= WIDTH) if width == WIDTH else rows.where(F.col("n") == width)
+            if kind == TEMPLATE:
+                runs = template_runs(own, ["item_id"], width, both_readings=True).where(F.col("literal") * 2 >= width)
+            else:
+                runs = word_runs(own, ["item_id"], width)
+            words = F.slice("raw", F.col("pos") + 1, F.lit(width)).alias("item_words")
+            runs = runs.select("item_id", F.lit(kind).alias("kind"), F.lit(width).alias("width"), "code", F.col("pos").alias("item_pos"), words)
+            found = runs if found is None else found.unionByName(runs)
+        return found
+
+    shapes = stored(of(sized, TEMPLATE, SHORTEST), "shapes")
+    # The first word is read by what stands before it; all other runs of a copy have the item's own templates.
+    sure = F.countDistinct(F.when(F.col("item_pos") > 0, F.col("item_pos"))) >= cover * F.countDistinct("item_pos")
+    safe = shapes.groupBy("item_id").agg((sure & (F.countDistinct("item_pos") > 1)).alias("sure")).where("sure").select(F.col("item_id").alias("safe_id"))
+    weak = sized.join(safe, F.col("item_id").eqNullSafe(F.col("safe_id")), "left_anti")
+    found = shapes.unionByName(of(weak, WORDS, 1))
+    total = found.groupBy(F.col("item_id").alias("of_id"), F.col("kind").alias("of_kind")).agg(F.countDistinct("item_pos").alias("item_runs"))
+    return found.join(total, F.col("item_id").eqNullSafe(F.col("of_id")) & (F.col("kind") == F.col("of_kind"))).drop("of_id", "of_kind")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", cover: float = COVER) -> DataFrame:
     """doc_id, text_hash, item_id, found_runs, item_runs and coverage of every item found in a document."""
-    runs = stored(_item_runs(items.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text}`").alias("text"))), "items")
+    runs = stored(_item_runs(items.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text}`").alias("text")), cover), "items")
     count = runs.count()
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     matched = None
-    for width in [r["width"] for r in runs.select("width").distinct().orderBy("width").collect()] or [WIDTH]:
-        own = runs.where(F.col("width") == width)
+    for kind, width in [tuple(r) for r in runs.select("kind", "width").distinct().orderBy("kind", "width").collect()] or [(TEMPLATE, WIDTH)]:
+        own = runs.where((F.col("width") == width) & (F.col("kind") == kind)).drop("width")
         # Literal enough is what the item's run is, so the document's equal run is, too.
-        mine = template_runs(texts, KEY, width).select(*KEY, "raw", "pos", "code")
+        mine = (template_runs if kind == TEMPLATE else word_runs)(texts, KEY, width).select(*KEY, "raw", "pos", "code")
         words = F.slice("raw", F.col("pos") + 1, F.lit(width)).alias("doc_words")
+        columns = [*KEY, "item_id", "kind", "pos", "item_pos", "item_runs", "item_words"]
         if count <= MOST_BROADCAST:
-            both = mine.join(F.broadcast(own), "code").select(*KEY, "item_id", "pos", "item_pos", "item_runs", "item_words", words)
+            both = mine.join(F.broadcast(own), "code").select(*columns, words)
         else:
-            both = mine.select(*KEY, "pos", "code", words).join(own, "code").select(*KEY, "item_id", "pos", "item_pos", "item_runs", "item_words", "doc_words")
+            both = mine.select(*KEY, "pos", "code", words).join(own, "code").select(*columns, "doc_words")
         matched = both if matched is None else matched.unionByName(both)
     matched = stored(matched.withColumn("shift", F.col("pos") - F.col("item_pos")), "matched")
     along = [*KEY, "item_id", "shift"]
     # What the item's words stand for along an alignment; words equal on both sides, or literal on both, agree anyway. A value
     # with two counterparts discards the runs that hold it, except those that repeat the item's words.
-    tidy = lambda w: F.regexp_replace(F.lower(w), r"^\p{Punct}+|\p{Punct}+$", "")
-    slots = matched.select(*along, F.explode(F.arrays_zip(F.col("item_words").alias("i"), F.col("doc_words").alias("d"))).alias("s")).select(*along, tidy(F.col("s.i")).alias("value"), tidy(F.col("s.d")).alias("stands_for"))
+    slots = matched.select(*along, F.explode(F.arrays_zip(F.col("item_words").alias("i"), F.col("doc_words").alias("d"))).alias("s")).select(*along, _tidy(F.col("s.i")).alias("value"), _tidy(F.col("s.d")).alias("stands_for"))
     broken = slots.distinct().groupBy(*along, "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy(*[F.col(c).alias(f"b_{c}") for c in along]).agg(F.collect_set("value").alias("broken"))
     same = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in along]
-    values, stand_for = F.transform("item_words", tidy), F.transform("doc_words", tidy)
+    values, stand_for = F.transform("item_words", _tidy), F.transform("doc_words", _tidy)
     sound = F.col("broken").isNull() | (values == stand_for) | ~F.arrays_overlap(values, "broken")
     kept = matched.join(broken, same[0] & same[1] & same[2] & same[3], "left").where(sound)
-    found = kept.groupBy(*KEY, "item_id").agg(F.countDistinct("item_pos").alias("found_runs"), F.max("item_runs").alias("item_runs"))
-    return found.withColumn("coverage", F.col("found_runs") / F.col("item_runs")).where(F.col("coverage") >= cover)
+    found = kept.groupBy(*KEY, "item_id", "kind").agg(F.countDistinct("item_pos").alias("found_runs"), F.max("item_runs").alias("item_runs"))
+    # The kind of run that shows most of the item.
+    shown = found.withColumn("coverage", F.col("found_runs") / F.col("item_runs")).groupBy(*KEY, "item_id").agg(F.max(F.struct("coverage", "found_runs", "item_runs")).alias("best"))
+    return shown.select(*KEY, "item_id", F.col("best.found_runs").alias("found_runs"), F.col("best.item_runs").alias("item_runs"), F.col("best.coverage").alias("coverage")).where(F.col("coverage") >= cover)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
