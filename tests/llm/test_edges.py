@@ -152,6 +152,11 @@ def test_html(spark):
         ("<p>a<script>x &#; y</script foo><p>b", "a\nb"),
         ('<p>one <a href="x>two</a></p><p>three</p>', "one two\nthree"),
         ("<p>a &#", "a &#"),
+        ("<p>&copy2 &notin b &amp;lt; &NotAName; &eacute", "©2 ¬in b &lt; &NotAName; é"),
+        ('<article><header class="header"><h1>Title</h1></header><p>b</p></article>', "Title\nb"),
+        ('<article><div class="post-header"><h1>Title</h1></div><div class="related-work">w</div><div class="text social">s</div></article>', "Title\nw\ns"),
+        ('<article><p>press <button>Go</button> now</p><div class="ad">x</div><div id="comments">y</div><div class="share-bar">z</div></article>', "press Go now"),
+        ('<header class="x">h</header><div class="site-header">k</div><p>t</p><button>b</button>', "t"),
     ],
 )
 def test_html_reads_on_after_what_is_malformed(page, text):
