@@ -4,11 +4,13 @@
 2. Similar sets first. Sets that share one of their KEYS smallest hashes are compared with the first set that has it, one
    comparison a set and hash. What links is one component from here on, and most near copies are found that way.
 3. Index. A set's shingles are ordered by how common they are, rare ones first. Two sets that link share at least LEAST of
-   the first ones (all but what 0.8 requires, plus LEAST), so only those enter inverted lists, with their position.
-4. Skipping by position. Lists are sorted by set size. Lists of up to SHORT sets yield pairs of sets of different components,
-   if sizes and the positions of the shingle in both sets leave room for the overlap that 0.8 requires; a pair goes on if it
-   met LEAST times. Longer lists are put together by their first member and cut into blocks; blocks whose sizes are
-   too far apart are skipped, others compared inside one task, whole sets at hand.
+   the first ones (all but what 0.8 requires, plus LEAST), so only those enter inverted lists.
+4. Skipping. Lists are sorted by set size. Lists whose sets are one component are skipped. Other lists of up to SHORT sets
+   are put together by their members, as a passage puts the same sets into list after list: pairs come from every
+   group of lists once, with the number of its lists. A pair goes on if its sizes allow a link and it met as often as the
+   overlap that 0.8 requires forces its first shingles to meet; of these, and of the pairs of step 2, only those are
+   compared word for word whose sketches (shingles counted in BINS bins) differ by no more than a link allows. Longer lists are put together by their first member
+   and cut into blocks; blocks whose sizes are too far apart are skipped, others compared inside one task.
 5. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
    pair inside a component is compared again; a block yields a spanning tree of its links, never all of them.
 
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +38,16 @@ from tracklane.llm.hashing import set_id, shingle_set
 
 WIDTH, LEAST, PERCENT = 5, 3, 80
 SHORT, BLOCK, KEYS = 48, 512, 4
+#: Numbers in the sketch of a set: how many of its shingles fall into each of so many bins, 255 at most.
+BINS = 128
 #: Bits of the filter that tells which texts are fetched, and of one piece of it.
 FILTER_BITS, PIECE_BITS = 1 << 26, 1 << 15
 #: Shingles met COMMON times among STRETCH shingles are counted; the HEAVY most frequent ones go last in the order.
 COMMON, STRETCH, HEAVY = 8, 4_000_000, 200_000
 #: Rows a task remembers so as not to send repeated ones again.
 REMEMBER = 200_000
+#: Labels known early (16 bytes each) go to every task up to this many; beyond, they are told apart when pairs are made.
+MOST_LABELS = 2_000_000
 KEY = ["id_hash", "text_hash"]
 
 
@@ -53,6 +60,10 @@ def _needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def set_table(rows: DataFrame) -> DataFrame:
     """doc_id, id_hash, text_hash, n, sid (null if empty) and smallest hashes of every row, and further rows with token and met of
     common shingles."""
@@ -64,28 +75,29 @@ def set_table(rows: DataFrame) -> DataFrame:
         def common() -> pd.DataFrame:
             token, met = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
             often = met >= COMMON
-            return pd.DataFrame({"doc_id": None, "keys": None, "token": token[often].view(np.int64), "met": met[often]}).reindex(columns=["doc_id", *KEY, "n", "sid", "keys", "token", "met"])
+            return pd.DataFrame({"doc_id": None, "keys": None, "sketch": None, "token": token[often].view(np.int64), "met": met[often]}).reindex(columns=["doc_id", *KEY, "n", "sid", "keys", "sketch", "token", "met"])
 
         for batch in batches:
             sets = []
             for text in batch["text"]:
                 found = shingle_set(text, WIDTH)
-                sets.append((len(found), set_id(found) if len(found) else None, found[:KEYS].view(np.int64)))
+                sets.append((len(found), set_id(found) if len(found) else None, found[:KEYS].view(np.int64), _sketch(found)))
                 seen.append(found)
                 n_seen += len(found)
                 if n_seen >= STRETCH:
                     yield common()
                     seen, n_seen = [], 0
             out = batch.drop(columns="text").astype({"doc_id": object})
-            out["n"] = [n for n, _, _ in sets]
-            out["sid"] = pd.array([s for _, s, _ in sets], dtype="Int64")
-            out["keys"] = [k for _, _, k in sets]
+            out["n"] = [n for n, *_ in sets]
+            out["sid"] = pd.array([s for _, s, _, _ in sets], dtype="Int64")
+            out["keys"] = [k for _, _, k, _ in sets]
+            out["sketch"] = [k for *_, k in sets]
             out["token"] = out["met"] = pd.array([None] * len(out), dtype="Int64")
             yield out
         yield common()
 
     # Ids travel as text: pandas would make a column of whole numbers with a null inexact.
-    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(build, "doc_id string, id_hash long, text_hash long, n long, sid long, keys array<long>, token long, met long")
+    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(build, "doc_id string, id_hash long, text_hash long, n long, sid long, keys array<long>, sketch binary, token long, met long")
     return stored(built.withColumn("doc_id", F.col("doc_id").cast(kind)), "sets")
 
 
@@ -99,98 +111,125 @@ def first_pairs(reps: DataFrame) -> DataFrame:
     return pairs.where(fits).select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
 
 
-def inverted_entries(texts: DataFrame, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """token, n, sid, pos and label: the first shingles of every set (sid, label, packed text), rare ones first."""
-    sent = texts.sparkSession.sparkContext.broadcast(heavy)
+def _first_ones(n: int | np.ndarray) -> int | np.ndarray:
+    """How many of a set's shingles are indexed."""
+    return n - _needed(n) + np.minimum(LEAST, _needed(n))
+
+
+def inverted_entries(texts: DataFrame, heavy: tuple[np.ndarray, np.ndarray], labels: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """token, n, sid and label: the first shingles of every set, rare ones first."""
+    sent = texts.sparkSession.sparkContext.broadcast((heavy, labels))
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, met = sent.value
+        (tokens, met), (linked, label) = sent.value
+        done: set[int] = set()
         for batch in batches:
             out: list[tuple[np.ndarray, int, int, int]] = []
             held = 0
-            for sid, label, text in zip(batch["sid"].tolist(), batch["label"].tolist(), batch["text"], strict=True):
-                found = shingle_set(_unpacked(text), WIDTH)
+            for text in batch["text"]:
+                found = shingle_set(text, WIDTH)
                 n = len(found)
-                length = n - _needed(n) + min(LEAST, _needed(n))
+                if not n or (sid := set_id(found)) in done:
+                    continue
+                if len(done) >= REMEMBER:
+                    done.clear()
+                done.add(sid)
+                length = int(_first_ones(n))
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
                     rank = np.where(tokens[at] == found, met[at], 0)
                     found = found[np.argsort(rank, kind="stable")]
-                out.append((found[:length], n, sid, label))
+                at = np.searchsorted(linked, sid)
+                known = at < len(linked) and linked[at] == sid
+                out.append((found[:length], n, sid, int(label[at]) if known else sid))
                 held += length
                 if held >= 100_000:
                     yield _entries(out)
                     out, held = [], 0
             yield _entries(out)
 
-    return texts.select("sid", "label", "text").mapInPandas(index, "token long, n long, sid long, pos long, label long")
+    return texts.select("text").mapInPandas(index, "token long, n long, sid long, label long")
 
 
 def _entries(found: list[tuple[np.ndarray, int, int, int]]) -> pd.DataFrame:
     sizes = [len(f) for f, *_ in found]
     token = np.concatenate([f for f, *_ in found]).view(np.int64) if found else np.zeros(0, np.int64)
-    pos = np.concatenate([np.arange(n) for n in sizes]) if found else np.zeros(0, np.int64)
     column = lambda k: np.repeat(np.array([f[k] for f in found], np.int64), sizes)
-    return pd.DataFrame({"token": token, "n": column(1), "sid": column(2), "pos": pos, "label": column(3)})
-
-
-def _short_pairs(n: np.ndarray, sid: np.ndarray, pos: np.ndarray, label: np.ndarray, start: np.ndarray, size: np.ndarray) -> pd.DataFrame:
-    """Pairs of sets of different components in the same short list that may link, with how often they met."""
-    a_all, b_all, need = [], [], []
-    for m in np.unique(size):
-        at = start[size == m]
-        # Lists whose sets are one component have nothing left to answer.
-        own = label[at[:, None] + np.arange(m)]
-        at = at[(own != own[:, :1]).any(1)][:, None] + np.arange(m)
-        i, j = np.triu_indices(m, 1)
-        left, right = at[:, i].ravel(), at[:, j].ravel()  # sorted by size: left is the smaller
-        # All words before the shingle in both sets, and all behind it in the one with fewer, may be shared at most.
-        most = np.minimum(pos[left], pos[right]) + np.minimum(n[left] - pos[left], n[right] - pos[right])
-        fits = (label[left] != label[right]) & (100 * n[left] >= PERCENT * n[right]) & _linked(most, n[left], n[right])
-        left, right = left[fits], right[fits]
-        a_all.append(np.minimum(sid[left], sid[right]))
-        b_all.append(np.maximum(sid[left], sid[right]))
-        need.append(np.minimum(LEAST, -(-PERCENT * n[left] // 100)))
-    if not a_all:
-        return pd.DataFrame({"a": [], "b": [], "need": [], "times": []}, dtype="int64")
-    pairs = pd.DataFrame({"a": np.concatenate(a_all), "b": np.concatenate(b_all), "need": np.concatenate(need)})
-    return pairs.groupby(["a", "b", "need"], sort=False).size().reset_index(name="times")
+    return pd.DataFrame({"token": token, "n": column(1), "sid": column(2), "label": column(3)})
+
+
+_LISTS = "members_hash long, members binary, times long, a long, lead long, n long"
+_LIST_COLUMNS = [c.split()[0] for c in _LISTS.split(", ")]
+
+
+def _short_lists(n: np.ndarray, sid: np.ndarray, label: np.ndarray, start: np.ndarray, size: np.ndarray) -> pd.DataFrame:
+    """The short lists that hold sets of more than one component, lists of the same sets put together: hash, members and number."""
+    if not len(start):
+        return pd.DataFrame(columns=_LIST_COLUMNS)
+    member = np.repeat(np.arange(len(start)), size)
+    at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    first = label[start][member]
+    mixed = np.bincount(member, label[at] != first, len(start)) > 0
+    found: dict[bytes, int] = {}
+    for begin, many in zip(start[mixed].tolist(), size[mixed].tolist(), strict=True):
+        own = slice(begin, begin + many)
+        key = np.concatenate([sid[own], n[own], label[own]]).tobytes()
+        found[key] = found.get(key, 0) + 1
+    rows = pd.DataFrame({"members_hash": [xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in found], "members": list(found), "times": list(found.values())})
+    return rows.reindex(columns=_LIST_COLUMNS)
+
+
+def list_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different components that met in short lists as often as a link requires."""
+    groups = lists.where("members IS NOT NULL").groupBy("members_hash", "members").agg(F.sum("times").alias("times"))
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for members, times in zip(batch["members"], batch["times"], strict=True):
+                sid, n, label = np.frombuffer(members, np.int64).reshape(3, -1)
+                i, j = np.triu_indices(len(sid), 1)  # sorted by size: i is the smaller
+                fits = (label[i] != label[j]) & (100 * n[i] >= PERCENT * n[j])
+                i, j = i[fits], j[fits]
+                overlap = -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT))
+                need = overlap - np.maximum(n[i] - _first_ones(n[i]), n[j] - _first_ones(n[j]))
+                yield pd.DataFrame({"a": np.minimum(sid[i], sid[j]), "b": np.maximum(sid[i], sid[j]), "need": need, "times": times})
+
+    pairs = groups.select("members", "times").mapInPandas(expand, "a long, b long, need long, times long")
+    met = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
+    return met.where("times >= need").select("a", "b")
 
 
 def scan_lists(entries: DataFrame) -> DataFrame:
-    """Walk the sorted lists once. Rows of pairs (a, b, need, times), and of members of long lists (a = sid, lead = the list's first sid, n)."""
-    columns = ["a", "b", "need", "times", "lead", "n"]
+    """Walk the sorted lists once. Rows of groups of short lists (members_hash, members, times), and of members of long lists
+    (a = sid, lead = the list's first sid, n)."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame({"token": [], "n": [], "sid": [], "pos": [], "label": []}, dtype="int64")
+        kept = pd.DataFrame({"token": [], "n": [], "sid": [], "label": []}, dtype="int64")
         # A long list is passed on as it streams by: its token and its first member.
         open_token, lead = None, 0
         for batch in _and_end(batches):
             rows = kept if batch is None else pd.concat([kept, batch], ignore_index=True)
-            token, n, sid, pos, label = (rows[c].to_numpy(np.int64) for c in kept.columns)
+            token, n, sid, label = (rows[c].to_numpy(np.int64) for c in kept.columns)
             if len(token):
                 fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])])
-                token, n, sid, pos, label = token[fresh], n[fresh], sid[fresh], pos[fresh], label[fresh]
+                token, n, sid, label = token[fresh], n[fresh], sid[fresh], label[fresh]
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
             size = np.diff(np.concatenate([start, [len(token)]])).astype(int) if len(start) else np.zeros(0, int)
             last = len(start) if batch is None else len(start) - 1
             members = []
-            for k in range(len(start)):
+            going = np.zeros(len(start), bool) if open_token is None else token[start] == open_token
+            for k in np.flatnonzero((size > SHORT) | going):
                 own = slice(start[k], start[k] + size[k])
-                going_on = open_token is not None and token[start[k]] == open_token
-                if size[k] > SHORT or going_on:
-                    # The first kept row of a list that goes on repeats its last member, to tell copies across batches.
-                    skip = 1 if going_on else 0
-                    first = lead if going_on else sid[start[k]]
-                    members.append(pd.DataFrame({"a": sid[own][skip:], "lead": first, "n": n[own][skip:]}))
-                    if k == last:
-                        open_token, lead = token[start[k]], first
-            short = (size >= 2) & (size <= SHORT) & (np.arange(len(size)) < last)
-            if open_token is not None:
-                short &= token[start] != open_token if len(start) else short
-            yield _short_pairs(n, sid, pos, label, start[short], size[short]).reindex(columns=columns)
+                # The first kept row of a list that goes on repeats its last member, to tell copies across batches.
+                skip = 1 if going[k] else 0
+                first = lead if going[k] else sid[start[k]]
+                members.append(pd.DataFrame({"a": sid[own][skip:], "lead": first, "n": n[own][skip:]}))
+                if k == last:
+                    open_token, lead = token[start[k]], first
+            short = (size >= 2) & (size <= SHORT) & (np.arange(len(size)) < last) & ~going
+            yield _short_lists(n, sid, label, start[short], size[short])
             for part in members:
-                yield part.reindex(columns=columns)
+                yield part.reindex(columns=_LIST_COLUMNS)
             if batch is None:
                 return
             if len(start):
@@ -199,11 +238,22 @@ def scan_lists(entries: DataFrame) -> DataFrame:
                     tail = slice(len(token) - 1, None)
                 elif open_token is not None:
                     open_token = None
-                kept = pd.DataFrame({"token": token[tail], "n": n[tail], "sid": sid[tail], "pos": pos[tail], "label": label[tail]})
+                kept = pd.DataFrame({"token": token[tail], "n": n[tail], "sid": sid[tail], "label": label[tail]})
 
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = entries.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
-    return stored(laid.mapInPandas(walk, "a long, b long, need long, times long, lead long, n long"), "lists")
+    return stored(laid.mapInPandas(_typed(walk), _LISTS), "lists")
+
+
+def _typed(walk):
+    """Columns that are empty in one batch and not in another keep their types."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in walk(batches):
+            whole = out.astype({c: "Int64" for c in _LIST_COLUMNS if c != "members"})
+            yield whole.assign(members=whole["members"].astype(object).where(whole["members"].notna(), None))
+
+    return run
 
 
 def _and_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
@@ -246,6 +296,29 @@ def needed_texts(asked: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFram
     return stored(packed_texts(chosen).join(keys, KEY).select("sid", "text"), "texts")
 
 
+def near_enough(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches leave room for a link: sets differ in as many shingles as their bins do, at least."""
+    side = lambda name: reps.select(F.col("sid").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("a_sketch", "b_sketch"))
+                total = (batch["a_n"] + batch["b_n"]).to_numpy()
+                apart = total + 2 * (-PERCENT * total // (100 + PERCENT))
+                yield batch.loc[np.abs(x - y).sum(1) <= apart, ["a", "b"]]
+
+    return both.mapInPandas(compare, "a long, b long")
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are not in one component."""
+    side = lambda name: labels.select(F.col("sid").alias(name), F.col("label").alias(f"{name}_label"))
+    told = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return told.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+
+
 def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that link; every pair is compared on the whole sets."""
     text = lambda side: texts.select(F.col("sid").alias(side), F.col("text").alias(f"{side}_text"))
@@ -359,21 +432,22 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_shingles and component_id of every row."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("id_hash", F.xxhash64("doc_id")).withColumn("text_hash", F.xxhash64("text"))
     table = set_table(rows.select("doc_id", *KEY, "text"))
-    sets = table.where("token IS NULL").drop("token", "met")
+    sets = table.where("token IS NULL").drop("token", "met", "sketch")
+    sketched = table.where("token IS NULL")
     common = table.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met")).orderBy(F.desc("met"), "token").limit(HEAVY).toPandas()
     token = common["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(token)
     # One row stands for all rows of a set.
-    known = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    reps = stored(known.select("sid", "n", "keys", *[F.col(f"key.{k}").alias(k) for k in KEY]), "reps")
+    known = sketched.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    reps = stored(known.select("sid", "n", "keys", "sketch", *[F.col(f"key.{k}").alias(k) for k in KEY]), "reps")
     sides = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("sid"))
-    near = stored(first_pairs(reps), "near")
+    near = stored(near_enough(first_pairs(reps), reps), "near")
     links = stored(check_pairs(near, needed_texts(sides(near), reps, rows)), "links")
     labels = components(links)
-    labelled = reps.join(labels, "sid", "left").select(*KEY, "sid", F.coalesce("label", "sid").alias("label"))
-    lists = scan_lists(inverted_entries(packed_texts(rows).join(labelled, KEY), (token[order], common["met"].to_numpy(np.int64)[order])))
-    met = lists.where("lead IS NULL").groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("need").alias("need"))
-    pairs, members = stored(met.where("times >= need").select("a", "b"), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
+    few = labels.orderBy("sid").toPandas() if labels.count() <= MOST_LABELS else pd.DataFrame({"sid": [], "label": []})
+    early = (few["sid"].to_numpy(np.int64), few["label"].to_numpy(np.int64))
+    lists = scan_lists(inverted_entries(rows, (token[order], common["met"].to_numpy(np.int64)[order]), early))
+    pairs, members = stored(near_enough(apart(list_pairs(lists), labels), reps), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
     texts = needed_texts(sides(pairs).unionByName(members.select("sid")), reps, rows)
     links = stored(links.unionByName(check_pairs(pairs, texts)), "links")
     if not members.isEmpty():
