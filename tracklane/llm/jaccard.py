@@ -10,9 +10,9 @@
    group of lists once, with the number of its lists. A pair goes on if its sizes allow a link and it met as often as the
    overlap that 0.8 requires forces its first shingles to meet; of these, and of the pairs of step 2, only those are
    compared word for word whose sketches (shingles counted in BINS bins) differ by no more than a link allows. Longer lists are put together by their first member
-   and cut into blocks; blocks whose sizes are too far apart are skipped, others compared inside one task.
+   and cut into blocks; blocks whose sizes are too far apart are skipped, the sketches of others compared inside one task.
 5. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
-   pair inside a component is compared again; a block yields a spanning tree of its links, never all of them.
+   pair inside a component is compared again.
 
 How common a shingle is only decides the order, so a rough count is enough: shingles met COMMON times in a stretch of the
 input. Hashes have 64 bits; a false match between two shingles of a corpus is less likely than a disk error.
@@ -185,14 +185,21 @@ def list_pairs(lists: DataFrame) -> DataFrame:
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for members, times in zip(batch["members"], batch["times"], strict=True):
+            out, held = [], 0
+            for members, times in zip(batch["members"], batch["times"].tolist(), strict=True):
                 sid, n, label = np.frombuffer(members, np.int64).reshape(3, -1)
                 i, j = np.triu_indices(len(sid), 1)  # sorted by size: i is the smaller
                 fits = (label[i] != label[j]) & (100 * n[i] >= PERCENT * n[j])
                 i, j = i[fits], j[fits]
                 overlap = -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT))
                 need = overlap - np.maximum(n[i] - _first_ones(n[i]), n[j] - _first_ones(n[j]))
-                yield pd.DataFrame({"a": np.minimum(sid[i], sid[j]), "b": np.maximum(sid[i], sid[j]), "need": need, "times": times})
+                out.append(np.stack([np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j]), need, np.full(len(i), times)], axis=1))
+                held += len(i)
+                if held >= 100_000:
+                    yield pd.DataFrame(np.concatenate(out), columns=["a", "b", "need", "times"])
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame(np.concatenate(out), columns=["a", "b", "need", "times"])
 
     pairs = groups.select("members", "times").mapInPandas(expand, "a long, b long, need long, times long")
     met = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need"))
@@ -340,39 +347,19 @@ def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _compare_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Links between the sets of one or two blocks of a list, as a spanning forest on top of the known components."""
+    """Pairs of sets of one or two blocks of a family, of different components, whose sizes and sketches leave room for a link."""
     rows = rows.drop_duplicates("sid").sort_values(["n", "sid"], ignore_index=True)
-    sets = [shingle_set(_unpacked(t), WIDTH) for t in rows["text"]]
-    size = np.array([len(s) for s in sets])
-    start = np.concatenate([[0], np.cumsum(size)[:-1]])
-    words, code = np.unique(np.concatenate(sets), return_inverse=True)
-    present = np.zeros(len(words), bool)
-    root = {}
-    parent = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i, label in enumerate(rows["label"]):
-        parent[i] = root.setdefault(label, i)
-    links = []
-    for i in range(len(sets)):
-        reach = int(np.searchsorted(size, 100 * size[i] // PERCENT, "right"))
-        if reach <= i + 1 or all(find(j) == find(i) for j in range(i + 1, reach)):
-            continue
-        mine = code[start[i] : start[i] + size[i]]
-        present[mine] = True
-        stretch = slice(start[i + 1], start[reach - 1] + size[reach - 1])
-        common = np.add.reduceat(present[code[stretch]].astype(np.int64), start[i + 1 : reach] - start[i + 1])
-        present[mine] = False
-        for j in np.flatnonzero(_linked(common, size[i], size[i + 1 : reach])) + i + 1:
-            if find(i) != find(int(j)):
-                parent[find(i)] = find(int(j))
-                links.append((rows["sid"][i], rows["sid"][int(j)]))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, BINS).astype(np.int16)
+    n, sid, label = (rows[c].to_numpy(np.int64) for c in ("n", "sid", "label"))
+    a, b = [], []
+    for i in range(len(n)):
+        reach = int(np.searchsorted(n, 100 * n[i] // PERCENT, "right"))
+        other = np.flatnonzero(label[i + 1 : reach] != label[i]) + i + 1
+        total = n[i] + n[other]
+        fits = np.abs(sketch[other] - sketch[i]).sum(1) <= total + 2 * (-PERCENT * total // (100 + PERCENT))
+        a.append(np.minimum(sid[i], sid[other[fits]]))
+        b.append(np.maximum(sid[i], sid[other[fits]]))
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}, dtype="int64")
 
 
 def mixed_families(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -391,8 +378,8 @@ def _with_labels(family: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(total.where("low <> high").select("lead", "total"), "lead")
 
 
-def check_blocks(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside families that join sets of different components.
+def block_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) inside families that may link sets of different components. Only sketches move, no texts.
 
     Families of more than BLOCK sets are cut by size, and by hash where a size class is still too large.
     """
@@ -406,8 +393,8 @@ def check_blocks(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
     near = (100 * F.col("most") >= PERCENT * F.col("other_least")) & (100 * F.col("other_most") >= PERCENT * F.col("least"))
     cells = blocks.join(other, "lead").where((F.col("other") >= F.col("block")) & near)
     cells = cells.select("lead", F.col("block").alias("low"), F.col("other").alias("high"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
-    laid = placed.join(cells, ["lead", "block"]).join(texts, "sid")
-    return laid.select("lead", "low", "high", "sid", "n", "label", "text").groupBy("lead", "low", "high").applyInPandas(_compare_cell, "a long, b long")
+    laid = placed.join(reps.select("sid", "sketch"), "sid").join(cells, ["lead", "block"])
+    return laid.select("lead", "low", "high", "sid", "n", "label", "sketch").groupBy("lead", "low", "high").applyInPandas(_compare_cell, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -448,10 +435,10 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     early = (few["sid"].to_numpy(np.int64), few["label"].to_numpy(np.int64))
     lists = scan_lists(inverted_entries(rows, (token[order], common["met"].to_numpy(np.int64)[order]), early))
     pairs, members = stored(near_enough(apart(list_pairs(lists), labels), reps), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
-    texts = needed_texts(sides(pairs).unionByName(members.select("sid")), reps, rows)
-    links = stored(links.unionByName(check_pairs(pairs, texts)), "links")
+    links = stored(links.unionByName(check_pairs(pairs, needed_texts(sides(pairs), reps, rows))), "links")
     if not members.isEmpty():
-        links = stored(links.unionByName(check_blocks(members, components(links), texts)), "links")
+        more = stored(block_pairs(members, components(links), reps), "blocks")
+        links = stored(links.unionByName(check_pairs(more, needed_texts(sides(more), reps, rows))), "links")
     labels = components(links)
     first = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"))
     placed = first.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
