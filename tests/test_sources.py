@@ -12,7 +12,7 @@ from tracklane.operators.frames import frames_of, parse_records
 from tracklane.operators.records import assemble_records, number_records
 from tracklane.sources.archive import list_archive_members, read_archive_lines
 from tracklane.sources.files import dataset_metrics, discover_files, hash_files, read_lines, read_source, register_sources
-from tracklane.sources.records import list_recordings, read_records, records_of
+from tracklane.sources.records import RecordReader, list_recordings, read_records, records_of
 
 
 @pytest.fixture
@@ -147,3 +147,36 @@ def test_records_of_listed_files(spark, tmp_path):
     got = records_of(files, range_bytes=700)
     assert sorted(map(tuple, got.select("source_file", "text").collect())) == want and len(want) == 200
     assert {r.path.rsplit("/", 1)[-1] for r in got.select("path").distinct().collect()} == {"a.csv", "z.zip!b.csv"}
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    """Many small files and members: few partitions, and every record once."""
+    folder = tmp_path / "many"
+    for k in range(120):
+        (folder / f"d{k}").mkdir(parents=True)
+        (folder / f"d{k}" / "a.csv").write_text("\n".join([HEADER, two_frames(k), two_frames(1000 + k)]))
+    reader = RecordReader({"path": str(folder), "label": "path", "parallelism": "4"})
+    assert len(reader.partitions()) < 12
+    found = read_records(spark, str(folder), label="path").select("source_file", "block", "seq", "text").collect()
+    assert sorted((r.source_file, r.block, r.seq, r.text) for r in found) == sorted(
+        (f"d{k}/a.csv", 0, n + 1, two_frames(1000 * n + k)) for k in range(120) for n in (0, 1)
+    )
+
+
+@pytest.mark.parametrize("packing", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_small_archives_share_tasks(spark, tmp_path, packing):
+    folder = tmp_path / "archives"
+    folder.mkdir()
+    for k in range(60):
+        with zipfile.ZipFile(folder / f"{k}.zip", "w", packing) as made:
+            for m in range(2):
+                made.writestr(f"m{m}/a.csv", "\n".join([HEADER, two_frames(2 * k + m)]))
+    want = sorted((f"{k}.zip/m{m}/a.csv", two_frames(2 * k + m)) for k in range(60) for m in range(2))
+    records = read_records(spark, str(folder), label="path")
+    assert sorted((r.source_file, r.text) for r in records.collect()) == want
+    lines = read_archive_lines(spark, str(folder), label="path")
+    assert sorted((r.source_file, r.line) for r in lines.where("pos = 1").collect()) == want
+    assert lines.count() == 240
+    members = list_archive_members(spark, str(folder))
+    assert members.count() == 120 and members.where("eligible").select("archive").distinct().count() == 60
+    assert max(lines.rdd.getNumPartitions(), members.rdd.getNumPartitions()) < 20

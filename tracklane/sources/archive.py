@@ -6,13 +6,15 @@
 from __future__ import annotations
 
 import io
+import zipfile
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from tracklane.sources.records import ByteRange, RecordReader
+from tracklane.sources.records import OPEN_BYTES, RANGE_BYTES, SMALLEST_RANGE, ByteRange, Pack, RecordReader, bytes_read, packed, whole_batches
 from tracklane.sources.storage import is_csv_member, list_files, open_archive
 
 # Lines per part: at 32 KB a line, a part stays below 128 MB.
@@ -30,7 +32,8 @@ _LINES = pa.schema(
 
 
 class ArchiveLines(DataSource):
-    """One partition per member, streamed. Options ``members`` all|first, ``label`` name|path of sources."""
+    """Members are streamed whole, small ones share a partition. Options ``members`` all|first, ``label`` name|path of sources,
+    the ``parallelism`` to aim at."""
 
     @classmethod
     def name(cls) -> str:
@@ -48,16 +51,24 @@ class LineReader(DataSourceReader):
         self.path = options["path"]
         self.members = options.get("members", "all")
         self.label = options.get("label", "name")
+        self.parallelism = int(options.get("parallelism", 1))
 
-    def partitions(self) -> list[ByteRange]:
+    def partitions(self) -> list[ByteRange | Pack]:
         reader = RecordReader({"path": self.path, "members": self.members, "label": self.label, "suffix": ".zip"})
-        return reader.files() or [ByteRange("", None, 0, 0)]
-
-    def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
-        if not part.path:
-            return
+        files = reader.files()
+        share = sum(part.end for part in files) // self.parallelism
+        return packed(files, min(RANGE_BYTES, max(SMALLEST_RANGE, share)), bytes_read) or [ByteRange("", None, 0, 0)]
+
+    def read(self, part: ByteRange | Pack) -> Iterator[pa.RecordBatch]:
+        parts = part.parts if isinstance(part, Pack) else [part] if part.path else []
+        # Members of one archive follow one another, and its directory is read once for them.
+        for path, members in groupby(parts, lambda one: one.path):
+            with open_archive(path) as archive:
+                yield from whole_batches(found for one in members for found in self._lines(archive, one))
+
+    def _lines(self, archive: zipfile.ZipFile, part: ByteRange) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        with open_archive(part.path) as archive, archive.open(part.member) as stream:
+        with archive.open(part.member) as stream:
             # Any of the three line endings, and no byte-order mark.
             text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline=None)
             for number, line in enumerate(text):
@@ -87,15 +98,20 @@ class ArchiveMembers(DataSource):
 class MemberReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
+        self.parallelism = int(options.get("parallelism", 1))
 
-    def partitions(self) -> list[ByteRange]:
-        return [ByteRange(path, None, 0, size) for path, size in list_files(self.path, ".zip")]
+    def partitions(self) -> list[ByteRange | Pack]:
+        archives = [ByteRange(path, None, 0, size) for path, size in list_files(self.path, ".zip")]
+        # Directories only are read, so what counts is the number of archives; a large one may have many members.
+        cost = lambda part: OPEN_BYTES + part.end // 64
+        return packed(archives, max(SMALLEST_RANGE, min(RANGE_BYTES, sum(map(cost, archives)) // self.parallelism)), cost)
 
-    def read(self, part: ByteRange) -> Iterator[tuple]:
-        with open_archive(part.path) as archive:
-            for m in archive.infolist():
-                if not m.is_dir():
-                    yield part.path, m.filename, m.file_size, m.compress_size, m.CRC, is_csv_member(m.filename)
+    def read(self, part: ByteRange | Pack) -> Iterator[tuple]:
+        for one in part.parts if isinstance(part, Pack) else [part]:
+            with open_archive(one.path) as archive:
+                for m in archive.infolist():
+                    if not m.is_dir():
+                        yield one.path, m.filename, m.file_size, m.compress_size, m.CRC, is_csv_member(m.filename)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -105,9 +121,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def read_archive_lines(spark: SparkSession, path: str, members: str = "all", label: str = "name") -> DataFrame:
     """``lines(source_file, member, block, pos, line)`` of the CSV members of a ZIP or a folder of ZIPs."""
     spark.dataSource.register(ArchiveLines)
-    return spark.read.format("archive_lines").option("members", members).option("label", label).load(path)
+    return spark.read.format("archive_lines").options(members=members, label=label, parallelism=spark.sparkContext.defaultParallelism).load(path)
 
 
 def list_archive_members(spark: SparkSession, path: str) -> DataFrame:
     spark.dataSource.register(ArchiveMembers)
-    return spark.read.format("archive_members").load(path)
+    return spark.read.format("archive_members").option("parallelism", spark.sparkContext.defaultParallelism).load(path)

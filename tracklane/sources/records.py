@@ -1,9 +1,9 @@
 """``trajectory_records``: recordings read as whole logical records, with no shuffle.
 
 A plain file, or an archive member stored as it is, is cut into byte ranges. A range owns the records whose first line
-begins in it and reads on past its end to finish the last one, so every record comes out whole and once. A compressed
-member cannot be cut; one task streams it and hands its records on in batches of few bytes, which ``read_records`` spreads
-over all tasks before they are parsed.
+begins in it and reads on past its end to finish the last one, so every record comes out whole and once. Small files and
+members share a task, up to a range's bytes. A compressed member cannot be cut; one task streams it and hands its records
+on in batches of few bytes, which ``read_records`` spreads over all tasks before they are parsed.
 
     spark.read.format("trajectory_records").load("s3://bucket/recordings/")
 """
@@ -15,7 +15,7 @@ import json
 import re
 import struct
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
@@ -29,6 +29,8 @@ from tracklane.sources.storage import is_csv_member, label_files, list_files, op
 RANGE_BYTES = 128 * 1024 * 1024
 SMALLEST_RANGE = 1024 * 1024
 BATCH_BYTES = 16 * 1024 * 1024
+# What opening a file counts for beside its bytes, when small files are put together for one task.
+OPEN_BYTES = 64 * 1024
 # Neither an Arrow string column nor a JVM string holds more; a record beyond it stops the read with an error.
 LARGEST_TEXT = 2**31 - 1
 _CHUNK = 1024 * 1024
@@ -52,6 +54,29 @@ class ByteRange(InputPartition):
     batch: int | None = None
 
 
+@dataclass
+class Pack(InputPartition):
+    """Small parts that one task reads one after the other."""
+
+    parts: list[ByteRange]
+
+
+def packed(parts: list[ByteRange], size: int, cost: Callable[[ByteRange], int]) -> list[ByteRange | Pack]:
+    """The parts in their order, neighbours put together as long as they cost no more than ``size``."""
+    packs, held = [], 0
+    for part in parts:
+        if not packs or held + cost(part) > size:
+            packs.append([])
+            held = 0
+        packs[-1].append(part)
+        held += cost(part)
+    return [pack[0] if len(pack) == 1 else Pack(pack) for pack in packs]
+
+
+def bytes_read(part: ByteRange) -> int:
+    return part.end - part.start + OPEN_BYTES
+
+
 class TrajectoryRecords(DataSource):
     """Options: ``members`` all|first, ``rowLimit`` records per file (0 = all), ``skipHeader``, ``label`` name|path of
     sources, ``suffix`` of the plain files in a folder, ``rangeBytes`` or the ``parallelism`` to aim at."""
@@ -80,6 +105,7 @@ class RecordReader(DataSourceReader):
         self.skip_header = str(options.get("skipheader", "true")).lower() == "true"
         self.range_bytes = int(options["rangebytes"]) if "rangebytes" in options else None
         self.parallelism = int(options.get("parallelism", 1))
+        self.archive: tuple[str, zipfile.ZipFile] | None = None
 
     def files(self) -> list[ByteRange]:
         """A range for every file or member as a whole."""
@@ -97,12 +123,12 @@ class RecordReader(DataSourceReader):
             part.source_file = label
         return whole
 
-    def partitions(self) -> list[ByteRange]:
+    def partitions(self) -> list[ByteRange | Pack]:
         files = self.files()
         # Small inputs are cut finer, so that every core gets a part.
         share = sum(part.end for part in files) // self.parallelism
         cut = self.range_bytes or min(RANGE_BYTES, max(SMALLEST_RANGE, share))
-        return [part for file in files for part in self.cut(file, cut)] or [ByteRange("", None, 0, 0)]
+        return packed([part for file in files for part in self.cut(file, cut)], cut, bytes_read) or [ByteRange("", None, 0, 0)]
 
     def cut(self, file: ByteRange, size: int) -> list[ByteRange]:
         if file.member is not None and file.offset is None:
@@ -111,7 +137,10 @@ class RecordReader(DataSourceReader):
         step = max(file.end, 1) if self.row_limit else size
         return [replace(file, start=at, end=min(at + step, file.end)) for at in range(0, file.end, step)]
 
-    def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, part: ByteRange | Pack) -> Iterator[pa.RecordBatch]:
+        if isinstance(part, Pack):
+            yield from whole_batches(found for one in part.parts for found in self.read(one))
+            return
         if not part.path:
             return
         rows: list[tuple[str, int, int, str | None]] = []
@@ -160,7 +189,7 @@ class RecordReader(DataSourceReader):
 
     def _lines(self, part: ByteRange) -> Iterator[tuple[int, bytes]]:
         """(byte offset, line) of the non-blank lines from the first one that begins in the range on."""
-        with _opened(part) as stream:
+        with self._opened(part) as stream:
             at = part.start
             if at:
                 # Step back one byte: a line that begins exactly here is ours.
@@ -186,6 +215,16 @@ class RecordReader(DataSourceReader):
                     if line:
                         yield begin, line
 
+    def _opened(self, part: ByteRange):
+        if part.member is None:
+            return open_bytes(part.path)
+        if part.offset is not None:
+            return io.BufferedReader(_Stretch(open_bytes(part.path), part.offset, part.size), _CHUNK)
+        # Members of one archive follow one another, and its directory is read once for them.
+        if self.archive is None or self.archive[0] != part.path:
+            self.archive = part.path, open_archive(part.path)
+        return self.archive[1].open(part.member)
+
 
 def member_ranges(path: str, members: str) -> list[ByteRange]:
     """A range for each chosen member as a whole."""
@@ -240,18 +279,23 @@ def _too_long(what: str, part: ByteRange, offset: int) -> ValueError:
     return ValueError(f"{file}: the {what} that begins at byte {offset} is longer than {LARGEST_TEXT} bytes")
 
 
-def _opened(part: ByteRange):
-    if part.member is None:
-        return open_bytes(part.path)
-    if part.offset is not None:
-        return io.BufferedReader(_Stretch(open_bytes(part.path), part.offset, part.size), _CHUNK)
-    return open_archive(part.path).open(part.member)
-
-
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
+def whole_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of small files put together, up to ``BATCH_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > BATCH_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def read_records(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """Logical records of CSV files, ZIP archives or folders of them.
 
