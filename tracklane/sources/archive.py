@@ -19,7 +19,7 @@ from tracklane.sources.storage import is_csv_member, list_files, open_archive
 
 # Lines per part: at 32 KB a line, a part stays below 128 MB.
 PART_LINES = 4096
-_BATCH_BYTES = 16 * 1024 * 1024
+_BATCH_BYTES = 4 * 1024 * 1024
 _LINES = pa.schema(
     [
         ("source_file", pa.string()),

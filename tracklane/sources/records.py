@@ -28,7 +28,7 @@ from tracklane.sources.storage import is_csv_member, label_files, list_files, op
 
 RANGE_BYTES = 128 * 1024 * 1024
 SMALLEST_RANGE = 1024 * 1024
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 # What opening a file counts for beside its bytes, when small files are put together for one task.
 OPEN_BYTES = 64 * 1024
 # Neither an Arrow string column nor a JVM string holds more; a record beyond it stops the read with an error.
