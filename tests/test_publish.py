@@ -274,3 +274,18 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     store = str(tmp_path / "layers")
     stream_recordings(spark, str(folder), store, str(tmp_path / "serving"), str(tmp_path / "lost_checkpoint")).awaitTermination()
     assert versions.state(spark, store) == 1 and len(tracks(spark, str(tmp_path / "serving"))) == 2
+
+
+def test_many_small_sources_share_files(spark, tmp_path):
+    """A version has files by size, not a folder for every source; versions that have folders are read beside it."""
+    target = str(tmp_path / "serving")
+    store, dataset = versions.register(spark, target, target, "rows")
+    version, folder = versions.version_folder(spark, target, "old")
+    publish.write_by_source(batch(spark, A=[1], old=[1]), folder, publish.REPLACE_SNAPSHOT)
+    versions.commit(spark, store, 0, {dataset: (version, folder)})
+    names = [f"s{k}" for k in range(40)]
+    done = publish.publish(spark, batch(spark, A=[2], **{name: [1, 2] for name in names}), target, "new")
+    assert (done.status, done.rows) == ("success", 81)
+    assert tracks(spark, target) == sorted([("A.csv", 2), ("old.csv", 1), *[(f"{name}.csv", t) for name in names for t in (1, 2)]])
+    made = [f for path, _, files in os.walk(target) if "_new" in path for f in files if f.endswith(".parquet")]
+    assert len(made) < 10

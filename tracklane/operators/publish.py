@@ -29,8 +29,9 @@ def write_by_source(
     partitions: int | None = None,
     seen: Observation | None = None,
     metrics: tuple[Column, ...] = (),
+    folders: bool = True,
 ) -> None:
-    """Snappy Parquet, one folder per source file.
+    """Snappy Parquet, one folder per source file, or with ``folders=False`` all sources in common files.
 
     ``replace_sources`` replaces the folders of the sources in ``df`` and leaves the others alone;
     ``replace_snapshot`` replaces everything. With ``gather``, rows are first brought together by source
@@ -38,6 +39,9 @@ def write_by_source(
     a task. Rows that already lie by source, as parsed byte ranges do, need no such shuffle.
     ``partitions`` merges them into that many tasks instead.
 
+    Folders serve readers that list them, and replacing single sources in place. A version of a dataset needs neither: with a
+    folder for each of many small sources, listing, opening and renaming their files costs more than the rows.
+
     ``metrics`` are observed in the task that writes, behind any shuffle, so a stage that runs again
     after a lost executor is not counted twice.
     """
@@ -45,6 +49,8 @@ def write_by_source(
         raise ValueError(f"invalid load mode {mode!r}; expected {REPLACE_SOURCES} or {REPLACE_SNAPSHOT}")
     if rows_per_file <= 0:
         raise ValueError(f"rows per file must be positive, got {rows_per_file}")
+    if not folders and mode != REPLACE_SNAPSHOT:
+        raise ValueError(f"sources without folders of their own need {REPLACE_SNAPSHOT}")
     overwrite = "dynamic" if mode == REPLACE_SOURCES else "static"
     if partitions:
         df = df.coalesce(partitions)
@@ -52,14 +58,13 @@ def write_by_source(
         df = df.hint("rebalance", "source_file")
     if seen is not None:
         df = df.observe(seen, *metrics)
-    (
+    writer = (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("source_file")
-        .parquet(path)
     )
+    (writer.partitionBy("source_file") if folders else writer).parquet(path)
 
 
 @dataclass
@@ -81,7 +86,7 @@ def observed(seen: Observation, *names: str) -> dict[str, int]:
 
 
 def write_frames(
-    frames: DataFrame, path: str, mode: str = REPLACE_SOURCES, gather: bool = True, partitions: int | None = None
+    frames: DataFrame, path: str, mode: str = REPLACE_SOURCES, gather: bool = True, partitions: int | None = None, folders: bool = True
 ) -> WriteResult:
     """Write Silver frames and count them while they are written; no rows is a failure."""
     seen = Observation()
@@ -93,16 +98,17 @@ def write_frames(
         partitions=partitions,
         seen=seen,
         metrics=(F.count(F.lit(1)).alias("rows"),),
+        folders=folders,
     )
     rows = observed(seen, "rows")["rows"]
     return WriteResult(path, rows, 0, rows, "success" if rows else "failed")
 
 
-def write_summary(spark: SparkSession, summary: DataFrame, path: str, mode: str = REPLACE_SOURCES) -> WriteResult:
+def write_summary(spark: SparkSession, summary: DataFrame, path: str, mode: str = REPLACE_SOURCES, folders: bool = True) -> WriteResult:
     """Write summaries, then count what a reader of this batch finds in storage."""
     seen = Observation()
     metrics = (F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames"))
-    write_by_source(summary, path, mode, seen=seen, metrics=metrics)
+    write_by_source(summary, path, mode, seen=seen, metrics=metrics, folders=folders)
     written = observed(seen, "rows", "frames")
     if not written["rows"]:
         return WriteResult(path, 0, 0, 0, "failed")
@@ -169,7 +175,7 @@ def stage_batch(
 ) -> StagedBatch:
     """Write the batch where it is to stay, and check what was written."""
     version, folder = versions.version_folder(spark, target, run_id)
-    write_by_source(summary.select(*S.names(S.SUMMARY)), folder, REPLACE_SNAPSHOT, rows_per_file)
+    write_by_source(summary.select(*S.names(S.SUMMARY)), folder, REPLACE_SNAPSHOT, rows_per_file, folders=False)
     staged = read_layer(spark, folder, S.SUMMARY)
     rows = F.count(F.lit(1))
     totals = [

@@ -6,7 +6,7 @@ number, so several datasets change together, a reader sees all of a change or no
 from the same state one fails. Sources of a batch leave with their old rows even if they have none now.
 
     <dataset>/_store                          names the store and the dataset in it
-    <dataset>/version=<v>/source_file=<s>/    rows
+    <dataset>/version=<v>/                    rows of all sources of a version; earlier ones have a folder for each source
     <store>/_datasets/<dataset>               names the dataset's folder
     <store>/_manifests/<number>/              dataset, source_file, version, sources
 
@@ -19,6 +19,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterable
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -190,7 +191,13 @@ def read(spark: SparkSession, path: str, schema: T.StructType, number: int | Non
     if not versions:
         return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
-    rows = spark.read.schema(stored).parquet(path).where(F.col("version").isin([v["version"] for v in versions]))
+    # Only the folders in use are listed; those with folders for their sources are a table of their own.
+    layouts: dict[bool, list[str]] = {}
+    for v in versions:
+        folder = f"{path.rstrip('/')}/version={v['version']}"
+        layouts.setdefault(any(name.startswith("source_file=") for name in _names(spark, folder)), []).append(folder)
+    scans = [spark.read.schema(stored).option("basePath", path).parquet(*folders) for folders in layouts.values()]
+    rows = reduce(DataFrame.unionByName, scans)
     if any(v["used"] < v["sources"] for v in versions):
         rows = rows.join(listed.select("version", "source_file"), ["version", "source_file"], "left_semi")
     return rows.select(*schema.fieldNames())
