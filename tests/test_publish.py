@@ -289,3 +289,13 @@ def test_many_small_sources_share_files(spark, tmp_path):
     assert tracks(spark, target) == sorted([("A.csv", 2), ("old.csv", 1), *[(f"{name}.csv", t) for name in names for t in (1, 2)]])
     made = [f for path, _, files in os.walk(target) if "_new" in path for f in files if f.endswith(".parquet")]
     assert len(made) < 10
+
+
+def test_files_of_a_run_are_one_batch(spark, tmp_path):
+    """More files than a batch held before: sources are rebuilt once for all of them."""
+    folder = tmp_path / "in"
+    for k in range(1002):
+        (folder / str(k)).mkdir(parents=True)
+        write_recording(folder / str(k) / "a.csv", k)
+    assert streamed(spark, tmp_path) == [("a.csv", k) for k in range(1002)]
+    assert versions.state(spark, str(tmp_path / "layers")) == 1

@@ -24,7 +24,7 @@ def stream_recordings(
     layers: str,
     serving: str,
     checkpoint: str,
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
     max_reject_fraction: float = S.MAX_REJECT_FRACTION,
     pattern: str = "*.csv",
     skip_header: bool = True,
@@ -35,17 +35,16 @@ def stream_recordings(
     ``layers``, lists the files every source is made of, by content: a file whose content its source already has is left
     out. A batch joins its new files with the ledger and rebuilds the sources they belong to from all their files. Silver,
     rejects, summary, serving data and ledger change with one rename, so a batch that is repeated after a failure
-    finds its files in the ledger and does nothing. The gate holds for the batch and for every file in it: one
+    finds its files in the ledger and does nothing. Without ``files_per_batch``, all files of a run are one batch: a rebuild costs
+    all files of its sources, so batches of a fixed number would cost the square of the files that arrive. The gate holds for the batch and for every file in it: one
     bad file fails its batch, and nothing of it is seen. The stream tracks paths: for a file whose content changed under its
     old path use ``load_new_files``.
     """
+    listed = spark.readStream.format("binaryFile").schema(_LISTED).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    if files_per_batch:
+        listed = listed.option("maxFilesPerTrigger", files_per_batch)
     files = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTED)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
+        listed.load(folder)
         .select("path", F.substring_index("path", "/", -1).alias("source_file"), F.col("length").alias("size"))
     )
 
