@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracklane.llm import decontaminate, jaccard, mixing, simhash, tokens, url_filter
+from tracklane.llm import decontaminate, html_wrapper, jaccard, mixing, simhash, tokens, url_filter
 from tracklane.llm.hashing import shingle_set
 
 DATA = "/root/testdata/sf0.001"
@@ -202,3 +204,11 @@ def test_first_word_after_a_line_without_end(spark):
     docs = [(1, "Quiz\nWhat is the capital of Spain and how many people live there?"), (2, "What is the name of the street where the old station stands?")]
     got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert [(r.doc_id, r.item_id) for r in got.collect()] == [(1, 1)]
+
+
+def test_wrapper_is_learned_from_all_pages_of_a_small_host(spark):
+    pages = spark.createDataFrame([(i, h, f"<p>{h} {i}</p>") for h in "abcdefgh" for i in range(6)] + [(0, "a", "<p>a 0</p>")], "page_id long, host string, html string")
+    wrappers = {r.host: json.loads(r.wrapper) for r in html_wrapper.host_wrappers(pages.withColumn("html", F.concat(F.col("html"), F.lit("<i>one</i>")))).collect()}
+    assert set(wrappers) == set("abcdefgh")
+    # Texts are called common where MANY pages at least agree, so all six of a host were read.
+    assert all(["i", "one"] in w["common"] for w in wrappers.values())
