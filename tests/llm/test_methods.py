@@ -212,3 +212,13 @@ def test_wrapper_is_learned_from_all_pages_of_a_small_host(spark):
     assert set(wrappers) == set("abcdefgh")
     # Texts are called common where MANY pages at least agree, so all six of a host were read.
     assert all(["i", "one"] in w["common"] for w in wrappers.values())
+
+
+def test_decontaminate_sends_one_table_of_runs(spark, monkeypatch):
+    plans = []
+    store = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, label: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()) if label == "matched" else None, store(df, label))[1])
+    items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog today"), (2, "two 3 Four"), (3, "one 2 Three 4 Five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "well the quick brown fox jumps over the lazy dog today again"), (2, "so two 3 Four"), (3, "other words here")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()} == {(1, 1), (2, 2)}
+    assert not [line for line in plans[0].splitlines() if "Filter" in line and "width" in line]

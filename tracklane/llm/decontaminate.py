@@ -122,17 +122,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     runs = stored(_item_runs(items.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text}`").alias("text")), cover), "items")
     count = runs.count()
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    # A code tells kind and width, so one table of all runs goes to every task, once, whatever the number of kinds.
+    known = runs.drop("width")
     matched = None
     for kind, width in [tuple(r) for r in runs.select("kind", "width").distinct().orderBy("kind", "width").collect()] or [(TEMPLATE, WIDTH)]:
-        own = runs.where((F.col("width") == width) & (F.col("kind") == kind)).drop("width")
         # Literal enough is what the item's run is, so the document's equal run is, too.
         mine = (template_runs if kind == TEMPLATE else word_runs)(texts, KEY, width).select(*KEY, "raw", "pos", "code")
         words = F.slice("raw", F.col("pos") + 1, F.lit(width)).alias("doc_words")
         columns = [*KEY, "item_id", "kind", "pos", "item_pos", "item_runs", "item_words"]
         if count <= MOST_BROADCAST:
-            both = mine.join(F.broadcast(own), "code").select(*columns, words)
+            both = mine.join(F.broadcast(known), "code").select(*columns, words)
         else:
-            both = mine.select(*KEY, "pos", "code", words).join(own, "code").select(*columns, "doc_words")
+            both = mine.select(*KEY, "pos", "code", words).join(runs.where((F.col("width") == width) & (F.col("kind") == kind)).drop("width"), "code").select(*columns, "doc_words")
         matched = both if matched is None else matched.unionByName(both)
     matched = stored(matched.withColumn("shift", F.col("pos") - F.col("item_pos")), "matched")
     along = [*KEY, "item_id", "shift"]
