@@ -222,3 +222,27 @@ def test_decontaminate_sends_one_table_of_runs(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "well the quick brown fox jumps over the lazy dog today again"), (2, "so two 3 Four"), (3, "other words here")], "doc_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()} == {(1, 1), (2, 2)}
     assert not [line for line in plans[0].splitlines() if "Filter" in line and "width" in line]
+
+
+def test_jaccard_orders_by_counts_of_the_whole_input(spark, monkeypatch):
+    """Shingles that are rare in every task and common in the whole table come late in the order."""
+    monkeypatch.setattr(jaccard, "STRETCH", 200)
+    rows = spark.createDataFrame([(i, " ".join(f"c{k}" for k in range(30)) + " " + " ".join(f"o{i}x{k}" for k in range(30))) for i in range(40)], "doc_id long, text string").repartition(8)
+    keyed = rows.withColumn("id_hash", F.xxhash64("doc_id")).withColumn("text_hash", F.xxhash64("text"))
+    table = jaccard.set_table(keyed.select("doc_id", *jaccard.KEY, "text"))
+    codes, met = jaccard.common_codes(table)
+    shared = shingle_set(" ".join(f"c{k}" for k in range(30)))
+    assert codes.tolist() == sorted((shared >> np.uint64(32)).tolist()) and set(met.tolist()) == {40}
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    entries = jaccard.inverted_entries(keyed, (codes, met), none)
+    assert entries.count() > 0 and not {r.token for r in entries.collect()} & set(shared.view(np.int64).tolist())
+
+
+def test_jaccard_compares_a_star_by_its_middle_first():
+    """Sets that are like one set and less like each other make a pair each at first, not all pairs."""
+    base = np.arange(100)
+    sets = [base] + [np.concatenate([base[10:], 1000 * k + np.arange(10)]) for k in range(1, 30)]
+    cell = pd.DataFrame({"sid": range(30), "n": [100] * 30, "label": range(30), "sketch": [jaccard._sketch(s.astype(np.uint64)) for s in sets]})
+    pairs = jaccard._compare_cell(cell, True)
+    assert len(pairs) < 60 and len(pairs) < len(jaccard._compare_cell(cell, False))
+    assert set(pairs["a"]) | set(pairs["b"]) == set(range(30))

@@ -14,8 +14,8 @@
 5. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
    pair inside a component is compared again.
 
-How common a shingle is only decides the order, so a rough count is enough: shingles met COMMON times in a stretch of the
-input. Hashes have 64 bits; a false match between two shingles of a corpus is less likely than a disk error.
+How common a shingle is only decides the order, so a rough count is enough: the sets of each 32-bit code are counted over
+the whole input, from packed codes. Hashes have 64 bits; a false match between two shingles of a corpus is less likely than a disk error.
 
 Edge cases: null text, or text without words, has an empty set and links with nothing; texts with fewer words are one
 shingle; texts of any length are read whole; rows that repeat link; a null id takes part, and the component's id is the
@@ -42,8 +42,9 @@ SHORT, BLOCK, KEYS = 48, 512, 4
 BINS = 128
 #: Bits of the filter that tells which texts are fetched, and of one piece of it.
 FILTER_BITS, PIECE_BITS = 1 << 26, 1 << 15
-#: Shingles met COMMON times among STRETCH shingles are counted; the HEAVY most frequent ones go last in the order.
-COMMON, STRETCH, HEAVY = 8, 4_000_000, 200_000
+#: Codes are packed after STRETCH shingles, in PARTS parts of their range; those of COMMON sets are common, and the HEAVY most
+#: frequent ones go last in the order.
+STRETCH, PARTS, COMMON, HEAVY = 4_000_000, 4096, 8, 400_000
 #: Rows a task remembers so as not to send repeated ones again.
 REMEMBER = 200_000
 #: Labels known early (16 bytes each) go to every task up to this many; beyond, they are told apart when pairs are made.
@@ -65,42 +66,88 @@ def _sketch(shingles: np.ndarray) -> bytes:
 
 
 def set_table(rows: DataFrame) -> DataFrame:
-    """doc_id, id_hash, text_hash, n, sid (null if empty) and smallest hashes of every row, and further rows with token and met of
-    common shingles."""
+    """doc_id, id_hash, text_hash, n, sid (null if empty), smallest hashes and sketch of every row, and further rows with part and
+    codes: the short codes of a task's shingles in one part of their range, packed."""
     kind = rows.schema["doc_id"].dataType
+    columns = ["doc_id", *KEY, "n", "sid", "keys", "sketch", "part", "codes"]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, n_seen = [], 0
-
-        def common() -> pd.DataFrame:
-            token, met = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
-            often = met >= COMMON
-            return pd.DataFrame({"doc_id": None, "keys": None, "sketch": None, "token": token[often].view(np.int64), "met": met[often]}).reindex(columns=["doc_id", *KEY, "n", "sid", "keys", "sketch", "token", "met"])
-
+        seen, n_seen, done = [], 0, set()
         for batch in batches:
             sets = []
             for text in batch["text"]:
                 found = shingle_set(text, WIDTH)
-                sets.append((len(found), set_id(found) if len(found) else None, found[:KEYS].view(np.int64), _sketch(found)))
-                seen.append(found)
+                sid = set_id(found) if len(found) else None
+                sets.append((len(found), sid, found[:KEYS].view(np.int64).copy(), _sketch(found)))
+                if sid is None or sid in done:
+                    continue
+                if len(done) >= REMEMBER:
+                    done.clear()
+                done.add(sid)
+                seen.append(_code(found))
                 n_seen += len(found)
                 if n_seen >= STRETCH:
-                    yield common()
+                    yield _packed_codes(seen).reindex(columns=columns)
                     seen, n_seen = [], 0
             out = batch.drop(columns="text").astype({"doc_id": object})
             out["n"] = [n for n, *_ in sets]
             out["sid"] = pd.array([s for _, s, _, _ in sets], dtype="Int64")
             out["keys"] = [k for _, _, k, _ in sets]
             out["sketch"] = [k for *_, k in sets]
-            out["token"] = out["met"] = pd.array([None] * len(out), dtype="Int64")
+            out["part"], out["codes"] = pd.array([None] * len(out), dtype="Int32"), None
             yield out
-        yield common()
+        if seen:
+            yield _packed_codes(seen).reindex(columns=columns)
 
     # Ids travel as text: pandas would make a column of whole numbers with a null inexact.
-    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(build, "doc_id string, id_hash long, text_hash long, n long, sid long, keys array<long>, sketch binary, token long, met long")
+    built = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_nulls_kept(build), "doc_id string, id_hash long, text_hash long, n long, sid long, keys array<long>, sketch binary, part int, codes binary")
     return stored(built.withColumn("doc_id", F.col("doc_id").cast(kind)), "sets")
 
 
+def _nulls_kept(build):
+    """Rows of either kind lack the other's columns: they are null, not NaN."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in build(batches):
+            whole = out.astype({**dict.fromkeys([*KEY, "n", "sid"], "Int64"), "part": "Int32"} | dict.fromkeys(["doc_id", "keys", "sketch", "codes"], object))
+            yield whole.assign(**{c: whole[c].where(whole[c].notna(), None) for c in ("doc_id", "keys", "sketch", "codes")})
+
+    return run
+
+
+def _code(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(32)).astype(np.uint32)
+
+
+def _packed_codes(seen: list[np.ndarray]) -> pd.DataFrame:
+    """part and codes: the sorted codes of a stretch, one row a part, as compressed differences (about two bytes a code)."""
+    codes = np.sort(np.concatenate(seen))
+    bounds = np.searchsorted(codes, np.arange(PARTS + 1, dtype=np.uint64) * np.uint64((1 << 32) // PARTS))
+    steps = np.diff(codes, prepend=np.uint32(0))
+    press, rows = zstandard.ZstdCompressor(level=1), []
+    for part in np.flatnonzero(np.diff(bounds)).tolist():
+        own = steps[bounds[part] : bounds[part + 1]].copy()
+        own[0] = codes[bounds[part]]
+        rows.append((part, press.compress(own.view(np.uint8).reshape(-1, 4).T.tobytes())))
+    return pd.DataFrame(rows, columns=["part", "codes"])
+
+
+def _common_codes(rows: pd.DataFrame) -> pd.DataFrame:
+    """code and met of one part's codes that come COMMON times or more."""
+    press = zstandard.ZstdDecompressor()
+    steps = [np.frombuffer(press.decompress(c), np.uint8).reshape(4, -1).T.copy().view(np.uint32)[:, 0] for c in rows["codes"]]
+    code, met = np.unique(np.concatenate([np.cumsum(s, dtype=np.uint32) for s in steps]), return_counts=True)
+    return pd.DataFrame({"code": code[met >= COMMON].astype(np.int64), "met": met[met >= COMMON]})
+
+
+def common_codes(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The HEAVY most frequent codes, ascending, and how many sets have each (copies of a set in other tasks count again)."""
+    counted = table.where("part IS NOT NULL").select("part", "codes").groupBy("part").applyInPandas(_common_codes, "code long, met long")
+    common = counted.orderBy(F.desc("met"), "code").limit(HEAVY).toPandas()
+    order = np.argsort(common["code"].to_numpy(np.int64))
+    return common["code"].to_numpy(np.int64)[order].astype(np.uint32), common["met"].to_numpy(np.int64)[order]
+
+
 def first_pairs(reps: DataFrame) -> DataFrame:
     """Pairs (a, b): every set and the first one that shares one of its smallest hashes, if their sizes allow a link."""
     keyed = reps.select("sid", "n", F.explode("keys").alias("key"))
@@ -121,7 +168,7 @@ def inverted_entries(texts: DataFrame, heavy: tuple[np.ndarray, np.ndarray], lab
     sent = texts.sparkSession.sparkContext.broadcast((heavy, labels))
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (tokens, met), (linked, label) = sent.value
+        (codes, met), (linked, label) = sent.value
         done: set[int] = set()
         for batch in batches:
             out: list[tuple[np.ndarray, int, int, int]] = []
@@ -135,9 +182,10 @@ def inverted_entries(texts: DataFrame, heavy: tuple[np.ndarray, np.ndarray], lab
                     done.clear()
                 done.add(sid)
                 length = int(_first_ones(n))
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
-                    rank = np.where(tokens[at] == found, met[at], 0)
+                if len(codes):
+                    code = _code(found)
+                    at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                    rank = np.where(codes[at] == code, met[at], 0)
                     found = found[np.argsort(rank, kind="stable")]
                 at = np.searchsorted(linked, sid)
                 known = at < len(linked) and linked[at] == sid
@@ -346,20 +394,37 @@ def check_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInPandas(compare, "a long, b long")
 
 
-def _compare_cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of sets of one or two blocks of a family, of different components, whose sizes and sketches leave room for a link."""
+def _compare_cell(rows: pd.DataFrame, nearest: bool) -> pd.DataFrame:
+    """Pairs of sets of one or two blocks of a family, of different components, whose sizes and sketches leave room for a link;
+    with ``nearest``, for each set only the one with the least share of shingles that its sketch tells apart."""
     rows = rows.drop_duplicates("sid").sort_values(["n", "sid"], ignore_index=True)
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, BINS).astype(np.int16)
     n, sid, label = (rows[c].to_numpy(np.int64) for c in ("n", "sid", "label"))
-    a, b = [], []
+    a, b = [np.zeros(0, int)], [np.zeros(0, int)]
+    least, at = np.full(len(n), np.inf), np.arange(len(n))
     for i in range(len(n)):
         reach = int(np.searchsorted(n, 100 * n[i] // PERCENT, "right"))
         other = np.flatnonzero(label[i + 1 : reach] != label[i]) + i + 1
         total = n[i] + n[other]
-        fits = np.abs(sketch[other] - sketch[i]).sum(1) <= total + 2 * (-PERCENT * total // (100 + PERCENT))
-        a.append(np.minimum(sid[i], sid[other[fits]]))
-        b.append(np.maximum(sid[i], sid[other[fits]]))
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}, dtype="int64")
+        differ = np.abs(sketch[other] - sketch[i]).sum(1)
+        fits = differ <= total + 2 * (-PERCENT * total // (100 + PERCENT))
+        other, share = other[fits], differ[fits] / total[fits]
+        if not len(other):
+            continue
+        if not nearest:
+            a.append(np.full(len(other), i))
+            b.append(other)
+            continue
+        best = int(np.argmin(share))
+        if share[best] < least[i]:
+            least[i], at[i] = share[best], other[best]
+        closer = share < least[other]
+        least[other[closer]], at[other[closer]] = share[closer], i
+    if nearest:
+        a.append(np.flatnonzero(at != np.arange(len(n))))
+        b.append(at[a[-1]])
+    x, y = sid[np.concatenate(a)], sid[np.concatenate(b)]
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}, dtype="int64").drop_duplicates()
 
 
 def mixed_families(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -378,8 +443,9 @@ def _with_labels(family: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(total.where("low <> high").select("lead", "total"), "lead")
 
 
-def block_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) inside families that may link sets of different components. Only sketches move, no texts.
+def block_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) inside families that may link sets of different components; with ``nearest``, one a set and cell. Only
+    sketches move, no texts.
 
     Families of more than BLOCK sets are cut by size, and by hash where a size class is still too large.
     """
@@ -394,7 +460,7 @@ def block_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
     cells = blocks.join(other, "lead").where((F.col("other") >= F.col("block")) & near)
     cells = cells.select("lead", F.col("block").alias("low"), F.col("other").alias("high"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
     laid = placed.join(reps.select("sid", "sketch"), "sid").join(cells, ["lead", "block"])
-    return laid.select("lead", "low", "high", "sid", "n", "label", "sketch").groupBy("lead", "low", "high").applyInPandas(_compare_cell, "a long, b long").distinct()
+    return laid.select("lead", "low", "high", "sid", "n", "label", "sketch").groupBy("lead", "low", "high").applyInPandas(lambda cell: _compare_cell(cell, nearest), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -419,11 +485,8 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_shingles and component_id of every row."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("id_hash", F.xxhash64("doc_id")).withColumn("text_hash", F.xxhash64("text"))
     table = set_table(rows.select("doc_id", *KEY, "text"))
-    sets = table.where("token IS NULL").drop("token", "met", "sketch")
-    sketched = table.where("token IS NULL")
-    common = table.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met")).orderBy(F.desc("met"), "token").limit(HEAVY).toPandas()
-    token = common["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(token)
+    sketched = table.where("part IS NULL").drop("part", "codes")
+    sets = sketched.drop("sketch")
     # One row stands for all rows of a set.
     known = sketched.where("sid IS NOT NULL").groupBy("sid").agg(F.min(F.struct(*KEY)).alias("key"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     reps = stored(known.select("sid", "n", "keys", "sketch", *[F.col(f"key.{k}").alias(k) for k in KEY]), "reps")
@@ -433,11 +496,14 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = components(links)
     few = labels.orderBy("sid").toPandas() if labels.count() <= MOST_LABELS else pd.DataFrame({"sid": [], "label": []})
     early = (few["sid"].to_numpy(np.int64), few["label"].to_numpy(np.int64))
-    lists = scan_lists(inverted_entries(rows, (token[order], common["met"].to_numpy(np.int64)[order]), early))
+    lists = scan_lists(inverted_entries(rows, common_codes(table), early))
     pairs, members = stored(near_enough(apart(list_pairs(lists), labels), reps), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
     links = stored(links.unionByName(check_pairs(pairs, needed_texts(sides(pairs), reps, rows))), "links")
-    if not members.isEmpty():
-        more = stored(block_pairs(members, components(links), reps), "blocks")
+    # Of families, first every set's nearest one: most of what links is one component then, and makes no more pairs.
+    tried = None
+    for nearest in () if members.isEmpty() else (True, False):
+        more = block_pairs(members, components(links), reps, nearest)
+        more = tried = stored(more if tried is None else more.join(tried, ["a", "b"], "left_anti"), "blocks")
         links = stored(links.unionByName(check_pairs(more, needed_texts(sides(more), reps, rows))), "links")
     labels = components(links)
     first = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"))
