@@ -151,7 +151,7 @@ def common_codes(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def first_pairs(reps: DataFrame) -> DataFrame:
     """Pairs (a, b): every set and the first one that shares one of its smallest hashes, if their sizes allow a link."""
     keyed = reps.select("sid", "n", F.explode("keys").alias("key"))
-    leads = keyed.groupBy("key").agg(F.min("sid").alias("lead"))
+    leads = keyed.groupBy("key").agg(F.min("sid").alias("lead"), F.max("sid").alias("last")).where("lead <> last").drop("last")
     sizes = reps.select(F.col("sid").alias("lead"), F.col("n").alias("lead_n"))
     pairs = keyed.join(leads, "key").where("sid <> lead").select("sid", "n", "lead").distinct().join(sizes, "lead")
     fits = 100 * F.least("n", "lead_n") >= PERCENT * F.greatest("n", "lead_n")
@@ -337,22 +337,34 @@ def _unpacked(text: bytes) -> str:
     return zstandard.ZstdDecompressor().decompress(text).decode("utf-8", "surrogatepass")
 
 
-def needed_texts(asked: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
-    """sid and packed text of the sets asked for. A filter of FILTER_BITS bits (8 MB, however many are asked for) keeps most other
-    texts from moving; the join settles the rest."""
-    keys = stored(asked.distinct().join(reps.select("sid", *KEY), "sid"), "asked")
-    code = F.pmod(F.xxhash64(*KEY), F.lit(FILTER_BITS))
+def likely_rows(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose columns are among those of ``keys``, and few others. A filter of FILTER_BITS bits (8 MB, however many are
+    asked for) keeps most other rows from moving; a join settles the rest."""
+    code = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
     spots = keys.select(F.floor(code / PIECE_BITS).alias("piece"), (code % PIECE_BITS).alias("spot"))
     pieces = spots.groupBy("piece").agg(F.bitmap_construct_agg("spot").alias("bits"))
-    marked = rows.where("text IS NOT NULL").withColumn("piece", F.floor(code / PIECE_BITS)).withColumn("spot", code % PIECE_BITS)
+    marked = rows.withColumn("piece", F.floor(code / PIECE_BITS)).withColumn("spot", code % PIECE_BITS)
     byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("spot") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.expr("shiftright(byte, CAST(spot % 8 AS INT)) & 1") == 1
-    chosen = marked.join(F.broadcast(pieces), "piece").withColumn("byte", byte).where(hit)
+    return marked.join(F.broadcast(pieces), "piece").withColumn("byte", byte).where(hit).select(*rows.columns)
+
+
+def likely_sketches(reps: DataFrame, asked: DataFrame) -> DataFrame:
+    """sid, n and sketch of the sets asked for, and few others."""
+    return stored(likely_rows(reps.select("sid", "n", "sketch"), asked, ["sid"]), "sketches")
+
+
+def needed_texts(asked: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
+    """sid and packed text of the sets asked for."""
+    keys = stored(asked.distinct().join(reps.select("sid", *KEY), "sid"), "asked")
+    chosen = likely_rows(rows.where("text IS NOT NULL").select(*KEY, "text"), keys, KEY)
     return stored(packed_texts(chosen).join(keys, KEY).select("sid", "text"), "texts")
 
 
 def near_enough(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sketches leave room for a link: sets differ in as many shingles as their bins do, at least."""
+    pairs = stored(pairs, "met")
+    reps = likely_sketches(reps, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
     side = lambda name: reps.select(F.col("sid").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -500,9 +512,9 @@ def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs, members = stored(near_enough(apart(list_pairs(lists), labels), reps), "pairs"), mixed_families(lists.where("lead IS NOT NULL"), labels)
     links = stored(links.unionByName(check_pairs(pairs, needed_texts(sides(pairs), reps, rows))), "links")
     # Of families, first every set's nearest one: most of what links is one component then, and makes no more pairs.
-    tried = None
-    for nearest in () if members.isEmpty() else (True, False):
-        more = block_pairs(members, components(links), reps, nearest)
+    tried, many = None, reps if members.isEmpty() else likely_sketches(reps, members)
+    for nearest in () if many is reps else (True, False):
+        more = block_pairs(members, components(links), many, nearest)
         more = tried = stored(more if tried is None else more.join(tried, ["a", "b"], "left_anti"), "blocks")
         links = stored(links.unionByName(check_pairs(more, needed_texts(sides(more), reps, rows))), "links")
     labels = components(links)
