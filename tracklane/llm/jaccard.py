@@ -10,7 +10,8 @@
    group of lists once, with the number of its lists. A pair goes on if its sizes allow a link and it met as often as the
    overlap that 0.8 requires forces its first shingles to meet; of these, and of the pairs of step 2, only those are
    compared word for word whose sketches (shingles counted in BINS bins) differ by no more than a link allows. Longer lists are put together by their first member
-   and cut into blocks; blocks whose sizes are too far apart are skipped, the sketches of others compared inside one task.
+   and cut into blocks; blocks whose sizes are too far apart are skipped, the sketches of others compared inside one task. Of these, each set's
+   nearest one is compared first, and the rest once what linked is one component.
 5. Set relations. A set highly similar to another inherits its answers: sets known to be linked are one component, and no
    pair inside a component is compared again.
 
