@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracklane.llm import decontaminate, html_wrapper, jaccard, mixing, simhash, tokens, url_filter
+from tracklane.llm import common, decontaminate, html_wrapper, jaccard, mixing, simhash, tokens, url_filter
 from tracklane.llm.hashing import shingle_set
 
 DATA = "/root/testdata/sf0.001"
@@ -246,3 +246,33 @@ def test_jaccard_compares_a_star_by_its_middle_first():
     pairs = jaccard._compare_cell(cell, True)
     assert len(pairs) < 60 and len(pairs) < len(jaccard._compare_cell(cell, False))
     assert set(pairs["a"]) | set(pairs["b"]) == set(range(30))
+
+
+def test_jaccard_hands_long_texts_to_python_in_small_batches(spark, monkeypatch):
+    texts = [(k, f"{k} " + "long word " * 20_000) for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    held = []
+
+    def measure(batches):
+        for batch in batches:
+            yield pd.DataFrame({"held": [int(batch["text"].str.len().sum())]})
+
+    def stored(df, label):
+        if label == "sets":
+            held.extend(r.held for r in docs.select("text").mapInPandas(measure, "held long").collect())
+        return common.stored(df, label)
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    assert jaccard.join_similar(docs).count() == 60
+    assert sum(held) == sum(len(t) for _, t in texts) and max(held) < 6_000_000
+    assert spark.conf.get(common.BATCH_SETTING, None) is None
+
+
+def test_small_batches_leave_the_sessions_own_size(spark):
+    spark.conf.set(common.BATCH_SETTING, "1m")
+    try:
+        with common.small_batches(spark):
+            assert spark.conf.get(common.BATCH_SETTING) == "1m"
+        assert spark.conf.get(common.BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)

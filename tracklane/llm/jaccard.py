@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklane.llm.common import stored
+from tracklane.llm.common import small_batches, stored
 from tracklane.llm.hashing import set_id, shingle_set
 
 WIDTH, LEAST, PERCENT = 5, 3, 80
@@ -122,13 +122,13 @@ def _code(shingles: np.ndarray) -> np.ndarray:
 
 def _packed_codes(seen: list[np.ndarray]) -> pd.DataFrame:
     """part and codes: the sorted codes of a stretch, one row a part, as compressed differences (about two bytes a code)."""
-    codes = np.sort(np.concatenate(seen))
+    codes = np.concatenate(seen)
+    seen.clear()
+    codes.sort()
     bounds = np.searchsorted(codes, np.arange(PARTS + 1, dtype=np.uint64) * np.uint64((1 << 32) // PARTS))
-    steps = np.diff(codes, prepend=np.uint32(0))
     press, rows = zstandard.ZstdCompressor(level=1), []
     for part in np.flatnonzero(np.diff(bounds)).tolist():
-        own = steps[bounds[part] : bounds[part + 1]].copy()
-        own[0] = codes[bounds[part]]
+        own = np.diff(codes[bounds[part] : bounds[part + 1]], prepend=np.uint32(0))
         rows.append((part, press.compress(own.view(np.uint8).reshape(-1, 4).T.tobytes())))
     return pd.DataFrame(rows, columns=["part", "codes"])
 
@@ -496,6 +496,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
+    with small_batches(docs.sparkSession):
+        return _join_similar(docs, id_col, text_col)
+
+
+def _join_similar(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("id_hash", F.xxhash64("doc_id")).withColumn("text_hash", F.xxhash64("text"))
     table = set_table(rows.select("doc_id", *KEY, "text"))
     sketched = table.where("part IS NULL").drop("part", "codes")
