@@ -224,6 +224,23 @@ def test_decontaminate_sends_one_table_of_runs(spark, monkeypatch):
     assert not [line for line in plans[0].splitlines() if "Filter" in line and "width" in line]
 
 
+def test_benchmark_runs_have_one_branch_for_all_widths(spark, monkeypatch):
+    plans = {}
+    store = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, label: (plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString()), store(df, label))[1])
+    texts = ["the quick brown fox jumps over the lazy dog today", "Two 3 Four", "one 2 Three 4 Five", "", None, "word"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    runs = decontaminate._item_runs(items, decontaminate.COVER).collect()
+    assert [plans[label].count("Generate") for label in ("shapes", "runs")] == [1, 1]
+    of = sorted((r.item_id, r.kind, r.width, r.item_pos, " ".join(r.item_words), r.item_runs) for r in runs)
+    whole = [(0, decontaminate.TEMPLATE, 8, k, " ".join(texts[0].split()[k : k + 8]), 3) for k in range(3)]
+    assert of == [*whole, *[(k, decontaminate.WORDS, len(texts[k].split()), 0, texts[k], 1) for k in (1, 2, 5)]]
+    # The same codes as those of documents.
+    for kind, width, of_docs in ((decontaminate.TEMPLATE, 8, decontaminate.template_runs), *[(decontaminate.WORDS, k, decontaminate.word_runs) for k in (1, 3, 5)]):
+        codes = {r.code for r in of_docs(items.where(f"size(split(text, ' ')) = {width} OR item_id = 0"), ["item_id"], width).collect()}
+        assert {r.code for r in runs if (r.kind, r.width) == (kind, width)} <= codes
+
+
 def test_jaccard_orders_by_counts_of_the_whole_input(spark, monkeypatch):
     """Shingles that are rare in every task and common in the whole table come late in the order."""
     monkeypatch.setattr(jaccard, "STRETCH", 200)

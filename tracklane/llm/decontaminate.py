@@ -70,18 +70,10 @@ def _runs(shaped: DataFrame, keys: list[str], width: int, kind: str) -> DataFram
     return runs.select(*keys, "raw", "pos", F.xxhash64(*mark, F.lit(width), *words).alias("code"), literal.alias("literal"))
 
 
-def template_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text", both_readings: bool = False) -> DataFrame:
-    """keys, pos, code, literal and raw (all words of the text) of every run of ``width`` template words.
-
-    With ``both_readings``, a run that begins with a capitalised first word of a text is there with it as a name, too.
-    """
+def template_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text") -> DataFrame:
+    """keys, pos, code, literal and raw (all words of the text) of every run of ``width`` template words."""
     split = texts.select(*keys, raw_words(F.col(text)).alias("raw")).where(F.size("raw") >= width)
-    shaped = split.select(*keys, "raw", template(F.col("raw")).alias("t"))
-    runs = _runs(shaped, keys, width, TEMPLATE)
-    if not both_readings:
-        return runs
-    named = shaped.where(F.get("raw", F.lit(0)).rlike(r"^[\"'(]?\p{Lu}")).withColumn("t", F.concat(F.array(F.lit(NAME)), F.slice("t", 2, F.size("t"))))
-    return runs.unionByName(_runs(named, keys, width, TEMPLATE).where("pos = 0"))
+    return _runs(split.select(*keys, "raw", template(F.col("raw")).alias("t")), keys, width, TEMPLATE)
 
 
 def word_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text") -> DataFrame:
@@ -90,29 +82,39 @@ def word_runs(texts: DataFrame, keys: list[str], width: int, text: str = "text")
     return _runs(split.select(*keys, "raw", very_words(F.col("raw")).alias("t")), keys, width, WORDS)
 
 
+def _own_runs(sized: DataFrame, kind: str) -> DataFrame:
+    """item_id, kind, width, code, item_pos and item_words of every run of the items, each item's runs of its own width.
+
+    The width is a column, so the plan has one branch for all widths; codes are those of ``_runs``, as xxhash64 takes the
+    words of an array one after the other, like columns. Of templates, a run that begins with a capitalised first word of
+    an item is there with it as a name, too.
+    """
+    shaped = sized.select("item_id", "raw", "width", (template if kind == TEMPLATE else very_words)(F.col("raw")).alias("t"))
+    places = F.sequence(F.lit(0), F.size("t") - F.col("width"))
+    runs = F.transform(places, lambda p: F.struct(p.alias("pos"), F.slice("t", p + 1, F.col("width")).alias("run")))
+    if kind == TEMPLATE:
+        named = F.struct(F.lit(0).alias("pos"), F.concat(F.array(F.lit(NAME)), F.slice("t", 2, F.col("width") - 1)).alias("run"))
+        capitalised = F.get("raw", F.lit(0)).rlike(r"^[\"'(]?\p{Lu}")
+        runs = F.concat(runs, F.filter(F.array(named), lambda _: capitalised))
+    exploded = shaped.select("item_id", "raw", "width", F.explode(runs).alias("r")).select("item_id", "raw", "width", "r.pos", "r.run")
+    if kind == TEMPLATE:
+        literal = F.filter("run", lambda w: (w != "") & ~w.rlike(f"[{NUMBER}{UNIT}{NAME}]"))
+        exploded = exploded.where(F.size(literal) * 2 >= F.col("width"))
+    mark = [] if kind == TEMPLATE else [F.lit(kind)]
+    words = F.slice("raw", F.col("pos") + 1, F.col("width")).alias("item_words")
+    return exploded.select("item_id", F.lit(kind).alias("kind"), "width", F.xxhash64(*mark, "width", "run").alias("code"), F.col("pos").alias("item_pos"), words)
+
+
 def _item_runs(items: DataFrame, cover: float) -> DataFrame:
     """Runs of the benchmark: kind, width, code, item, its place and raw words, and how many runs of the kind the item has."""
-    sized = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("n", F.size(raw_words(F.col("text"))))
-
-    def of(rows: DataFrame, kind: str, least: int) -> DataFrame:
-        found = None
-        for width in range(least, WIDTH + 1):
-            own = rows.where(F.col("n") >= WIDTH) if width == WIDTH else rows.where(F.col("n") == width)
-            if kind == TEMPLATE:
-                runs = template_runs(own, ["item_id"], width, both_readings=True).where(F.col("literal") * 2 >= width)
-            else:
-                runs = word_runs(own, ["item_id"], width)
-            words = F.slice("raw", F.col("pos") + 1, F.lit(width)).alias("item_words")
-            runs = runs.select("item_id", F.lit(kind).alias("kind"), F.lit(width).alias("width"), "code", F.col("pos").alias("item_pos"), words)
-            found = runs if found is None else found.unionByName(runs)
-        return found
-
-    shapes = stored(of(sized, TEMPLATE, SHORTEST), "shapes")
+    split = items.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct().select("item_id", raw_words(F.col("text")).alias("raw"))
+    sized = split.withColumn("width", F.least(F.size("raw"), F.lit(WIDTH)))
+    shapes = stored(_own_runs(sized.where(F.col("width") >= SHORTEST), TEMPLATE), "shapes")
     # The first word is read by what stands before it; all other runs of a copy have the item's own templates.
     sure = F.countDistinct(F.when(F.col("item_pos") > 0, F.col("item_pos"))) >= cover * F.countDistinct("item_pos")
     safe = shapes.groupBy("item_id").agg((sure & (F.countDistinct("item_pos") > 1)).alias("sure")).where("sure").select(F.col("item_id").alias("safe_id"))
-    weak = sized.join(safe, F.col("item_id").eqNullSafe(F.col("safe_id")), "left_anti")
-    found = shapes.unionByName(of(weak, WORDS, 1))
+    weak = sized.where("width > 0").join(safe, F.col("item_id").eqNullSafe(F.col("safe_id")), "left_anti")
+    found = stored(shapes.unionByName(_own_runs(weak, WORDS)), "runs")
     total = found.groupBy(F.col("item_id").alias("of_id"), F.col("kind").alias("of_kind")).agg(F.countDistinct("item_pos").alias("item_runs"))
     return found.join(total, F.col("item_id").eqNullSafe(F.col("of_id")) & (F.col("kind") == F.col("of_kind"))).drop("of_id", "of_kind")
 
